@@ -1,8 +1,9 @@
 """Two-sided p-value of the two-sample Kolmogorov-Smirnov statistic.
 
 Exact for samples of at most 10,000; the exact law counts lattice paths
-(Hodges 1958).  Beyond that, the limiting Kolmogorov law with Stephens'
-finite-sample argument is used.
+(Hodges 1958).  Beyond that, the statistic is compared with the one-sample law
+at n1*n2/(n1+n2), by the Kolmogorov series with Vrbik's (2018) finite-sample
+argument.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EXACT_LIMIT = 10_000
-_LCM_LIMIT = 2**31 - 1
 
 
 def _exact_equal(n: int, h: int) -> float:
@@ -53,8 +53,9 @@ def _exact_unequal(n1: int, n2: int, h: int, g: int) -> float:
 
 
 def _limiting(d: float, n1: int, n2: int) -> float:
-    root = math.sqrt(n1 * n2 / (n1 + n2))
-    x = (root + 0.12 + 0.11 / root) * d
+    n = max(1, round(n1 * n2 / (n1 + n2)))
+    z = math.sqrt(n) * d
+    x = z + 1.0 / (6.0 * math.sqrt(n)) + (z - 1.0) / (4.0 * n)
     if x < 0.2:
         return 1.0
     terms = ((-1) ** (k - 1) * math.exp(-2.0 * (k * x) ** 2) for k in range(1, 101))
@@ -66,12 +67,11 @@ def two_sample_p_value(d: float, n1: int, n2: int) -> float:
     if any(v is None or v != v for v in (d, n1, n2)) or n1 < 1 or n2 < 1:
         return float("nan")
     n1, n2 = int(n1), int(n2)
-    g = math.gcd(n1, n2)
-    lcm = n1 // g * n2
-    if max(n1, n2) > EXACT_LIMIT or lcm > _LCM_LIMIT:
+    if max(n1, n2) > EXACT_LIMIT:
         p = _limiting(d, n1, n2)
     else:
-        h = round(d * lcm)
+        g = math.gcd(n1, n2)
+        h = round(d * (n1 // g * n2))
         if h == 0:
             return 1.0
         p = _exact_equal(n1, h) if n1 == n2 else _exact_unequal(n1, n2, h, g)

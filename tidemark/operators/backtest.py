@@ -8,21 +8,22 @@ Share counts follow ``s = max(s + x, 0)`` with x = +1 or -1, which has a
 closed form over running sums and minima.  So as long as every buy is
 affordable, the whole path is computed in parallel, however long one
 portfolio is.  Only portfolios in which a buy is refused are replayed row by
-row; the replay streams sorted rows and keeps one state, never a whole group.
+row, and even then no task takes more than one partition of the layout.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import replace
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.features import with_next_state
-from tidemark.operators.ordering import Running, lay_out
-from tidemark.session import materialise
+from tidemark.operators.ordering import PART, SLOT, OrderedLayout, Running, lay_out
+from tidemark.session import materialise, scratch_path
 
 # fixed values of the trading rules
 INITIAL_BALANCE = 10_000.0
@@ -32,7 +33,9 @@ SELL = 2
 _TIE = 1e-9
 
 
-def _parallel_path(df: DataFrame, by: Sequence[str], order: Sequence[str], initial_balance: float) -> DataFrame:
+def _parallel_path(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], initial_balance: float
+) -> OrderedLayout:
     """Path under affordable buys, with ``_refused`` marking buys the balance may not cover."""
     price = F.col("price").cast("double")
     wish = F.when(F.col("action") == BUY, 1).when(F.col("action") == SELL, -1).otherwise(0).cast("bigint")
@@ -55,29 +58,45 @@ def _parallel_path(df: DataFrame, by: Sequence[str], order: Sequence[str], initi
         net_worth=F.col("balance") + F.col("shares") * price,
         _refused=(F.col("_wish") == 1) & ~(before >= price + slack),
     )
-    return path.rows().drop("_wish", "_net", "_floor_before", "_shares_before", "_spent")
+    helpers = ("_wish", "_net", "_floor_before", "_shares_before", "_spent")
+    return OrderedLayout(path.df.drop(*helpers), path.by, path.order).frozen()
 
 
-def _replay(df: DataFrame, by: Sequence[str], order: Sequence[str], initial_balance: float) -> DataFrame:
-    """Exact row-by-row path; each partition is a stream of whole portfolios in order."""
+def _levels(continued: Sequence, by: Sequence[str]) -> dict[int, int]:
+    """How many earlier partitions each continued portfolio segment waits for.
+
+    A partition holds at most one segment continued from an earlier one, its first.
+    """
+    groups = {row[PART]: tuple(row[b] for b in by) for row in continued}
+    levels: dict[int, int] = {}
+    for row in sorted(continued, key=lambda r: r[PART]):
+        part, source = row[PART], row["_from"]
+        same = groups.get(source) == groups[part]
+        levels[part] = levels[source] + 1 if same else 1
+    return levels
+
+
+def _fold_segments(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Trade through each (partition, portfolio) segment from the state in ``_balance0, _shares0``."""
+    kept = [f for f in rows.schema.fields if f.name not in ("_balance0", "_shares0")]
     schema = T.StructType(
         [
-            *df.schema.fields,
+            *kept,
             T.StructField("shares", T.LongType()),
             T.StructField("balance", T.DoubleType()),
             T.StructField("net_worth", T.DoubleType()),
         ]
     )
-    by = list(by)
+    keys = [PART, *by]
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, balance, shares = None, initial_balance, 0
+        current, balance, shares = None, 0.0, 0
         for batch in batches:
-            keys = list(zip(*[batch[b] for b in by])) if by else [()] * len(batch)
+            columns = [batch[k] for k in [*keys, "_balance0", "_shares0", "action"]]
             held, cash, worth = [], [], []
-            for key, price, action in zip(keys, batch["price"].astype(float), batch["action"]):
+            for *key, balance0, shares0, action, price in zip(*columns, batch["price"].astype(float)):
                 if key != current:
-                    current, balance, shares = key, initial_balance, 0
+                    current, balance, shares = key, balance0, shares0
                 if action == BUY and balance >= price:
                     balance, shares = balance - price, shares + 1
                 elif action == SELL and shares > 0:
@@ -85,11 +104,84 @@ def _replay(df: DataFrame, by: Sequence[str], order: Sequence[str], initial_bala
                 held.append(shares)
                 cash.append(balance)
                 worth.append(balance + shares * price)
-            yield batch.assign(shares=held, balance=cash, net_worth=worth)
+            yield batch.drop(columns=["_balance0", "_shares0"]).assign(shares=held, balance=cash, net_worth=worth)
+
+    return rows.repartition(PART).sortWithinPartitions(PART, SLOT).mapInPandas(fold, schema)
+
+
+def _replay(given: DataFrame, by: Sequence[str], initial_balance: float) -> DataFrame:
+    """Exact row-by-row path of laid-out rows.
 
-    # without portfolios there is one series, and its trades depend on one another
-    placed = df.repartition(*by) if by else df.repartition(1)
-    return placed.sortWithinPartitions(*by, *order).mapInPandas(fold, schema)
+    All segments that start a portfolio are replayed at once.  A portfolio that
+    runs on into further partitions is replayed one partition per round, with
+    its last balance and share count handed on, so no task sees more than the
+    rows of a partition.
+    """
+    spark = given.sparkSession
+    across = Window.partitionBy(*by).orderBy(PART)
+    segments = given.select(PART, *by).distinct().withColumn("_from", F.lag(PART).over(across))
+    # at most one row per partition of the layout
+    continued = segments.filter(F.col("_from").isNotNull()).collect()
+    levels = _levels(continued, by)
+    sources = {row[PART]: row["_from"] for row in continued}
+
+    renamed = {PART: "_s_part", **{b: f"_s_{b}" for b in by}}
+    waiting = segments.filter(F.col("_from").isNotNull()).withColumnsRenamed(renamed)
+    here = (F.col(PART) == F.col("_s_part")) & _same_portfolio(by)
+    started = materialise(
+        given.join(F.broadcast(waiting), here, "left").drop(*renamed.values()), "replay-rows"
+    )
+    done_path = scratch_path(spark, "replay")
+    done_schema = None
+    for level in range(max(levels.values(), default=0) + 1):
+        parts = [p for p, n in levels.items() if n == level]
+        if level == 0:
+            ready = started.filter(F.col("_from").isNull()).withColumns(
+                {"_balance0": F.lit(float(initial_balance)), "_shares0": F.lit(0).cast("bigint")}
+            )
+        else:
+            ends = (
+                spark.read.schema(done_schema).parquet(done_path)
+                .filter((F.col("_level") == level - 1) & F.col(PART).isin([sources[p] for p in parts]))
+                .groupBy(F.col(PART).alias("_end_part"))
+                .agg(F.max_by(F.struct("balance", "shares"), SLOT).alias("_end"))
+            )
+            ready = (
+                started.filter(F.col("_from").isNotNull() & F.col(PART).isin(parts))
+                .join(F.broadcast(ends), F.col("_from") == F.col("_end_part"))
+                .withColumns({"_balance0": F.col("_end.balance"), "_shares0": F.col("_end.shares")})
+                .drop("_end_part", "_end")
+            )
+        folded = _fold_segments(ready.drop("_from").withColumn("_level", F.lit(level)), by)
+        done_schema = folded.schema
+        folded.write.mode("append").parquet(done_path)
+    return spark.read.schema(done_schema).parquet(done_path).drop("_level")
+
+
+def _same_portfolio(by: Sequence[str]) -> Column:
+    """Match against a table whose portfolio columns are prefixed ``_s_``; null keys match each other."""
+    match = F.lit(True)
+    for b in by:
+        match = match & F.col(b).eqNullSafe(F.col(f"_s_{b}"))
+    return match
+
+
+def _path_layout(
+    df: DataFrame, order: Sequence[str], by: Sequence[str], initial_balance: float
+) -> OrderedLayout:
+    """The path, still laid out in order for the operators that follow."""
+    layout = _parallel_path(df, by, order, initial_balance)
+    refused = layout.df.filter("_refused").select(*by).distinct()
+    if refused.isEmpty():
+        return replace(layout, df=layout.df.drop("_refused"))
+    # partition and slot travel with the replayed rows, so the layout stays valid
+    given = layout.df.select(*df.columns, PART, SLOT)
+    if not by:
+        return replace(layout, df=_replay(given, by, initial_balance))
+    named = refused.withColumnsRenamed({b: f"_s_{b}" for b in by})
+    settled = layout.df.join(named, _same_portfolio(by), "left_anti").drop("_refused")
+    replayed = _replay(given.join(named, _same_portfolio(by), "left_semi"), by, initial_balance)
+    return replace(layout, df=settled.unionByName(replayed)).frozen()
 
 
 def backtest_path(
@@ -99,29 +191,26 @@ def backtest_path(
     initial_balance: float = INITIAL_BALANCE,
 ) -> DataFrame:
     """Add ``shares, balance, net_worth`` after each step to rows holding ``price`` and ``action``."""
-    path = materialise(_parallel_path(df, by, order, initial_balance), "backtest")
-    refused = path.filter("_refused").select(*by).distinct()
-    if refused.isEmpty():
-        return path.drop("_refused")
-    if not by:
-        return _replay(path.select(*df.columns), by, order, initial_balance)
-    settled = path.join(refused, list(by), "left_anti").drop("_refused")
-    rest = path.select(*df.columns).join(refused, list(by), "left_semi")
-    replayed = _replay(rest, by, order, initial_balance)
-    return settled.unionByName(replayed)
+    return _path_layout(df, order, by, initial_balance).rows()
+
+
+def _with_reward(layout: OrderedLayout, initial_balance: float) -> OrderedLayout:
+    price = F.col("price").cast("double")
+    laid = layout.with_previous(_price_before=price)
+    first = F.col("net_worth") - F.lit(float(initial_balance))
+    moved = F.col("shares") * (price - F.col("_price_before"))
+    rewarded = laid.with_columns(reward=F.when(F.col("_price_before").isNull(), first).otherwise(moved))
+    return replace(rewarded, df=rewarded.df.drop("_price_before"))
 
 
 def step_reward(
-    path: DataFrame, order: Sequence[str], by: Sequence[str] = (), initial_balance: float = INITIAL_BALANCE
+    df: DataFrame, order: Sequence[str], by: Sequence[str] = (), initial_balance: float = INITIAL_BALANCE
 ) -> DataFrame:
-    """Add ``reward``: shares held after the trade times the move into the price.
+    """Back-test ``df`` and add ``reward``: shares held after the trade times the move into the price.
 
     The first step's reward is its net worth minus the initial balance.
     """
-    laid = lay_out(path, order, by).with_previous(_price_before=F.col("price").cast("double"))
-    moved = F.col("shares") * (F.col("price").cast("double") - F.col("_price_before"))
-    reward = F.when(F.col("_price_before").isNull(), F.col("net_worth") - F.lit(float(initial_balance))).otherwise(moved)
-    return laid.rows().withColumn("reward", reward).drop("_price_before")
+    return _with_reward(_path_layout(df, order, by, initial_balance), initial_balance).rows()
 
 
 def backtest_summary(
@@ -147,11 +236,8 @@ def transitions(
     initial_balance: float = INITIAL_BALANCE,
 ) -> DataFrame:
     """``by, order, state, action, reward, next_state, done`` for rows holding features, price and action."""
-    path = backtest_path(df, order, by, initial_balance)
+    path = _path_layout(df, order, by, initial_balance)
     state = F.array(*[F.col(f).cast("double") for f in features])
-    price = F.col("price").cast("double")
-    laid = lay_out(path.withColumn("state", state), order, by).with_previous(_price_before=price)
-    moved = F.col("shares") * (price - F.col("_price_before"))
-    reward = F.when(F.col("_price_before").isNull(), F.col("net_worth") - F.lit(float(initial_balance))).otherwise(moved)
-    stepped = with_next_state(laid.with_columns(reward=reward), "state", len(features))
+    rewarded = _with_reward(path.with_columns(state=state), initial_balance)
+    stepped = with_next_state(rewarded, "state", len(features))
     return stepped.rows().select(*by, *order, "state", "action", "reward", "next_state", "done")

@@ -105,26 +105,24 @@ def fitted_q(
 ) -> LinearQ:
     """Fitted Q-iteration (Ernst et al. 2005) with one linear model per action.
 
-    Each round regresses Bellman targets on the state.  Only the coefficients
-    reach the driver, and they re-enter the plan as literals, so the plan does
-    not grow with the rounds.  An action never taken keeps zero values.
+    The models are fitted together: the regression features are the state and
+    a constant, placed in the block of the taken action, so one pass per round
+    solves all of them.  Only the coefficients reach the driver, and they
+    re-enter the plan as literals, so the plan does not grow with the rounds.
+    An action never taken keeps zero values.
     """
     frozen = materialise(transitions.select("state", "action", "reward", "next_state", "done"), "transitions")
+    blank = F.array_repeat(F.lit(0.0), width + 1)
+    own = F.concat("state", F.array(F.lit(1.0)))
+    blocks = F.concat(*[F.when(F.col("action") == a, own).otherwise(blank) for a in range(actions)])
+    fit = LinearRegression(regParam=regularisation, fitIntercept=False, standardization=False, solver="normal")
     q = LinearQ(((0.0,) * width,) * actions, (0.0,) * actions)
-    taken = {
-        row["action"]: row["n"]
-        for row in frozen.filter(F.col("action").between(0, actions - 1))
-        .groupBy("action").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
     for _ in range(iterations):
         target = bellman_target(F.col("reward"), F.col("done"), q.values("next_state"), gamma)
-        training = frozen.select("action", array_to_vector("state").alias("features"), target.alias("label"))
-        weights, intercepts = list(q.weights), list(q.intercepts)
-        for action in taken:
-            model = LinearRegression(regParam=regularisation, solver="normal").fit(
-                training.filter(F.col("action") == action)
-            )
-            weights[action] = tuple(float(x) for x in model.coefficients)
-            intercepts[action] = float(model.intercept)
-        q = LinearQ(tuple(weights), tuple(intercepts))
+        training = frozen.select(array_to_vector(blocks).alias("features"), target.alias("label"))
+        solved = fit.fit(training).coefficients.toArray().reshape(actions, width + 1)
+        q = LinearQ(
+            tuple(tuple(float(x) for x in row[:width]) for row in solved),
+            tuple(float(row[width]) for row in solved),
+        )
     return q

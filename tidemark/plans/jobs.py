@@ -140,7 +140,11 @@ def train_agent(
         .withColumn("price", F.col(price))
         .drop("state", "_date_text")
     )
-    seen = materialise(transitions(walked, features, [date], ["episode"], initial_balance), "transitions")
+    walked = materialise(walked, "walked")
+    trained = backtest_summary(
+        backtest_path(walked, [date], ["episode"], initial_balance), [date], ["episode"], initial_balance
+    ).collect()  # one row per episode
+    seen = transitions(walked, features, [date], ["episode"], initial_balance)
     q = fitted_q(seen, len(features), iterations)
     acted = (
         test.withColumn("state", to_vector(features))
@@ -152,6 +156,7 @@ def train_agent(
     run = _log_run(
         spark, root, {"model_type": "fitted_q"},
         {
+            **{("training_net_worth", row["episode"]): row["final_net_worth"] for row in trained},
             ("backtest_final_net_worth", None): result["final_net_worth"],
             ("backtest_profit_percentage", None): result["profit_percentage"],
         },

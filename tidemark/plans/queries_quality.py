@@ -64,8 +64,8 @@ def e5_ks_statistic(spark, sf_dir):
 @query(
     "e6_ks_pvalue",
     _STATUS_SQL
-    + """, z AS (SELECT feature, d, sqrt(n1::DOUBLE * n2 / (n1 + n2)) AS root FROM k),
-    s AS (SELECT feature, (root + 0.12 + 0.11 / root) * d AS x FROM z)
+    + """, z AS (SELECT feature, d, round(n1::DOUBLE * n2 / (n1 + n2)) AS n FROM k),
+    s AS (SELECT feature, sqrt(n) * d + 1 / (6 * sqrt(n)) + (sqrt(n) * d - 1) / (4 * n) AS x FROM z)
     SELECT feature, round(CASE WHEN any_value(x) < 0.2 THEN 1.0 ELSE
         least(1.0, 2 * sum(CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END * exp(-2 * i * i * x * x))) END, 6) AS p_value
     FROM s, generate_series(1, 100) t(i) GROUP BY feature""",

@@ -336,7 +336,8 @@ def h1_backtest_scaled_prices(spark, sf_dir):
                  ELSE shares * (price - price_before) END, 2) AS reward FROM t""",
 )
 def h2_step_reward(spark, sf_dir):
-    rewarded = B.step_reward(_customer_path(spark, sf_dir), STEP, ["o_custkey"], CUSTOMER_BALANCE)
+    steps = portfolio_steps(spark, sf_dir).drop("o_orderpriority")
+    rewarded = B.step_reward(steps, STEP, ["o_custkey"], CUSTOMER_BALANCE)
     return rewarded.select("o_orderkey", F.round("reward", 2).alias("reward"))
 
 
@@ -405,12 +406,12 @@ def h4_replay_batch(spark, sf_dir):
 
 
 # action values for the policy and target queries: simple functions of the price
-_Q_SQL = "[{p} / 1000, {p} / 900 - 20, {p} / 1100 + 15]"
+_Q_SQL = "[sqrt({p}), sqrt({p} * 2) - 150, sqrt({p} / 3) + 100]"
 
 
 def _values(price: str):
     p = F.col(price)
-    return F.array(p / 1000, p / 900 - 20, p / 1100 + 15)
+    return F.array(F.sqrt(p), F.sqrt(p * 2) - 150, F.sqrt(p / 3) + 100)
 
 
 @query(

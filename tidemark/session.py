@@ -55,3 +55,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; call it once results are stored."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
