@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import Running, keys_at, lay_out, row_position
+from tidemark.operators.ordering import Running, boundary_rows, lay_out, row_position
 
 
 def _frame(spark, rows):
@@ -73,9 +73,9 @@ def test_empty_and_single_row(spark):
     assert one.position == 1
 
 
-def test_keys_at_ranks(spark):
-    found = keys_at(spark.range(100), ["id"], [1, 50, 100, 101])
-    assert {rank: row["id"] for rank, row in found.items()} == {1: "0", 50: "49", 100: "99"}
+def test_boundary_rows(spark):
+    found = boundary_rows(spark.range(100), ["id"], [1, 50, 99], 100)
+    assert {c: (a["id"], b["id"]) for c, (a, b) in found.items()} == {1: ("0", "1"), 50: ("49", "50"), 99: ("98", "99")}
 
 
 def test_no_plan_step_gathers_all_rows(spark):

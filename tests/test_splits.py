@@ -4,6 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import ordering
 from tidemark.operators import splits as S
 
 
@@ -21,6 +22,15 @@ def test_chronological_split_with_equal_keys_is_exact(spark):
     assert sizes == {"train": 70, "validation": 15, "test": 15}
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_sketched_boundaries_are_exact(spark, monkeypatch, hot):
+    monkeypatch.setattr(ordering, "SMALL", 3)
+    lead = F.when(F.col("id") < 200, 5) if hot else F.col("id") * 3
+    df = spark.range(600).select(lead.alias("t"), "id").repartition(5)
+    rows = S.chronological_split(df, ["t", "id"]).orderBy(F.col("t").asc_nulls_first(), "id").collect()
+    assert [r.split for r in rows] == ["train"] * 420 + ["validation"] * 90 + ["test"] * 90
+
+
 def test_timestamp_keys_survive_the_boundary_literal(spark):
     start = dt.datetime(2024, 1, 1, 0, 0, 0, 123456)
     rows = [(start + dt.timedelta(microseconds=i),) for i in range(10)]
@@ -41,7 +51,7 @@ def test_holdout_is_exact_disjoint_and_repeatable(spark, n):
 
 
 def test_holdout_narrows_large_hash_ranges(spark, monkeypatch):
-    monkeypatch.setattr(S, "_RANGE_ROWS", 1)
+    monkeypatch.setattr(S, "SMALL", 1)
     got = S.random_holdout(spark.range(3000), ["id"]).filter("split = 'test'")
     order = spark.range(3000).orderBy(S.seeded_hash(42, ["id"])).limit(600)
     assert {r.id for r in got.collect()} == {r.id for r in order.collect()}
@@ -66,5 +76,5 @@ def test_sample_size_seed_and_error(spark):
 
 def test_large_sample_takes_the_same_rows_as_the_top_k(spark, monkeypatch):
     small = {r.id for r in S.sample_exact(spark.range(500), 120, ["id"]).collect()}
-    monkeypatch.setattr(S, "_RANGE_ROWS", 100)
+    monkeypatch.setattr(S, "SMALL", 100)
     assert {r.id for r in S.sample_exact(spark.range(500), 120, ["id"]).collect()} == small

@@ -39,15 +39,8 @@ def _parallel_path(
     """Path under affordable buys, with ``_refused`` marking buys the balance may not cover."""
     price = F.col("price").cast("double")
     wish = F.when(F.col("action") == BUY, 1).when(F.col("action") == SELL, -1).otherwise(0).cast("bigint")
-    net = lay_out(df, order, by).with_columns(_wish=wish).with_running(_net=Running("sum", F.col("_wish")))
-    floors = net.with_running(_floor_before=Running("min", F.col("_net"), exclusive=True)).frozen()
-    zero = F.lit(0).cast("bigint")
-    floor_before = F.least(zero, F.coalesce("_floor_before", zero))
-    floor_now = F.least(floor_before, F.col("_net"))
-    shares = floors.with_columns(
-        shares=F.col("_net") - floor_now,
-        _shares_before=F.col("_net") - F.col("_wish") - floor_before,
-    )
+    laid = lay_out(df, order, by).with_columns(_wish=wish)
+    shares = _with_shares(laid)
     spent = (F.col("shares") - F.col("_shares_before")) * price
     cash = shares.with_running(_spent=Running("sum", spent)).with_columns(
         balance=F.lit(float(initial_balance)) - F.col("_spent")
@@ -58,8 +51,43 @@ def _parallel_path(
         net_worth=F.col("balance") + F.col("shares") * price,
         _refused=(F.col("_wish") == 1) & ~(before >= price + slack),
     )
-    helpers = ("_wish", "_net", "_floor_before", "_shares_before", "_spent")
-    return OrderedLayout(path.df.drop(*helpers), path.by, path.order).frozen()
+    return OrderedLayout(path.df.drop("_wish", "_shares_before", "_spent"), path.by, path.order).frozen()
+
+
+def _with_shares(laid: OrderedLayout) -> OrderedLayout:
+    """Add ``shares`` and ``_shares_before`` from ``_wish``: the running sum less its lowest point so far.
+
+    Sum and lowest point are carried between partitions together, so one pass
+    over the layout yields both.
+    """
+    columns = laid.df.columns
+    window = laid.local_window()
+    upto_now = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    local = laid.df.withColumn("_net", F.sum("_wish").over(upto_now)).withColumn(
+        "_low_before", F.min("_net").over(earlier)
+    )
+    across = Window.partitionBy(*laid.by).orderBy(PART)
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        local.groupBy(PART, *laid.by)
+        .agg(F.sum("_wish").alias("_total"), F.min("_net").alias("_lowest"))
+        .withColumn("_sum", F.sum("_total").over(before))
+        .withColumn("_floor", F.min(F.coalesce("_sum", F.lit(0)) + F.col("_lowest")).over(before))
+        .filter(F.col("_sum").isNotNull())
+    )
+    joined = laid.join_carried(local, carried, ["_sum", "_floor"])
+    start = F.coalesce("_sum", F.lit(0))
+    net = start + F.col("_net")
+    floor_before = F.least(F.lit(0), F.col("_floor"), start + F.col("_low_before"))
+    return replace(
+        laid,
+        df=joined.select(
+            *columns,
+            (net - F.least(floor_before, net)).alias("shares"),
+            (net - F.col("_wish") - floor_before).alias("_shares_before"),
+        ),
+    )
 
 
 def _levels(continued: Sequence, by: Sequence[str]) -> dict[int, int]:
@@ -109,8 +137,10 @@ def _fold_segments(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     return rows.repartition(PART).sortWithinPartitions(PART, SLOT).mapInPandas(fold, schema)
 
 
-def _replay(given: DataFrame, by: Sequence[str], initial_balance: float) -> DataFrame:
-    """Exact row-by-row path of laid-out rows.
+def _replay(
+    given: DataFrame, settled: DataFrame | None, by: Sequence[str], initial_balance: float
+) -> DataFrame:
+    """Exact row-by-row path of laid-out rows, in one table with the ``settled`` paths.
 
     All segments that start a portfolio are replayed at once.  A portfolio that
     runs on into further partitions is replayed one partition per round, with
@@ -155,6 +185,8 @@ def _replay(given: DataFrame, by: Sequence[str], initial_balance: float) -> Data
         folded = _fold_segments(ready.drop("_from").withColumn("_level", F.lit(level)), by)
         done_schema = folded.schema
         folded.write.mode("append").parquet(done_path)
+    if settled is not None:
+        settled.withColumn("_level", F.lit(None).cast("int")).write.mode("append").parquet(done_path)
     return spark.read.schema(done_schema).parquet(done_path).drop("_level")
 
 
@@ -177,11 +209,11 @@ def _path_layout(
     # partition and slot travel with the replayed rows, so the layout stays valid
     given = layout.df.select(*df.columns, PART, SLOT)
     if not by:
-        return replace(layout, df=_replay(given, by, initial_balance))
+        return replace(layout, df=_replay(given, None, by, initial_balance))
     named = refused.withColumnsRenamed({b: f"_s_{b}" for b in by})
     settled = layout.df.join(named, _same_portfolio(by), "left_anti").drop("_refused")
-    replayed = _replay(given.join(named, _same_portfolio(by), "left_semi"), by, initial_balance)
-    return replace(layout, df=settled.unionByName(replayed)).frozen()
+    rest = given.join(named, _same_portfolio(by), "left_semi")
+    return replace(layout, df=_replay(rest, settled, by, initial_balance))
 
 
 def backtest_path(

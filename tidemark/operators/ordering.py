@@ -19,9 +19,15 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import materialise
 
+# a range of at most this many rows is sorted by a bounded top-k
+SMALL = 10_000
+_ACCURACY = 10_000  # rank error of a quantile sketch is below total / _ACCURACY
+_SKETCHED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 PART = "_part"
 SLOT = "_slot"
 # monotonically_increasing_id keeps the partition number above this bit
@@ -55,10 +61,10 @@ class OrderedLayout:
     by: tuple[str, ...]
     order: tuple[str, ...]
 
-    def _local_window(self):
+    def local_window(self):
         return Window.partitionBy(PART, *self.by).orderBy(SLOT)
 
-    def _join_carried(self, df: DataFrame, carried: DataFrame, fields: Sequence[str]) -> DataFrame:
+    def join_carried(self, df: DataFrame, carried: DataFrame, fields: Sequence[str]) -> DataFrame:
         """Left-join the at-most-one-row-per-partition table ``carried``."""
         renamed = carried.select(
             F.col(PART).alias("_c_part"),
@@ -78,7 +84,7 @@ class OrderedLayout:
         local = self.df.withColumns(
             {
                 f"_l_{name}": _AGGREGATES[s.kind](s.value).over(
-                    self._local_window().rowsBetween(Window.unboundedPreceding, upto[s.exclusive])
+                    self.local_window().rowsBetween(Window.unboundedPreceding, upto[s.exclusive])
                 )
                 for name, s in specs.items()
             }
@@ -98,7 +104,7 @@ class OrderedLayout:
             )
             .filter(F.col("_began").isNotNull())
         )
-        joined = self._join_carried(local, carried, [f"_c_{name}" for name in specs])
+        joined = self.join_carried(local, carried, [f"_c_{name}" for name in specs])
         return replace(
             self,
             df=joined.select(
@@ -118,14 +124,14 @@ class OrderedLayout:
         before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
         offsets = sizes.select(PART, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
         columns = self.df.columns
-        joined = self._join_carried(self.df, offsets, ["_offset"])
+        joined = self.join_carried(self.df, offsets, ["_offset"])
         local = F.col(SLOT).bitwiseAND(F.lit(_LOCAL_MASK))
         return replace(self, df=joined.select(*columns, (F.col("_offset") + local + 1).alias(name)))
 
     def _with_neighbour(self, values: dict[str, Column], following: bool) -> OrderedLayout:
         columns = self.df.columns
         step = F.lead if following else F.lag
-        window = self._local_window()
+        window = self.local_window()
         local = self.df.withColumns(
             {f"_v_{name}": value for name, value in values.items()}
         ).withColumns(
@@ -148,7 +154,7 @@ class OrderedLayout:
             .drop(PART)
             .withColumnRenamed("_target", PART)
         )
-        joined = self._join_carried(local, edges, ["_edge_row"])
+        joined = self.join_carried(local, edges, ["_edge_row"])
         return replace(
             self,
             df=joined.select(
@@ -209,19 +215,59 @@ def row_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), na
     return lay_out(df, order, by).with_position(name).rows()
 
 
-def keys_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int]) -> dict[int, Row]:
-    """Order keys found at the given 1-based ranks, as text; reads and shuffles the keys only.
+def _brackets(keys: DataFrame, lead: str, cuts: Sequence[int], total: int) -> list[tuple[Column | None, int, int]]:
+    """For each cut a condition on ``lead`` holding that rank, the rows below it and the rows inside it.
 
-    The driver receives ``len(ranks)`` rows.
+    Quantile sketches propose the ranges and exact counts confirm them, in two
+    passes that shuffle no rows.  A range that misses its rank is given up.
     """
-    keys = lay_out(df.select(*order), order).with_position("_rank").df
-    found = keys.filter(F.col("_rank").isin([int(r) for r in ranks])).select(
-        "_rank", *[F.col(k).cast("string").alias(k) for k in order]
-    )
-    return {row["_rank"]: row for row in found.collect()}
+    everything = [(None, 0, total)] * len(cuts)
+    kind = keys.schema[lead].dataType
+    if total <= SMALL or not isinstance(kind, _SKETCHED):
+        return everything
+    margin = 2.0 / _ACCURACY
+    wanted = [q for c in cuts for q in (max(0.0, c / total - margin), min(1.0, c / total + margin))]
+    sketch = F.percentile_approx(lead, wanted, _ACCURACY).cast("array<string>")
+    found = keys.agg(sketch.alias("q")).first()["q"]
+    if found is None:
+        return everything
+    bounds = [F.lit(v).cast(kind) for v in found]
+    below = [F.col(lead).isNull() | (F.col(lead) < low) for low in bounds[::2]]
+    inside = [(F.col(lead) >= low) & (F.col(lead) <= high) for low, high in zip(bounds[::2], bounds[1::2])]
+    counts = keys.agg(
+        *[F.count_if(c).alias(f"b{i}") for i, c in enumerate(below)],
+        *[F.count_if(c).alias(f"i{i}") for i, c in enumerate(inside)],
+    ).first()
+    result = []
+    for i, cut in enumerate(cuts):
+        low, size = counts[f"b{i}"], counts[f"i{i}"]
+        holds = low < cut and cut + 1 <= low + size
+        result.append((inside[i], low, size) if holds else everything[0])
+    return result
+
+
+def boundary_rows(df: DataFrame, order: Sequence[str], cuts: Sequence[int], total: int) -> dict[int, tuple[Row, Row]]:
+    """Order keys, as text, of the rows ranked ``cut`` and ``cut + 1``, for cuts inside 1..total-1.
+
+    Only order keys are read, and only rows near a cut are sorted.  The driver
+    receives two rows per cut, or at most ``SMALL`` keys from a small range.
+    """
+    keys = df.select(*order)
+    shown = [F.col(k).cast("string").alias(k) for k in order]
+    found = {}
+    for cut, (condition, below, size) in zip(cuts, _brackets(keys, order[0], cuts, total)):
+        near = keys.filter(condition) if condition is not None else keys
+        rank = cut - below
+        if size <= SMALL:
+            rows = near.orderBy(*order).limit(rank + 1).select(*shown).collect()[-2:]
+        else:
+            ranked = lay_out(near, order).with_position("_rank").df
+            rows = ranked.filter(F.col("_rank").isin(rank, rank + 1)).orderBy("_rank").select(*shown).collect()
+        found[cut] = (rows[0], rows[1])
+    return found
 
 
 def key_struct(df: DataFrame, order: Sequence[str], row: Row) -> Column:
-    """The keys of ``row`` (as returned by ``keys_at``) as a literal struct typed like ``df``."""
+    """The keys of ``row`` (as returned by ``boundary_rows``) as a literal struct typed like ``df``."""
     types = {f.name: f.dataType for f in df.schema.fields}
     return F.struct(*[F.lit(row[k]).cast(types[k]).alias(k) for k in order])

@@ -6,8 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,24 +104,37 @@ def fitted_q(
 ) -> LinearQ:
     """Fitted Q-iteration (Ernst et al. 2005) with one linear model per action.
 
-    The models are fitted together: the regression features are the state and
-    a constant, placed in the block of the taken action, so one pass per round
-    solves all of them.  Only the coefficients reach the driver, and they
+    Each model is a least-squares fit from summed products, so one aggregation
+    by action gives all of them and the products of the states are summed only
+    once.  The driver receives one small matrix per action, and the weights
     re-enter the plan as literals, so the plan does not grow with the rounds.
     An action never taken keeps zero values.
     """
     frozen = materialise(transitions.select("state", "action", "reward", "next_state", "done"), "transitions")
-    blank = F.array_repeat(F.lit(0.0), width + 1)
-    own = F.concat("state", F.array(F.lit(1.0)))
-    blocks = F.concat(*[F.when(F.col("action") == a, own).otherwise(blank) for a in range(actions)])
-    fit = LinearRegression(regParam=regularisation, fitIntercept=False, standardization=False, solver="normal")
-    q = LinearQ(((0.0,) * width,) * actions, (0.0,) * actions)
+    inputs = [*[F.col("state")[i] for i in range(width)], F.lit(1.0)]
+    per_action = frozen.filter(F.col("action").between(0, actions - 1)).groupBy("action")
+    pairs = [(i, j) for i in range(width + 1) for j in range(i, width + 1)]
+    sums = per_action.agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(inputs[i] * inputs[j]).alias(f"s_{i}_{j}") for i, j in pairs]
+    ).collect()
+    penalty = np.diag([regularisation] * width + [0.0])  # the constant is not penalised
+    inverses = {}
+    for row in sums:
+        moments = np.zeros((width + 1, width + 1))
+        for i, j in pairs:
+            moments[i, j] = moments[j, i] = row[f"s_{i}_{j}"]
+        inverses[row["action"]] = np.linalg.pinv(moments / row["n"] + penalty) / row["n"]
+    weights = np.zeros((actions, width + 1))
     for _ in range(iterations):
+        q = _linear_q(weights)
         target = bellman_target(F.col("reward"), F.col("done"), q.values("next_state"), gamma)
-        training = frozen.select(array_to_vector(blocks).alias("features"), target.alias("label"))
-        solved = fit.fit(training).coefficients.toArray().reshape(actions, width + 1)
-        q = LinearQ(
-            tuple(tuple(float(x) for x in row[:width]) for row in solved),
-            tuple(float(row[width]) for row in solved),
-        )
-    return q
+        products = per_action.agg(*[F.sum(x * target).alias(f"p_{i}") for i, x in enumerate(inputs)])
+        for row in products.collect():
+            weights[row["action"]] = inverses[row["action"]] @ np.array(row[1:], dtype=float)
+    return _linear_q(weights)
+
+
+def _linear_q(weights: np.ndarray) -> LinearQ:
+    return LinearQ(
+        tuple(tuple(float(x) for x in row[:-1]) for row in weights), tuple(float(row[-1]) for row in weights)
+    )

@@ -14,13 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import key_struct, keys_at, row_position
+from tidemark.operators.ordering import SMALL, boundary_rows, key_struct, row_position
 
 _HASH = "_hash"
 _DIGITS_PER_ROUND = 3  # 16**3 counters per pass
 _HASH_LENGTH = 32
-# a hash range this small is finished with a bounded top-k
-_RANGE_ROWS = 10_000
 
 
 def sort_by_time(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -38,19 +36,19 @@ def _split_conditions(
     df: DataFrame, order: Sequence[str], sizes: Sequence[int]
 ) -> list[Column] | None:
     """For each part but the last, "belongs to this or an earlier part"; None when equal keys straddle a cut."""
+    total = sum(sizes)
     cuts = [sum(sizes[: i + 1]) for i in range(len(sizes) - 1)]
-    found = keys_at(df, order, sorted({r for c in cuts for r in (c, c + 1)}))
+    found = boundary_rows(df, order, sorted({c for c in cuts if 0 < c < total}), total)
     here = F.struct(*[F.col(k) for k in order])
     conditions = []
     for cut in cuts:
-        if cut == 0:
-            conditions.append(F.lit(False))
-        elif cut not in found or cut + 1 not in found:
-            conditions.append(F.lit(True))
-        elif tuple(found[cut])[1:] == tuple(found[cut + 1])[1:]:
+        if cut not in found:
+            conditions.append(F.lit(cut > 0))
+            continue
+        last, following = found[cut]
+        if last == following:
             return None
-        else:
-            conditions.append(here <= key_struct(df, order, found[cut]))
+        conditions.append(here <= key_struct(df, order, last))
     return conditions
 
 
@@ -118,9 +116,9 @@ def _hash_boundary(
                 prefix = candidate
                 break
             rank -= rows
-        if rows <= _RANGE_ROWS or len(prefix) >= _HASH_LENGTH:
+        if rows <= SMALL or len(prefix) >= _HASH_LENGTH:
             break
-    if rows > _RANGE_ROWS:
+    if rows > SMALL:
         raise _CrowdedHash
     tail = hashed.filter(F.col(_HASH).startswith(prefix)).select(
         *[F.col(c).cast("string").alias(f"_s_{c}") for c in order], *order
@@ -176,7 +174,7 @@ def sample_exact(
     available = df.select(*keys).limit(n).count()
     if available < n:
         raise ValueError(f"cannot take {n} rows from {available}")
-    if n > _RANGE_ROWS:
+    if n > SMALL:
         return _first_by_hash(df, n, keys, seed, ties, "_taken").filter("_taken").drop("_taken")
     hashed = df.withColumn(_HASH, seeded_hash(seed, keys))
     return hashed.orderBy(_HASH, *ties).limit(n).drop(_HASH)
