@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import registry as R
 from tidemark.operators.requests import parse_requests, quarantine
+from tidemark.session import clear_scratch, materialise
 from tidemark.sources import metrics as M
 from tidemark.sources import tables as S
 from tidemark.sources.series import read_series_csv
@@ -106,3 +107,11 @@ def test_request_validation(spark):
     assert strict['{"a": "5.1", "b": 2}'] == "invalid" and strict['{"a": 1, "b": 2.5}'] == "ok"
     good, bad = quarantine(parse_requests(df, ["a", "b"]))
     assert (good.count(), bad.count()) == (3, 8)
+
+
+def test_clearing_scratch_by_label(spark):
+    kept, gone = materialise(spark.range(3), "kept"), materialise(spark.range(3), "gone")
+    clear_scratch(spark, "gone")
+    assert kept.count() == 3
+    with pytest.raises(Exception):
+        gone.count()

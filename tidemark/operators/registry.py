@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import latest_per_key
@@ -29,9 +29,10 @@ def latest_in_stage(events: DataFrame, stage: str, name: str | None = None) -> D
     return latest_per_key(current, ["name", "stage"], ["version"])
 
 
-def transition(version_rows: DataFrame, stage: str, event_seq) -> DataFrame:
-    """Event rows that move the given versions to ``stage``."""
-    return version_rows.withColumns({"stage": F.lit(stage), "event_seq": F.lit(event_seq).cast("bigint")})
+def transition(version_rows: DataFrame, stage: str, event_seq: Column | int) -> DataFrame:
+    """Event rows that move the given versions to ``stage``; append them to the events."""
+    sequence = event_seq if isinstance(event_seq, Column) else F.lit(event_seq)
+    return version_rows.withColumns({"stage": F.lit(stage), "event_seq": sequence.cast("bigint")})
 
 
 def register(registrations: DataFrame, existing: DataFrame | None = None, order: Sequence[str] = ("event_seq",)) -> DataFrame:

@@ -76,6 +76,18 @@ def g3_score_batch(spark, sf_dir):
     return scored.select(F.col("date").cast("string").alias("date"), "target", "prediction")
 
 
+@query("a8_model_by_stage")
+def a8_model_by_stage(spark, sf_dir):
+    """A saved model read back by name and stage predicts the test part as it did before."""
+    model, test = _direction_model(spark, sf_dir)
+    root = scratch_path(spark, "models")
+    transition_stage(spark, root, "direction", register_model(model, spark, root, "direction"), "Production")
+    before = model.score(test).select("date", F.col("prediction").alias("before"))
+    loaded = load_model(spark, root, "direction", "Production").score(test)
+    both = loaded.join(before, "date")
+    return both.groupBy((F.col("prediction") == F.col("before")).alias("same")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _load_linear():
     """A fixed two-class scorer standing in for a model from outside Spark."""
     import numpy as np

@@ -20,7 +20,14 @@ from tidemark.plans.inputs import (
     run_metrics,
 )
 from tidemark.session import scratch_path
-from tidemark.sources.metrics import log_metrics, push_gauges, read_gauges, read_metrics
+from tidemark.sources.metrics import (
+    append_params,
+    log_metrics,
+    push_gauges,
+    read_gauges,
+    read_metrics,
+    read_params,
+)
 
 _KS_SQL = """
 c AS (SELECT feature, x, sum(one) AS c1, sum(two) AS c2 FROM l GROUP BY 1, 2),
@@ -156,6 +163,18 @@ def f2_best_value(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(best, 6).alias("best"))
 
 
+@query(
+    "f6_replace_element",
+    """SELECT vec_id, round(list_sum(list_transform(embedding, lambda v: v::DOUBLE)) - embedding[label + 1]::DOUBLE + 9, 4) AS total FROM embeddings""",
+)
+def f6_replace_element(spark, sf_dir):
+    """The element at the label's place becomes 9; the elements are summed to show it."""
+    doubles = F.transform("embedding", lambda v: v.cast("double"))
+    replaced = D.replace_element(doubles, F.col("label"), F.lit(9.0))
+    total = F.aggregate(replaced, F.lit(0.0), lambda a, v: a + v)
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(total, 4).alias("total"))
+
+
 @query(
     "f3_binary_decision",
     "SELECT event_id, CAST(value / (value + 30) > 0.5 AS INTEGER) AS prediction FROM events",
@@ -246,6 +265,35 @@ def r4_log_metrics(spark, sf_dir):
     return read_metrics(spark, path).select("run_id", "key", "step", "value")
 
 
+@query(
+    "r4_log_params",
+    """SELECT concat('run_', CAST(user_id AS VARCHAR)) AS run_id, p.key,
+              CASE p.key WHEN 'events' THEN CAST(count(*) AS VARCHAR) ELSE min(event_type) END AS value
+       FROM events, (VALUES ('events'), ('first_type')) p(key) GROUP BY 1, 2""",
+)
+def r4_log_params(spark, sf_dir):
+    """Two parameters of every run."""
+    path = scratch_path(spark, "run-params")
+    per_run = run_metrics(spark, sf_dir).groupBy("run_id").agg(
+        F.count(F.lit(1)).cast("string").alias("events"), F.min("key").alias("first_type")
+    )
+    append_params(per_run.unpivot("run_id", ["events", "first_type"], "key", "value"), path)
+    return read_params(spark, path)
+
+
+@query(
+    "r2_stage_transition",
+    f"""SELECT name, version, CASE WHEN stage = 'Staging' THEN 'Production' ELSE stage END AS stage FROM ({_STATE_SQL})""",
+)
+def r2_stage_transition(spark, sf_dir):
+    """Every version now in Staging moves to Production; the state is read back from all events."""
+    events = registry_events(spark, sf_dir)
+    staged = R.stage_state(events).filter(F.col("stage") == "Staging")
+    newest = events.agg(F.max("event_seq")).scalar()
+    moved = R.transition(staged, "Production", newest + 1)
+    return R.stage_state(events.unionByName(moved)).select("name", "version", "stage")
+
+
 _KEYS = ["click", "error", "purchase", "signup", "view"]
 
 

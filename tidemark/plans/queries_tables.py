@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions import columns as C
 from tidemark.operators.features import encode_labels
-from tidemark.operators.splits import preview, row_count
+from tidemark.operators.ordering import row_position
+from tidemark.operators.splits import part_sizes, preview, row_count
 from tidemark.plans.catalog import query, table
 from tidemark.plans.inputs import FEATURES, LINE_KEYS, SERIES_COLUMNS, SERIES_SQL, daily_series, labelled_lines
 from tidemark.plans.jobs import ingest_labelled, prepare_series
@@ -155,6 +156,14 @@ def a7_metric_gauges(spark, sf_dir):
     return read_gauges(spark, path).select("job", "metric", "value")
 
 
+@query(
+    "e4_row_count",
+    "SELECT l_linestatus, count(*) AS rows FROM lineitem GROUP BY 1",
+)
+def e4_row_count(spark, sf_dir):
+    return part_sizes(table(spark, sf_dir, "lineitem"), "l_linestatus")
+
+
 @query("b1_numeric_only", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def b1_numeric_only(spark, sf_dir):
     return C.select_numeric(table(spark, sf_dir, "orders"))
@@ -214,6 +223,17 @@ def b6_casts(spark, sf_dir):
     return typed.withColumn("day", F.col("day").cast("string"))
 
 
+@query(
+    "b7_row_key",
+    "SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS position FROM orders",
+)
+def b7_row_key(spark, sf_dir):
+    """The time key gives rows their place; resetting it turns the place into a column counted from 0."""
+    orders = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey", "o_totalprice")
+    placed = row_position(orders, ["o_orderdate", "o_orderkey"])
+    return placed.select("o_orderkey", "o_totalprice", (F.col("position") - 1).alias("position"))
+
+
 @query(
     "b8_to_vector",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS price, CAST(4 AS INTEGER) AS width,

@@ -57,7 +57,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables; call it once results are stored."""
+def clear_scratch(spark: SparkSession, label: str = "") -> None:
+    """Delete this application's intermediate tables whose label starts with ``label``.
+
+    Call it once the results that read them are stored.
+    """
     root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in files.listStatus(root):
+        if entry.getPath().getName().startswith(label):
+            files.delete(entry.getPath(), True)

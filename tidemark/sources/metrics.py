@@ -51,7 +51,12 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 def log_params(spark: SparkSession, run_id: str, params: Mapping[str, object], path: str) -> None:
     """Append one run's parameters as text."""
     rows = [(run_id, k, str(v)) for k, v in params.items()]
-    spark.createDataFrame(rows, PARAM_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    append_params(spark.createDataFrame(rows, PARAM_SCHEMA).coalesce(1), path)
+
+
+def append_params(params: DataFrame, path: str) -> None:
+    """Append the parameters of many runs (``run_id, key, value``)."""
+    params.select("run_id", "key", F.col("value").cast("string").alias("value")).write.mode("append").parquet(path)
 
 
 def read_params(spark: SparkSession, path: str) -> DataFrame:
