@@ -65,6 +65,8 @@ def test_equal_disjoint_and_missing_samples(spark):
     assert (same.statistic, same.p_value, same.drifted) == (0.0, 1.0, False)
     apart = K.drift_test(_frame(spark, range(20)), _frame(spark, range(100, 120)), ["v"]).first()
     assert apart.statistic == 1.0 and apart.drifted
+    empty = K.drift_test(_frame(spark, [1, 2]), _frame(spark, []), ["v"]).first()
+    assert empty.statistic is None and empty.p_value is None
     holed = K.drift_test(_frame(spark, [1, None]), _frame(spark, [1, 2]), ["v"]).first()
     assert holed.statistic is None and holed.p_value is None and not holed.drifted
 

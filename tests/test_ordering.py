@@ -65,6 +65,14 @@ def test_position_is_global_and_per_group(spark):
     assert all(r.position == (r.k + 1 if r.g else r.k - 9) for r in grouped)
 
 
+def test_a_key_shared_by_many_rows_is_spread(spark):
+    df = spark.range(4000).select(F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("t"), "id")
+    laid = lay_out(df, ["t"], partitions=8).with_position("p")
+    sizes = [r["count"] for r in laid.df.groupBy("_part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
+    assert sorted(r.p for r in laid.rows().collect()) == list(range(1, 4001))
+
+
 def test_empty_and_single_row(spark):
     empty = spark.range(0).withColumnRenamed("id", "k")
     assert row_position(empty, ["k"]).count() == 0

@@ -256,7 +256,7 @@ def backtest_summary(
         *by,
         "final_net_worth",
         profit.alias("total_profit"),
-        (profit / start * 100).alias("profit_percentage"),
+        (F.try_divide(profit, start) * 100).alias("profit_percentage"),
     )
 
 

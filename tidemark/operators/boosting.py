@@ -20,6 +20,8 @@ from tidemark.functions.decisions import argmax
 MULTICLASS = {"max_depth": 4, "step_size": 0.1, "max_rounds": 100, "patience": 10}
 BINARY = {"max_depth": 6, "step_size": 0.3, "max_rounds": 100, "patience": 10}
 
+# the first training run of an early-stopped fit lasts this many times the patience
+_FIRST_TRY = 3
 _FEATURES = "_features"
 _LABEL = "_label"
 
@@ -82,13 +84,19 @@ def _fit_one(
         )
         return booster.setRawPredictionCol(f"_r_{index}").setProbabilityCol(f"_p_{index}").fit(train)
 
-    model = fit(settings["max_rounds"])
+    most, patience = settings["max_rounds"], settings["patience"]
     if validation is None:
-        return model, []
-    losses = list(model.evaluateEachIteration(validation))
-    best, _ = best_and_stop(losses, settings["patience"])
-    # with the same rows and seed, fewer rounds give the same leading trees
-    return (model if best + 1 == len(losses) else fit(best + 1)), losses
+        return fit(most), []
+    # with the same rows and seed, fewer rounds give the same leading trees: a short
+    # run that already stalls spares the full one, and the best round is refitted
+    for rounds in sorted({min(_FIRST_TRY * patience, most), most}):
+        model = fit(rounds)
+        losses = list(model.evaluateEachIteration(validation))
+        best, stop = best_and_stop(losses, patience)
+        if stop - best >= patience:
+            break
+    losses = losses[: stop + 1]
+    return (model if best + 1 == rounds else fit(best + 1)), losses
 
 
 def _train(

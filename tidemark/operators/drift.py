@@ -60,7 +60,7 @@ def ks_statistic(reference: DataFrame, production: DataFrame, features: Sequence
     running = counts.with_running(
         r1=Running("sum", F.col("c1")), r2=Running("sum", F.col("c2"))
     ).rows()
-    gap = F.abs(F.col("r1") / F.col("n1") - F.col("r2") / F.col("n2"))
+    gap = F.abs(F.try_divide("r1", "n1") - F.try_divide("r2", "n2"))
     # one totals row per feature named in the call
     return (
         running.join(F.broadcast(totals), "feature")
@@ -70,9 +70,7 @@ def ks_statistic(reference: DataFrame, production: DataFrame, features: Sequence
             "feature",
             "n1",
             "n2",
-            F.when(~F.col("incomplete") & (F.col("n1") > 0) & (F.col("n2") > 0), F.col("gap")).alias(
-                "statistic"
-            ),
+            F.when(~F.col("incomplete"), F.col("gap")).alias("statistic"),
         )
     )
 
@@ -146,9 +144,9 @@ def ks_by_window(reference: DataFrame, value: str, counts: DataFrame, by: Sequen
     )
     running = lay_out(located, ["x"], by=by).with_running(r2=Running("sum", F.col("c2"))).rows()
     sizes = counts.groupBy(*by).agg(F.sum("c2").alias("n2"))
-    share = F.col("r2") / F.col("n2")
-    share_below = (F.col("r2") - F.col("c2")) / F.col("n2")
-    gap = F.greatest(share - F.col("upto") / F.col("n1"), F.col("below") / F.col("n1") - share_below)
+    share, share_below = F.col("r2") / F.col("n2"), (F.col("r2") - F.col("c2")) / F.col("n2")
+    # an empty reference has no CDF, so the statistic is null
+    gap = F.greatest(share - F.try_divide("upto", "n1"), F.try_divide("below", "n1") - share_below)
     return (
         running.join(sizes, list(by))
         .withColumn("n1", n1)

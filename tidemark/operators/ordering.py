@@ -196,14 +196,16 @@ def lay_out(
 ) -> OrderedLayout:
     """Lay ``df`` out by ``by + order``.
 
-    ``order`` should be a total order within a group: rows equal on every key
-    keep an arbitrary, but frozen, order and share one partition.
+    Rows equal on every key are ordered by a hash of the whole row, which also
+    spreads a key shared by very many different rows over several partitions.
     """
-    keys = [*by, *order]
+    keys = [*by, *order, "_tie"]
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
-        df.repartitionByRange(count, *keys)
+        df.withColumn("_tie", F.xxhash64(*df.columns))
+        .repartitionByRange(count, *keys)
         .sortWithinPartitions(*keys)
+        .drop("_tie")
         .withColumn(SLOT, F.monotonically_increasing_id())
         .withColumn(PART, F.shiftright(SLOT, _PARTITION_SHIFT).cast("int"))
     )

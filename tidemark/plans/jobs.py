@@ -39,7 +39,7 @@ def _log_run(
 ) -> str:
     run_id = uuid.uuid4().hex
     log_params(spark, run_id, params, f"{root}/params")
-    rows = [(run_id, key, step, float(value), time.time()) for (key, step), value in metrics.items()]
+    rows = [(run_id, key, step, float(value), time.time()) for (key, step), value in metrics.items() if value is not None]
     frame = spark.createDataFrame(rows, "run_id string, key string, step bigint, value double, at double")
     log_metrics(frame.withColumn("ts", F.timestamp_seconds("at")).coalesce(1), f"{root}/metrics")
     return run_id

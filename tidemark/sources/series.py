@@ -12,7 +12,7 @@ from tidemark.functions.columns import nan_to_null
 def read_series_csv(
     spark: SparkSession, path: str, date_column: str = "date", schema: T.StructType | None = None
 ) -> DataFrame:
-    """Header CSV with typed columns and ``date_column`` as a timestamp.
+    """Header CSV with typed columns and ``date_column`` as a timestamp (null where it does not parse).
 
     Types are inferred unless ``schema`` is given; give one for large inputs,
     since inference reads the files twice.
@@ -20,4 +20,4 @@ def read_series_csv(
     reader = spark.read.option("header", True).option("nanValue", "NaN")
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     scanned = reader.csv(path)
-    return nan_to_null(scanned.withColumn(date_column, F.to_timestamp(date_column)))
+    return nan_to_null(scanned.withColumn(date_column, F.try_to_timestamp(date_column)))
