@@ -41,18 +41,19 @@ def test_refused_buys_and_negative_prices(spark):
 
 
 @pytest.mark.parametrize("balance", [100.0, 1e6])
-def test_long_portfolios_against_a_plain_fold(spark, balance):
+@pytest.mark.parametrize("names,kind", [(("hot", None, "b"), "string"), ((7, None, 8), "int")])
+def test_long_portfolios_against_a_plain_fold(spark, balance, names, kind):
     rng = random.Random(2)
     rows = [
         (name, i, float(rng.randint(-20, 100)), rng.choice([0, 1, 1, 2, 2, 7]))
-        for name, n in (("hot", 800), (None, 60), ("b", 90))
+        for name, n in zip(names, (800, 60, 90))
         for i in range(n)
     ]
-    df = spark.createDataFrame(rows, "name string, step int, price double, action int")
+    df = spark.createDataFrame(rows, f"name {kind}, step int, price double, action int")
     path = B.backtest_path(df.repartition(5), ["step"], ["name"], balance)
     got = {(r.name, r.step): (r.shares, r.balance, r.net_worth) for r in path.collect()}
     assert len(got) == len(rows)
-    for name in ("hot", None, "b"):
+    for name in names:
         mine = [r for r in rows if r[0] == name]
         for row, want in zip(mine, _fold([r[2] for r in mine], [r[3] for r in mine], balance)):
             assert got[row[:2]] == want

@@ -51,7 +51,7 @@ def _parallel_path(
         net_worth=F.col("balance") + F.col("shares") * price,
         _refused=(F.col("_wish") == 1) & ~(before >= price + slack),
     )
-    return OrderedLayout(path.df.drop("_wish", "_shares_before", "_spent"), path.by, path.order).frozen()
+    return replace(path, df=path.df.drop("_wish", "_shares_before", "_spent")).frozen()
 
 
 def _with_shares(laid: OrderedLayout) -> OrderedLayout:
@@ -64,7 +64,7 @@ def _with_shares(laid: OrderedLayout) -> OrderedLayout:
     window = laid.local_window()
     upto_now = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-    local = laid.df.withColumn("_net", F.sum("_wish").over(upto_now)).withColumn(
+    local = laid.placed_rows().withColumn("_net", F.sum("_wish").over(upto_now)).withColumn(
         "_low_before", F.min("_net").over(earlier)
     )
     across = Window.partitionBy(*laid.by).orderBy(PART)
@@ -82,6 +82,7 @@ def _with_shares(laid: OrderedLayout) -> OrderedLayout:
     floor_before = F.least(F.lit(0), F.col("_floor"), start + F.col("_low_before"))
     return replace(
         laid,
+        placed=True,
         df=joined.select(
             *columns,
             (net - F.least(floor_before, net)).alias("shares"),
@@ -104,7 +105,7 @@ def _levels(continued: Sequence, by: Sequence[str]) -> dict[int, int]:
     return levels
 
 
-def _fold_segments(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+def _fold_segments(rows: DataFrame, by: Sequence[str], parts: int | None = None) -> DataFrame:
     """Trade through each (partition, portfolio) segment from the state in ``_balance0, _shares0``."""
     kept = [f for f in rows.schema.fields if f.name not in ("_balance0", "_shares0")]
     schema = T.StructType(
@@ -120,11 +121,14 @@ def _fold_segments(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, balance, shares = None, 0.0, 0
         for batch in batches:
-            columns = [batch[k] for k in [*keys, "_balance0", "_shares0", "action"]]
+            # a missing key arrives as NaN, which would not equal itself
+            named = [[None if v != v else v for v in batch[k].tolist()] for k in keys]
+            starts = zip(batch["_balance0"].tolist(), batch["_shares0"].tolist())
+            steps = zip(batch["action"].tolist(), batch["price"].astype(float).tolist())
             held, cash, worth = [], [], []
-            for *key, balance0, shares0, action, price in zip(*columns, batch["price"].astype(float)):
+            for key, start, (action, price) in zip(zip(*named), starts, steps):
                 if key != current:
-                    current, balance, shares = key, balance0, shares0
+                    current, (balance, shares) = key, start
                 if action == BUY and balance >= price:
                     balance, shares = balance - price, shares + 1
                 elif action == SELL and shares > 0:
@@ -134,11 +138,13 @@ def _fold_segments(rows: DataFrame, by: Sequence[str]) -> DataFrame:
                 worth.append(balance + shares * price)
             yield batch.drop(columns=["_balance0", "_shares0"]).assign(shares=held, balance=cash, net_worth=worth)
 
-    return rows.repartition(PART).sortWithinPartitions(PART, SLOT).mapInPandas(fold, schema)
+    # one task per partition of the whole layout, or of the few given ones
+    placed = rows.repartitionById(parts, PART) if parts else rows.repartition(PART)
+    return placed.sortWithinPartitions(PART, SLOT).mapInPandas(fold, schema)
 
 
 def _replay(
-    given: DataFrame, settled: DataFrame | None, by: Sequence[str], initial_balance: float
+    given: DataFrame, settled: DataFrame | None, by: Sequence[str], initial_balance: float, layout_parts: int
 ) -> DataFrame:
     """Exact row-by-row path of laid-out rows, in one table with the ``settled`` paths.
 
@@ -161,18 +167,19 @@ def _replay(
     started = materialise(
         given.join(F.broadcast(waiting), here, "left").drop(*renamed.values()), "replay-rows"
     )
-    done_path = scratch_path(spark, "replay")
-    done_schema = None
+    done: list[str] = []
+    schema = None
     for level in range(max(levels.values(), default=0) + 1):
-        parts = [p for p, n in levels.items() if n == level]
         if level == 0:
             ready = started.filter(F.col("_from").isNull()).withColumns(
                 {"_balance0": F.lit(float(initial_balance)), "_shares0": F.lit(0).cast("bigint")}
             )
         else:
+            parts = [p for p, n in levels.items() if n == level]
+            # the state left by the last row of each awaited partition; one row per partition
             ends = (
-                spark.read.schema(done_schema).parquet(done_path)
-                .filter((F.col("_level") == level - 1) & F.col(PART).isin([sources[p] for p in parts]))
+                spark.read.schema(schema).parquet(done[-1])
+                .filter(F.col(PART).isin([sources[p] for p in parts]))
                 .groupBy(F.col(PART).alias("_end_part"))
                 .agg(F.max_by(F.struct("balance", "shares"), SLOT).alias("_end"))
             )
@@ -182,12 +189,14 @@ def _replay(
                 .withColumns({"_balance0": F.col("_end.balance"), "_shares0": F.col("_end.shares")})
                 .drop("_end_part", "_end")
             )
-        folded = _fold_segments(ready.drop("_from").withColumn("_level", F.lit(level)), by)
-        done_schema = folded.schema
-        folded.write.mode("append").parquet(done_path)
-    if settled is not None:
-        settled.withColumn("_level", F.lit(None).cast("int")).write.mode("append").parquet(done_path)
-    return spark.read.schema(done_schema).parquet(done_path).drop("_level")
+        folded = _fold_segments(ready.drop("_from"), by, layout_parts if level == 0 else None)
+        schema = folded.schema
+        done.append(scratch_path(spark, "replay"))
+        folded.write.parquet(done[-1])
+    replayed = spark.read.schema(schema).parquet(*done)
+    if settled is None:
+        return replayed
+    return replayed.unionByName(materialise(settled, "settled"))
 
 
 def _same_portfolio(by: Sequence[str]) -> Column:
@@ -209,11 +218,11 @@ def _path_layout(
     # partition and slot travel with the replayed rows, so the layout stays valid
     given = layout.df.select(*df.columns, PART, SLOT)
     if not by:
-        return replace(layout, df=_replay(given, None, by, initial_balance))
+        return replace(layout, df=_replay(given, None, by, initial_balance, layout.parts))
     named = refused.withColumnsRenamed({b: f"_s_{b}" for b in by})
     settled = layout.df.join(named, _same_portfolio(by), "left_anti").drop("_refused")
     rest = given.join(named, _same_portfolio(by), "left_semi")
-    return replace(layout, df=_replay(rest, settled, by, initial_balance))
+    return replace(layout, df=_replay(rest, settled, by, initial_balance, layout.parts))
 
 
 def backtest_path(

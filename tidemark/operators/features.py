@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,7 +70,7 @@ def with_next_state(layout: OrderedLayout, state: str, width: int) -> OrderedLay
     zeros = F.array_repeat(F.lit(0.0), width)
     done = F.col("_more").isNull()
     widened = ahead.with_columns(next_state=F.when(done, zeros).otherwise(F.col("_ahead")), done=done)
-    return OrderedLayout(widened.df.drop("_ahead", "_more"), layout.by, layout.order)
+    return replace(widened, df=widened.df.drop("_ahead", "_more"))
 
 
 def next_state(

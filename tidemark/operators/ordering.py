@@ -55,15 +55,25 @@ def _combine(kind: str, carried: Column, local: Column) -> Column:
 
 @dataclass(frozen=True)
 class OrderedLayout:
-    """Rows laid out in order over partitions; each method returns a wider layout."""
+    """Rows laid out in order over ``parts`` partitions; each method returns a wider layout.
+
+    ``placed`` tells that the plan already holds each layout partition in one
+    task, so a chain of ordered steps moves the rows only once.
+    """
 
     df: DataFrame
     by: tuple[str, ...]
     order: tuple[str, ...]
+    parts: int
+    placed: bool = False
 
     def local_window(self):
         return Window.partitionBy(PART, *self.by).orderBy(SLOT)
 
+    def placed_rows(self) -> DataFrame:
+        """Rows with exactly one layout partition per task, which ``local_window`` needs."""
+        return self.df if self.placed else self.df.repartitionById(self.parts, PART)
+
     def join_carried(self, df: DataFrame, carried: DataFrame, fields: Sequence[str]) -> DataFrame:
         """Left-join the at-most-one-row-per-partition table ``carried``."""
         renamed = carried.select(
@@ -81,7 +91,7 @@ class OrderedLayout:
         """Add running aggregates within each ``by`` group."""
         columns = self.df.columns
         upto = {False: Window.currentRow, True: -1}
-        local = self.df.withColumns(
+        local = self.placed_rows().withColumns(
             {
                 f"_l_{name}": _AGGREGATES[s.kind](s.value).over(
                     self.local_window().rowsBetween(Window.unboundedPreceding, upto[s.exclusive])
@@ -107,6 +117,7 @@ class OrderedLayout:
         joined = self.join_carried(local, carried, [f"_c_{name}" for name in specs])
         return replace(
             self,
+            placed=True,
             df=joined.select(
                 *columns,
                 *[
@@ -132,7 +143,7 @@ class OrderedLayout:
         columns = self.df.columns
         step = F.lead if following else F.lag
         window = self.local_window()
-        local = self.df.withColumns(
+        local = self.placed_rows().withColumns(
             {f"_v_{name}": value for name, value in values.items()}
         ).withColumns(
             {
@@ -157,6 +168,7 @@ class OrderedLayout:
         joined = self.join_carried(local, edges, ["_edge_row"])
         return replace(
             self,
+            placed=True,
             df=joined.select(
                 *columns,
                 *[
@@ -181,7 +193,7 @@ class OrderedLayout:
 
     def frozen(self) -> OrderedLayout:
         """Write the layout, so that a chain of ordered steps does not recompute itself."""
-        return replace(self, df=materialise(self.df, "layout"))
+        return replace(self, df=materialise(self.df, "layout"), placed=False)
 
     def rows(self) -> DataFrame:
         """The rows without the layout's own columns."""
@@ -209,7 +221,7 @@ def lay_out(
         .withColumn(SLOT, F.monotonically_increasing_id())
         .withColumn(PART, F.shiftright(SLOT, _PARTITION_SHIFT).cast("int"))
     )
-    return OrderedLayout(materialise(ranged, "layout"), tuple(by), tuple(order))
+    return OrderedLayout(materialise(ranged, "layout"), tuple(by), tuple(order), count)
 
 
 def row_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name: str = "position") -> DataFrame:
