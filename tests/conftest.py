@@ -15,6 +15,8 @@ def spark(tmp_path_factory):
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
+        # small test data must still cross partition edges
+        spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("scratch")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -212,16 +212,18 @@ def lay_out(
     spreads a key shared by very many different rows over several partitions.
     """
     keys = [*by, *order, "_tie"]
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.withColumn("_tie", F.xxhash64(*df.columns))
-        .repartitionByRange(count, *keys)
-        .sortWithinPartitions(*keys)
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns))
+    # without a given count, adaptive execution sizes the partitions by their bytes
+    ranged = tied.repartitionByRange(partitions, *keys) if partitions else tied.repartitionByRange(*keys)
+    slotted = (
+        ranged.sortWithinPartitions(*keys)
         .drop("_tie")
         .withColumn(SLOT, F.monotonically_increasing_id())
         .withColumn(PART, F.shiftright(SLOT, _PARTITION_SHIFT).cast("int"))
     )
-    return OrderedLayout(materialise(ranged, "layout"), tuple(by), tuple(order), count)
+    rows = materialise(slotted, "layout")
+    parts = partitions or (rows.agg(F.max(PART)).first()[0] or 0) + 1
+    return OrderedLayout(rows, tuple(by), tuple(order), parts)
 
 
 def row_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name: str = "position") -> DataFrame:

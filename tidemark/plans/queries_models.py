@@ -209,6 +209,8 @@ def s3_request_totals(spark, sf_dir):
     return W.request_totals(table(spark, sf_dir, "events"), "event_type")
 
 
+# seconds since 1970 of a timestamp without zone
+_EPOCH = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
 _BOUNDS = [1, 5, 10, 50, 100]
 
 
@@ -233,7 +235,7 @@ def s3_latency_histogram(spark, sf_dir):
 )
 def s3_in_progress(spark, sf_dir):
     """Each event is open for as many minutes as its value."""
-    start = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    start = F.expr(_EPOCH)
     log = table(spark, sf_dir, "events").select(
         "event_type", start.alias("start"), (start + F.floor(F.col("value") * 60)).alias("end")
     )
@@ -249,6 +251,6 @@ def s3_in_progress(spark, sf_dir):
 )
 def s4_request_rate_5m(spark, sf_dir):
     log = table(spark, sf_dir, "events").select(
-        "event_type", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("epoch_s")
+        "event_type", F.expr(_EPOCH).alias("epoch_s")
     )
     return W.trailing_rate(log, "event_type", "epoch_s").withColumn("rate", F.round("rate", 8))

@@ -7,6 +7,7 @@ the loss of executors, and later passes read only the columns they need.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -39,11 +40,16 @@ def scratch_root(spark: SparkSession) -> str:
     if not configured:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        configured = _local_folder()
     return f"{configured.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+@functools.cache
+def _local_folder() -> str:
+    """One temporary folder per process, for local mode without a configured folder."""
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the scratch folder."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
