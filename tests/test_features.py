@@ -48,8 +48,8 @@ def test_next_state_ends_with_zeros(spark):
 
 def test_prepare_series_drops_incomplete_rows_after_labelling(spark):
     rows = [("2024-01-0%d" % (i + 1), v, "text") for i, v in enumerate([1.0, 2.0, None, 1.0])]
-    df = spark.createDataFrame(rows, "date string, ISE double, note string").withColumn("date", F.to_timestamp("date"))
-    got = prepare_series(df, "ISE").orderBy("date").collect()
+    df = spark.createDataFrame(rows, "date string, close double, note string").withColumn("date", F.to_timestamp("date"))
+    got = prepare_series(df, "close").orderBy("date").collect()
     assert [r.target for r in got] == [1, 0, 0]
     assert "note" not in got[0].asDict()
 

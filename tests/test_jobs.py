@@ -32,23 +32,23 @@ def flowers(spark, tmp_path_factory):
 
 def test_ingest_train_promote_score(spark, flowers, tmp_path):
     root, out = str(tmp_path / "models"), str(tmp_path / "predictions")
-    result = jobs.train_labelled(spark, flowers, root, "iris", FEATURES, ["sl", "sw"], max_rounds=5)
+    result = jobs.train_labelled(spark, flowers, root, "flowers", FEATURES, ["sl", "sw"], max_rounds=5)
     assert result["version"] == 1 and result["accuracy"] > 0.9
     with pytest.raises(ModelNotFound):
-        jobs.score_table(spark, flowers, out, root, "iris", "Staging")
-    transition_stage(spark, root, "iris", 1, "Staging")
-    jobs.score_table(spark, flowers, out, root, "iris", "Staging")
+        jobs.score_table(spark, flowers, out, root, "flowers", "Staging")
+    transition_stage(spark, root, "flowers", 1, "Staging")
+    jobs.score_table(spark, flowers, out, root, "flowers", "Staging")
     predictions = read_table(spark, out)
     assert predictions.count() == 180 and "prediction" in predictions.columns
     assert predictions.filter(F.col("prediction") != F.col("target")).count() < 18
     # every probability vector covers the three classes and sums to one
     sums = predictions.select(F.aggregate("probability", F.lit(0.0), lambda a, v: a + v).alias("s"), F.size("probability").alias("n"))
     assert sums.filter((F.abs(F.col("s") - 1) > 1e-9) | (F.col("n") != 3)).count() == 0
-    model = load_model(spark, root, "iris", "Staging")
+    model = load_model(spark, root, "flowers", "Staging")
     leftmost = score_batch(read_table(spark, flowers), model, "leftmost_probability")
     assert leftmost.filter(F.col("prediction") != F.col("probability")[0]).count() == 0
     # an unchanged schema may be overwritten, a changed one may not
-    jobs.score_table(spark, flowers, out, root, "iris", "Staging")
+    jobs.score_table(spark, flowers, out, root, "flowers", "Staging")
     with pytest.raises(SchemaMismatch):
         overwrite_table(predictions.drop("prediction"), out)
     assert read_metrics(spark, f"{root}/metrics").filter("key = 'accuracy'").count() == 1
@@ -57,7 +57,7 @@ def test_ingest_train_promote_score(spark, flowers, tmp_path):
 
 def _series_csv(tmp_path, n=120):
     rng = random.Random(4)
-    lines = ["date,ISE,SP,note"]
+    lines = ["date,close,SP,note"]
     for i in range(n):
         lines.append(f"2024-{1 + i // 28:02d}-{1 + i % 28:02d},{rng.gauss(0, 1):.6f},{rng.gauss(0, 1):.6f},x")
     file = tmp_path / "series.csv"
@@ -67,14 +67,14 @@ def _series_csv(tmp_path, n=120):
 
 def test_series_experiment(spark, tmp_path):
     path, root = str(tmp_path / "series"), str(tmp_path / "runs")
-    jobs.ingest_series(spark, _series_csv(tmp_path), "ISE", path)
+    jobs.ingest_series(spark, _series_csv(tmp_path), "close", path)
     table = read_table(spark, path)
-    assert table.columns == ["date", "ISE", "SP", "target"] and table.count() == 120
+    assert table.columns == ["date", "close", "SP", "target"] and table.count() == 120
     kept = jobs.train_direction(spark, path, root, "direction", max_rounds=3, minimum=0.0)
     assert kept["version"] == 1
     gated = jobs.train_direction(spark, path, root, "direction", max_rounds=3, minimum=1.01)
     assert gated["version"] is None and read_events(spark, root).count() == 1
-    agent = jobs.train_agent(spark, path, root, "ISE", episodes=2, iterations=2)
+    agent = jobs.train_agent(spark, path, root, "close", episodes=2, iterations=2)
     assert agent["total_profit"] == pytest.approx(agent["final_net_worth"] - 10_000)
     keys = {r.key for r in read_metrics(spark, f"{root}/metrics").select("key").distinct().collect()}
     assert {"test_accuracy", "best_iteration", "training_net_worth", "backtest_final_net_worth"} <= keys

@@ -35,9 +35,9 @@ def test_unpublished_snapshot_is_invisible(spark, tmp_path):
 
 def test_csv_series(spark, tmp_path):
     file = tmp_path / "s.csv"
-    file.write_text("date,ISE,note\n2024-01-02,2.5,x\n2024-01-01,NaN,y\nsoon,1.0,z\n")
+    file.write_text("date,close,note\n2024-01-02,2.5,x\n2024-01-01,NaN,y\nsoon,1.0,z\n")
     rows = read_series_csv(spark, str(file)).orderBy("date").collect()
-    assert [r.ISE for r in rows] == [1.0, None, 2.5]
+    assert [r.close for r in rows] == [1.0, None, 2.5]
     assert rows[0].date is None and rows[2].date.day == 2
 
 

@@ -85,7 +85,7 @@ def train_labelled(
     reached = accuracy(model.score(test), "_code").first()["accuracy"]
     version = register_model(model, spark, root, name)
     run = _log_run(
-        spark, root, {"data_path": path, "objective": "multi:softprob", "num_class": model.classes, **settings},
+        spark, root, {"data_path": path, "model_type": "one_vs_rest_boosted_trees", "num_class": model.classes, **settings},
         {("accuracy", None): reached},
     )
     return {"run_id": run, "accuracy": reached, "version": version}
