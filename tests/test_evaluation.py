@@ -44,6 +44,7 @@ def test_quality_of_a_class_never_predicted(spark):
 
 
 def test_alert_rules(spark):
-    gauges = spark.createDataFrame([("j", "a_p_value", 0.01), ("j", "b_p_value", 0.5), ("j", "a_count", 9.0)], "job string, metric string, value double")
+    rows = [("j", "a_p_value", 0.01), ("j", "b_p_value", 0.5), ("j", "a_count", 9.0)]
+    gauges = spark.createDataFrame(rows, "job string, metric string, value double")
     hit = E.alerts(gauges, {"_p_value": ("below", 0.05), "_count": ("above", 10)}).collect()
     assert [(r.metric, r.rule) for r in hit] == [("a_p_value", "_p_value below 0.05")]

@@ -73,6 +73,11 @@ def test_a_key_shared_by_many_rows_is_spread(spark):
     assert sorted(r.p for r in laid.rows().collect()) == list(range(1, 4001))
 
 
+def test_map_columns_travel_along(spark):
+    df = spark.range(5).withColumn("m", F.create_map(F.lit("a"), F.col("id")))
+    assert {(r.m["a"], r.position) for r in row_position(df, ["id"]).collect()} == {(i, i + 1) for i in range(5)}
+
+
 def test_empty_and_single_row(spark):
     empty = spark.range(0).withColumnRenamed("id", "k")
     assert row_position(empty, ["k"]).count() == 0

@@ -63,7 +63,9 @@ def _events(spark, rows):
 
 
 def test_registry_stages(spark):
-    events = _events(spark, [("m", 1, "None", 1), ("m", 1, "Staging", 2), ("m", 2, "None", 3), ("m", 2, "Staging", 4), ("m", 2, "Archived", 5)])
+    first = [("m", 1, "None", 1), ("m", 1, "Staging", 2)]
+    second = [("m", 2, "None", 3), ("m", 2, "Staging", 4), ("m", 2, "Archived", 5)]
+    events = _events(spark, [*first, *second])
     assert R.latest_in_stage(events, "Staging").first().version == 1
     assert R.latest_in_stage(events, "Production").count() == 0
     assert R.model_ready(events, "m", "Staging").first().ready

@@ -212,7 +212,9 @@ def lay_out(
     spreads a key shared by very many different rows over several partitions.
     """
     keys = [*by, *order, "_tie"]
-    tied = df.withColumn("_tie", F.xxhash64(*df.columns))
+    # maps cannot be hashed
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    tied = df.withColumn("_tie", F.xxhash64(*hashed))
     # without a given count, adaptive execution sizes the partitions by their bytes
     ranged = tied.repartitionByRange(partitions, *keys) if partitions else tied.repartitionByRange(*keys)
     slotted = (
