@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
+
 # white space between words: blank, tab, line feed, vertical tab, form feed, carriage return
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 NOT_SPACE_CLASS = r"[^\x20\x09-\x0D]"
@@ -107,3 +109,20 @@ def word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum((codes.astype(np.uint64) + np.uint64(0x1F3)) * powers[: len(codes)], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * inverses[starts])
+
+
+FIT_ROWS = 20_000
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """A written table (text, label) of about ``fit_rows`` labelled documents at most.
+
+    The labels are sampled first, by a hash of their ids, so that what is
+    broadcast to the documents is bounded by ``fit_rows``; documents are not
+    shuffled.  Of several labels of one id the largest counts.
+    """
+    given = labels.where(learn_from & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    chosen = bounded_sample(given, F.col("doc_id"), fit_rows).withColumnRenamed("doc_id", "_labelled")
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
+    joined = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_labelled"))
+    return materialise(joined.select("text", "label"), "labelled-sample")
