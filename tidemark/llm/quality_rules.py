@@ -164,5 +164,8 @@ def kept_documents(docs: DataFrame, host: str = "source", text: str = "text", re
         .select(F.col("host").alias("_rejected_host")),
         "quality-rejected",
     )
-    passed = measured(docs, text).where(~F.col("quality.base_failed")).drop("quality")
+    # a column that is not deterministic keeps the filter above the steps of the measures: pushed below
+    # them it would hold them all in one expression, evaluated once per element
+    barred = measured(docs, text).withColumn("quality", F.struct("quality.*", F.monotonically_increasing_id().alias("row")))
+    passed = barred.where((F.col("quality.row") >= 0) & ~F.col("quality.base_failed")).drop("quality")
     return passed.join(rejected, F.col(host).eqNullSafe(F.col("_rejected_host")), "left_anti")
