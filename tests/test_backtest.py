@@ -35,6 +35,22 @@ def test_buy_sell_hold(spark, actions, last):
     assert _path(spark, [100] * len(actions), actions, 1000)[-1] == last
 
 
+@pytest.mark.parametrize("balance", [1000.0, 60.0])
+def test_nothing_is_traded_at_a_missing_price(spark, balance):
+    rows = [(0, 50.0, 1), (1, None, 1), (2, float("nan"), 2), (3, 40.0, 1), (4, 70.0, 2), (5, None, 0)]
+    df = spark.createDataFrame(rows, "step int, price double, action int")
+    got = [(r.shares, r.balance, r.net_worth) for r in B.backtest_path(df, ["step"], (), balance).orderBy("step").collect()]
+    shares, cash = 0, balance
+    for (_, price, action), (held, left, worth) in zip(rows, got):
+        known = price is not None and price == price
+        if known and action == 1 and cash >= price:
+            cash, shares = cash - price, shares + 1
+        elif known and action == 2 and shares:
+            cash, shares = cash + price, shares - 1
+        assert (held, left) == (shares, cash)
+        assert worth == cash + shares * price if known else worth is None or worth != worth
+
+
 def test_refused_buys_and_negative_prices(spark):
     prices, actions = [50, 60, -10, 45, 70, 5], [1, 1, 1, 1, 2, 1]
     assert _path(spark, prices, actions, 60) == list(_fold(prices, actions, 60.0))

@@ -2,6 +2,7 @@ import bisect
 import itertools
 import math
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +18,30 @@ def _statistic(a, b):
     )
 
 
+def test_small_exact_p_values():
+    assert P.two_sample_p_value(1.0, 50, 51) == pytest.approx(2 / math.comb(101, 50), rel=1e-9)
+    assert P.two_sample_p_value(0.01, 10_000, 9_999, "exact") == pytest.approx(P.two_sample_p_value(0.01, 10_000, 9_999, "asymptotic"), abs=0.01)
+    for n1, n2, steps in ((7, 5, 20), (12, 8, 14), (9, 14, 60)):
+        d = steps / math.lcm(n1, n2)
+        assert P.two_sample_p_value(d, n1, n2) == pytest.approx(_by_fractions(n1, n2, Fraction(steps, math.lcm(n1, n2))), rel=1e-9)
+    assert P.law_used(10_000, 5) == "exact" and P.law_used(10_001, 5) == "asymptotic"
+    with pytest.raises(ValueError):
+        P.law_used(1, 1, "other")
+
+
+def _by_fractions(n1, n2, d):
+    outside = {}
+    for i in range(n1 + 1):
+        for j in range(n2 + 1):
+            if abs(Fraction(i, n1) - Fraction(j, n2)) >= d:
+                outside[i, j] = Fraction(1)
+            else:
+                below = Fraction(j, i + j) * outside[i, j - 1] if j else 0
+                left = Fraction(i, i + j) * outside[i - 1, j] if i else 0
+                outside[i, j] = below + left
+    return float(outside[n1, n2])
+
+
 def _frame(spark, values, name="v"):
     return spark.createDataFrame([(float(v) if v is not None else None,) for v in values], f"`{name}` double")
 

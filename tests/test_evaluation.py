@@ -35,6 +35,19 @@ def test_log_loss_and_accuracy(spark):
     assert E.log_loss(df).first().log_loss == pytest.approx(want)
 
 
+def test_losses_leave_out_missing_labels_and_probabilities(spark):
+    rows = [(0, [0.5, 0.5], 0.5), (None, [0.5, 0.5], 0.5), (1, None, None), (1, [0.5, float("nan")], float("nan")), (1, [0.75, 0.25], 0.25)]
+    df = spark.createDataFrame(rows, "target int, probability array<double>, p double")
+    want = -(math.log(0.5) + math.log(0.25)) / 2
+    assert E.log_loss(df).first().log_loss == pytest.approx(want)
+    assert E.binary_log_loss(df, probability="p").first().log_loss == pytest.approx(want)
+
+
+def test_missing_accuracy_is_not_registered(spark):
+    runs = spark.createDataFrame([(0.6,), (0.5,), (float("nan"),), (None,)], "accuracy double")
+    assert [r.decision for r in E.gate_runs(runs).collect()] == ["register"] + ["artifact_only"] * 3
+
+
 def test_quality_of_a_class_never_predicted(spark):
     predictions = spark.createDataFrame([(i, 0) for i in range(4)], "k int, prediction int")
     truth = spark.createDataFrame([(0, 0), (1, 0), (2, 1), (9, 1)], "k int, y int")

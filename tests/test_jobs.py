@@ -5,11 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.boosting import train_binary
-from tidemark.operators.scoring import score_batch, score_requests
+from tidemark.operators.boosting import best_and_stop, train_binary
+from tidemark.operators.scoring import ForeignModel, score_batch, score_requests
 from tidemark.plans import jobs
 from tidemark.sources.metrics import read_gauges, read_metrics, read_params
-from tidemark.sources.models import ModelNotFound, load_model, read_events, transition_stage
+from tidemark.sources.models import ModelNotFound, load_model, read_events, register_model, transition_stage
 from tidemark.sources.tables import SchemaMismatch, overwrite_table, read_table
 from tidemark.streaming.drift import drift_stream
 from tidemark.streaming.scoring import read_request_stream, score_stream
@@ -78,6 +78,46 @@ def test_series_experiment(spark, tmp_path):
     assert agent["total_profit"] == pytest.approx(agent["final_net_worth"] - 10_000)
     keys = {r.key for r in read_metrics(spark, f"{root}/metrics").select("key").distinct().collect()}
     assert {"test_accuracy", "best_iteration", "training_net_worth", "backtest_final_net_worth"} <= keys
+    assert agent["version"] == 1
+    transition_stage(spark, root, "agent", 1, "Production")
+    assert load_model(spark, root, "agent", "Production") == agent["q"]
+
+
+def test_training_stops_before_its_last_round_and_is_cut(spark):
+    rng = random.Random(1)
+    rows = [(float(i % 50), int((i % 50 > 24) != (rng.random() < 0.3))) for i in range(1200)]
+    df = spark.createDataFrame(rows, "`x.1` double, target int")
+    model = train_binary(df.limit(800), ["x.1"], validation=df.subtract(df.limit(800)), patience=3, max_rounds=60)
+    losses = model.losses[0]
+    assert len(losses) < 60 and model.rounds[0] == best_and_stop(losses, 3)[0] + 1
+    assert model.pipeline.stages[-1].getNumTrees == model.rounds[0]
+    scored = model.score(df)
+    assert scored.columns == ["x.1", "target", "probability", "prediction"]
+    assert scored.where(F.col("prediction") == (F.col("`x.1`") > 24).cast("int")).count() > 1100
+
+
+def test_any_model_is_registered(spark, tmp_path):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    root, df = str(tmp_path / "models"), spark.createDataFrame([(1.0, 2.0)], "l_quantity double, l_extendedprice double")
+    plain = Pipeline(stages=[VectorAssembler(inputCols=["l_quantity"], outputCol="v")]).fit(df)
+    foreign = ForeignModel(("l_quantity", "l_extendedprice"), "tidemark.plans.queries_models:linear_model", {"by_quantity": 1.0, "by_price": -1.0})
+    for name, model in (("plain", plain), ("foreign", foreign)):
+        version = register_model(model, spark, root, name)
+        transition_stage(spark, root, name, version, "Staging")
+    assert score_batch(df, load_model(spark, root, "plain", "Staging")).columns[-1] == "v"
+    loaded = load_model(spark, root, "foreign", "Staging")
+    assert loaded == foreign and score_batch(df, loaded).first().prediction == 0.0
+    bad = ForeignModel(("k",), "tests.test_jobs:nothing_usable")
+    bodies = spark.createDataFrame([('{"k": 1}',), ("no",)], "body string")
+    assert {r.status for r in score_requests(bodies, ["k"], bad).collect()} == {"scoring_error", "invalid"}
+
+
+def nothing_usable():
+    import numpy as np
+
+    return lambda rows: np.full((len(rows), 2), np.nan)
 
 
 def test_monitoring_pushes_two_gauges_per_feature(spark, flowers, tmp_path):

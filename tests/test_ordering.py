@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import Running, boundary_rows, lay_out, row_position
+from tidemark.operators.ordering import PART, Running, boundary_rows, lay_out, row_position
 
 
 def _frame(spark, rows):
@@ -97,3 +97,10 @@ def test_no_plan_step_gathers_all_rows(spark):
     # single-partition exchanges appear only above the per-partition totals
     for part in plan.split("Exchange SinglePartition")[1:]:
         assert "Aggregate" in part
+
+
+def test_copies_of_one_row_spread_over_partitions(spark):
+    laid = lay_out(spark.range(4000).select(F.lit(1).alias("k"), F.lit("x").alias("v.1")), ["k"], partitions=8)
+    sizes = [r["count"] for r in laid.df.groupBy(PART).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2000
+    assert sorted(r.position for r in row_position(laid.rows(), ["k"]).collect()) == list(range(1, 4001))

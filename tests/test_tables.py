@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import registry as R
 from tidemark.operators.requests import parse_requests, quarantine
 from tidemark.session import clear_scratch, materialise
+from tidemark.operators.features import apply_scaler, fit_scaler
+from tidemark.plans.jobs import prepare_series
 from tidemark.sources import metrics as M
 from tidemark.sources import tables as S
 from tidemark.sources.series import read_series_csv
@@ -36,11 +38,34 @@ def test_unpublished_snapshot_is_invisible(spark, tmp_path):
 def test_csv_series(spark, tmp_path):
     file = tmp_path / "s.csv"
     file.write_text("date,close,note\n2024-01-02,2.5,x\n2024-01-01,NaN,y\nsoon,1.0,z\n")
-    rows = read_series_csv(spark, str(file)).orderBy("date").collect()
+    with pytest.raises(Exception, match="not a date: soon"):
+        read_series_csv(spark, str(file)).collect()
+    rows = read_series_csv(spark, str(file), on_bad_date="null").orderBy("date").collect()
     assert [r.close for r in rows] == [1.0, None, 2.5]
     assert rows[0].date is None and rows[2].date.day == 2
 
 
+def test_csv_dates_and_headers_as_files_have_them(spark, tmp_path):
+    file = tmp_path / "s.csv"
+    file.write_text("date,ISE,ISE.1,a b\n5-Jan-09,1.5,2.5,x\n6-Jan-09,,3.5,y\n,1,1,z\n")
+    rows = read_series_csv(spark, str(file), date_formats="d-MMM-yy")
+    prepared = prepare_series(rows, "ISE.1")
+    assert prepared.columns == ["date", "ISE", "ISE.1", "target"]
+    assert [(str(r["date"].date()), r["target"]) for r in prepared.collect()] == [("2009-01-05", 1)]
+    scaled = {r["date"].day: r["ISE.1"] for r in apply_scaler(rows, fit_scaler(rows, ["ISE.1"]), ["ISE.1"]).where("date is not null").collect()}
+    assert scaled[5] < scaled[6]
+
+
+def test_requests_are_numbers_and_nothing_after(spark):
+    bodies = ['{"k": "5.1d"}', '{"k": "7f"}', '{"k": 1} junk', '{"k": 1}, {"k": 2}', '{"k": {"j": 1}}', "5", None, '{"k": "1e3"}', ' {"k": -2.5} ', '{"k": true}', '{"k": "NaN"}']
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "id int, body string")
+    got = {r.id: (r.k, r.status) for r in parse_requests(df, ["k"]).collect()}
+    assert {i for i, (_, status) in got.items() if status == "ok"} == {7, 8}
+    assert got[7][0] == 1000 and got[8][0] == -2.5
+    strict = {r.id: r.status for r in parse_requests(df, ["k"], lenient=False).collect()}
+    assert {i for i, status in strict.items() if status == "ok"} == {8}
+
+
 def test_typed_ingest(spark):
     schema = labelled_schema(["a", "b"])
     rows = ingest_rows(spark, [(1, 2.5, 0, "x"), (None, 3, 1.0, 7)], schema).collect()

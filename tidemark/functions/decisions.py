@@ -25,15 +25,21 @@ def replace_element(values: Column, index: Column, value: Column) -> Column:
     return F.transform(values, lambda v, i: F.when(i == index, value).otherwise(v))
 
 
+def _given(value: Column) -> Column:
+    """NaN as null: NaN orders above every number, a missing value passes no comparison."""
+    return F.when(~F.isnan(value), value)
+
+
 def binary_decision(probability: Column, threshold: float = DECISION_THRESHOLD) -> Column:
-    return (probability > F.lit(threshold)).cast("int")
+    """1 above the threshold, else 0; a missing probability decides 0."""
+    return F.coalesce(_given(probability) > F.lit(threshold), F.lit(False)).cast("int")
 
 
 def registration_gate(accuracy: Column, minimum: float = MINIMUM_ACCURACY) -> Column:
-    """``register`` at or above the minimum accuracy, else ``artifact_only``."""
-    return F.when(accuracy >= F.lit(minimum), "register").otherwise("artifact_only")
+    """``register`` at or above the minimum accuracy, else ``artifact_only``, also for a missing accuracy."""
+    return F.when(_given(accuracy) >= F.lit(minimum), "register").otherwise("artifact_only")
 
 
 def drift_flag(p_value: Column, level: float = DRIFT_LEVEL) -> Column:
     """True when the p-value suggests drift; a missing p-value does not."""
-    return F.coalesce(F.when(~F.isnan(p_value), p_value < F.lit(level)), F.lit(False))
+    return F.coalesce(_given(p_value) < F.lit(level), F.lit(False))

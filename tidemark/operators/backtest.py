@@ -2,7 +2,8 @@
 
 Rules per portfolio: action 1 buys one share when the balance covers the
 price, 2 sells one when any is held, anything else holds; net worth is
-balance + shares * price.
+balance + shares * price.  At a missing price nothing is traded, and the net
+worth is missing.
 
 Share counts follow ``s = max(s + x, 0)`` with x = +1 or -1, which has a
 closed form over running sums and minima.  So as long as every buy is
@@ -38,17 +39,18 @@ def _parallel_path(
 ) -> OrderedLayout:
     """Path under affordable buys, with ``_refused`` marking buys the balance may not cover."""
     price = F.col("price").cast("double")
-    wish = F.when(F.col("action") == BUY, 1).when(F.col("action") == SELL, -1).otherwise(0).cast("bigint")
-    laid = lay_out(df, order, by).with_columns(_wish=wish)
+    known = price.isNotNull() & ~F.isnan(price)
+    traded = F.when(~known, 0).when(F.col("action") == BUY, 1).when(F.col("action") == SELL, -1)
+    laid = lay_out(df, order, by).with_columns(_wish=traded.otherwise(0).cast("bigint"))
     shares = _with_shares(laid)
-    spent = (F.col("shares") - F.col("_shares_before")) * price
+    spent = F.when(known, (F.col("shares") - F.col("_shares_before")) * price).otherwise(0.0)
     cash = shares.with_running(_spent=Running("sum", spent)).with_columns(
         balance=F.lit(float(initial_balance)) - F.col("_spent")
     )
-    before = F.col("balance") + (F.col("shares") - F.col("_shares_before")) * price
+    before = F.col("balance") + F.when(known, (F.col("shares") - F.col("_shares_before")) * price).otherwise(0.0)
     slack = F.lit(_TIE) * F.greatest(F.abs(before), F.abs(price), F.lit(1.0))
     path = cash.with_columns(
-        net_worth=F.col("balance") + F.col("shares") * price,
+        net_worth=F.when(known, F.col("balance") + F.col("shares") * price),
         _refused=(F.col("_wish") == 1) & ~(before >= price + slack),
     )
     return replace(path, df=path.df.drop("_wish", "_shares_before", "_spent")).frozen()
@@ -131,11 +133,11 @@ def _fold_segments(rows: DataFrame, by: Sequence[str], parts: int | None = None)
                     current, (balance, shares) = key, start
                 if action == BUY and balance >= price:
                     balance, shares = balance - price, shares + 1
-                elif action == SELL and shares > 0:
+                elif action == SELL and shares > 0 and price == price:
                     balance, shares = balance + price, shares - 1
                 held.append(shares)
                 cash.append(balance)
-                worth.append(balance + shares * price)
+                worth.append(balance + shares * price if price == price else None)
             yield batch.drop(columns=["_balance0", "_shares0"]).assign(shares=held, balance=cash, net_worth=worth)
 
     # one task per partition of the whole layout, or of the few given ones
@@ -257,9 +259,14 @@ def step_reward(
 def backtest_summary(
     path: DataFrame, order: Sequence[str], by: Sequence[str] = (), initial_balance: float = INITIAL_BALANCE
 ) -> DataFrame:
-    """Final net worth, profit and profit percentage of each portfolio."""
+    """Final net worth, profit and profit percentage of each portfolio.
+
+    ``order`` must tell a portfolio's steps apart; of equal last keys, a hash of
+    the row decides, as it does where the path is laid out.
+    """
     start = F.lit(float(initial_balance))
-    final = path.groupBy(*by).agg(F.max_by("net_worth", F.struct(*order)).alias("final_net_worth"))
+    last = F.struct(*order, F.xxhash64(*[c for c in path.columns if c not in ("shares", "balance", "net_worth")]))
+    final = path.groupBy(*by).agg(F.max_by("net_worth", last).alias("final_net_worth"))
     profit = F.col("final_net_worth") - start
     return final.select(
         *by,

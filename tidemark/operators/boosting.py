@@ -11,17 +11,20 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import column
 from tidemark.functions.decisions import argmax
 
 # fixed values of the training jobs
-MULTICLASS = {"max_depth": 4, "step_size": 0.1, "max_rounds": 100, "patience": 10}
-BINARY = {"max_depth": 6, "step_size": 0.3, "max_rounds": 100, "patience": 10}
+MULTICLASS = {"max_depth": 4, "step_size": 0.1, "max_rounds": 100, "patience": 10, "max_bins": 64}
+BINARY = {"max_depth": 6, "step_size": 0.3, "max_rounds": 100, "patience": 10, "max_bins": 64}
 
 # the first training run of an early-stopped fit lasts this many times the patience
 _FIRST_TRY = 3
+# concurrent fits of one model; more classes wait
+_MOST_FITS = 8
 _FEATURES = "_features"
 _LABEL = "_label"
 
@@ -49,7 +52,7 @@ class BoostedModel:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add ``probability`` (array over classes, summing to 1) and ``prediction`` (its argmax)."""
-        raw = self.pipeline.transform(df)
+        raw = self.pipeline.transform(_named(df, self.features))
         positive = [vector_to_array(F.col(f"_p_{c}"))[1] for c in range(len(self.rounds))]
         if self.classes == 2:
             probability = F.array(1 - positive[0], positive[0])
@@ -57,13 +60,22 @@ class BoostedModel:
             total = sum(positive[1:], positive[0])
             # the class scores are logistic outputs, so their sum is above zero
             probability = F.array(*[p / total for p in positive])
-        scored = raw.select(*df.columns, probability.alias("probability"))
+        scored = raw.select(*[column(c) for c in df.columns], probability.alias("probability"))
         return scored.withColumn("prediction", argmax(F.col("probability")))
 
 
+def _names(features: Sequence[str]) -> list[str]:
+    """Names that the assembler takes whatever the features are called."""
+    return [f"_feature_{i}" for i in range(len(features))]
+
+
+def _named(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return df.withColumns({n: column(f).cast("double") for n, f in zip(_names(features), features)})
+
+
 def _assembled(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    assembler = VectorAssembler(inputCols=list(features), outputCol=_FEATURES, handleInvalid="error")
-    return assembler.transform(df).select(_FEATURES, F.col(label).cast("double").alias(_LABEL))
+    assembler = VectorAssembler(inputCols=_names(features), outputCol=_FEATURES, handleInvalid="error")
+    return assembler.transform(_named(df, features)).select(_FEATURES, column(label).cast("double").alias(_LABEL))
 
 
 def _fit_one(
@@ -79,6 +91,7 @@ def _fit_one(
             maxDepth=settings["max_depth"],
             stepSize=settings["step_size"],
             maxIter=rounds,
+            maxBins=settings["max_bins"],
             checkpointInterval=10,
             seed=seed,
         )
@@ -87,16 +100,37 @@ def _fit_one(
     most, patience = settings["max_rounds"], settings["patience"]
     if validation is None:
         return fit(most), []
-    # with the same rows and seed, fewer rounds give the same leading trees: a short
-    # run that already stalls spares the full one, and the best round is refitted
+    # a short run that already stalls spares the full one
     for rounds in sorted({min(_FIRST_TRY * patience, most), most}):
         model = fit(rounds)
         losses = list(model.evaluateEachIteration(validation))
         best, stop = best_and_stop(losses, patience)
         if stop - best >= patience:
             break
-    losses = losses[: stop + 1]
-    return (model if best + 1 == rounds else fit(best + 1)), losses
+    return _cut(model, best + 1), losses[: stop + 1]
+
+
+def _cut(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The ensemble of the first ``rounds`` trees, without fitting again."""
+    if rounds == model.getNumTrees:
+        return model
+    context = SparkSession.active().sparkContext
+    gateway, java = context._gateway, model._java_obj
+    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    fitted, weighted = java.trees(), java.treeWeights()
+    for i in range(rounds):
+        trees[i], weights[i] = fitted[i], weighted[i]
+    shorter = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), trees, weights, java.numFeatures(), java.numClasses()
+    )
+    return (
+        GBTClassificationModel(shorter)
+        .setFeaturesCol(model.getFeaturesCol())
+        .setPredictionCol(model.getPredictionCol())
+        .setRawPredictionCol(model.getRawPredictionCol())
+        .setProbabilityCol(model.getProbabilityCol())
+    )
 
 
 def _train(
@@ -128,13 +162,13 @@ def _train(
 
     try:
         # the ensembles are independent; their jobs share the cluster
-        with ThreadPool(len(targets)) as pool:
+        with ThreadPool(min(len(targets), _MOST_FITS)) as pool:
             fitted = pool.map(fit_target, list(enumerate(targets)))
     finally:
         rows.unpersist()
         if held is not None:
             held.unpersist()
-    assembler = VectorAssembler(inputCols=list(features), outputCol=_FEATURES, handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=_names(features), outputCol=_FEATURES, handleInvalid="keep")
     return BoostedModel(
         PipelineModel([assembler, *[m for m, _ in fitted]]),
         tuple(features),

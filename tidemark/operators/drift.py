@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import column
 from tidemark.functions.decisions import DRIFT_LEVEL, drift_flag
-from tidemark.functions.kolmogorov import ks_p_value
+from tidemark.functions.kolmogorov import ks_law, ks_p_value
 from tidemark.operators.ordering import Running, lay_out
 from tidemark.session import materialise
 
@@ -22,7 +23,7 @@ from tidemark.session import materialise
 def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """One row per (feature, value); the unpivot happens inside the scan's stage."""
     pairs = F.array(
-        *[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features]
+        *[F.struct(F.lit(f).alias("feature"), column(f).cast("double").alias("x")) for f in features]
     )
     return df.select(F.inline(pairs))
 
@@ -75,18 +76,21 @@ def ks_statistic(reference: DataFrame, production: DataFrame, features: Sequence
     )
 
 
-def with_p_value(statistics: DataFrame, level: float = DRIFT_LEVEL) -> DataFrame:
-    """Add ``p_value`` and ``drifted`` to rows holding ``statistic, n1, n2``."""
-    scored = statistics.withColumn(
-        "p_value", ks_p_value(F.col("statistic"), F.col("n1").cast("double"), F.col("n2").cast("double"))
-    )
-    return scored.withColumn("drifted", drift_flag(F.col("p_value"), level))
+def with_p_value(statistics: DataFrame, level: float = DRIFT_LEVEL, method: str = "auto") -> DataFrame:
+    """Add ``p_value``, ``method`` (the law used) and ``drifted`` to rows holding ``statistic, n1, n2``."""
+    sizes = F.col("n1").cast("double"), F.col("n2").cast("double")
+    scored = statistics.withColumn("p_value", ks_p_value(F.col("statistic"), *sizes, method))
+    return scored.withColumn("method", ks_law(*sizes, method)).withColumn("drifted", drift_flag(F.col("p_value"), level))
 
 
 def drift_test(
-    reference: DataFrame, production: DataFrame, features: Sequence[str], level: float = DRIFT_LEVEL
+    reference: DataFrame,
+    production: DataFrame,
+    features: Sequence[str],
+    level: float = DRIFT_LEVEL,
+    method: str = "auto",
 ) -> DataFrame:
-    return with_p_value(ks_statistic(reference, production, features), level)
+    return with_p_value(ks_statistic(reference, production, features), level, method)
 
 
 def drift_gauges(tests: DataFrame, job: str) -> DataFrame:
@@ -101,6 +105,7 @@ def drift_gauges(tests: DataFrame, job: str) -> DataFrame:
         F.lit(job).alias("job"),
         F.translate("key", "-", "_").alias("metric"),
         "value",
+        # fixed value: the help text of a gauge
         F.concat(F.lit("Drift metric: "), F.col("key")).alias("help"),
     )
 

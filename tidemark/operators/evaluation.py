@@ -23,17 +23,25 @@ def accuracy(df: DataFrame, label: str = "target", prediction: str = "prediction
     return df.groupBy(*by).agg(F.avg(_correct(label, prediction)).alias("accuracy"))
 
 
+def _clipped(p: Column) -> Column:
+    """``p`` away from 0 and 1; null for a missing value, which ``greatest`` would skip."""
+    inside = F.least(F.greatest(p, F.lit(PROBABILITY_FLOOR)), F.lit(1.0 - PROBABILITY_FLOOR))
+    return F.when(p.isNotNull() & ~F.isnan(p), inside)
+
+
 def log_loss(df: DataFrame, label: str = "target", probability: str = "probability") -> DataFrame:
-    """Mean negative log probability of the true class; ``probability`` is an array over classes."""
+    """Mean negative log probability of the true class; ``probability`` is an array over classes.
+
+    Rows without a label, or without a probability for it, are left out.
+    """
     p = F.get(F.col(probability), F.col(label).cast("int"))
-    clipped = F.least(F.greatest(p, F.lit(PROBABILITY_FLOOR)), F.lit(1.0 - PROBABILITY_FLOOR))
-    return df.agg((-F.avg(F.log(clipped))).alias("log_loss"))
+    return df.agg((-F.avg(F.log(_clipped(p)))).alias("log_loss"))
 
 
 def binary_log_loss(df: DataFrame, label: str = "target", probability: str = "probability") -> DataFrame:
-    """Log loss from the probability of class 1."""
-    p = F.least(F.greatest(F.col(probability), F.lit(PROBABILITY_FLOOR)), F.lit(1.0 - PROBABILITY_FLOOR))
-    loss = F.when(F.col(label) == 1, F.log(p)).otherwise(F.log(1 - p))
+    """Log loss from the probability of class 1; rows without a label or a probability are left out."""
+    p = _clipped(F.col(probability).cast("double"))
+    loss = F.when(F.col(label) == 1, F.log(p)).when(F.col(label).isNotNull(), F.log(1 - p))
     return df.agg((-F.avg(loss)).alias("log_loss"))
 
 
@@ -133,7 +141,8 @@ def alerts(gauges: DataFrame, limits: dict[str, tuple[str, float]]) -> DataFrame
     """
     hit = F.lit(None).cast("string")
     for suffix, (side, limit) in limits.items():
-        past = F.col("value") > limit if side == "above" else F.col("value") < limit
+        value = F.when(~F.isnan("value"), F.col("value"))
+        past = value > limit if side == "above" else value < limit
         rule = F.lit(f"{suffix} {side} {limit:g}")
         hit = F.when(F.col("metric").endswith(suffix) & past, rule).otherwise(hit)
     return gauges.withColumn("rule", hit).filter(F.col("rule").isNotNull())

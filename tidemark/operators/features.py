@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import numeric_names
+from tidemark.functions.columns import column, numeric_names
 from tidemark.operators.ordering import OrderedLayout, lay_out, row_position
 
 # label lists up to this length become a literal in the plan
@@ -24,7 +24,7 @@ def fit_scaler(df: DataFrame, columns: Sequence[str] | None = None, fit_on: Colu
     source = df.filter(fit_on) if fit_on is not None else df
     stats = []
     for name in names:
-        value = F.col(name).cast("double")
+        value = column(name).cast("double")
         value = F.when(~F.isnan(value), value)
         stats.append(F.avg(value).alias(f"{name}_mean"))
         spread = F.stddev_pop(value)
@@ -37,9 +37,9 @@ def apply_scaler(df: DataFrame, scaler: DataFrame, columns: Sequence[str]) -> Da
 
     The one-row scaler enters the plan as a scalar subquery, so there is no join.
     """
-    packed = scaler.select(F.struct(*scaler.columns)).scalar()
+    packed = scaler.select(F.struct(*[column(c) for c in scaler.columns])).scalar()
     return df.withColumns(
-        {c: (F.col(c).cast("double") - packed[f"{c}_mean"]) / packed[f"{c}_scale"] for c in columns}
+        {c: (column(c).cast("double") - packed[f"{c}_mean"]) / packed[f"{c}_scale"] for c in columns}
     )
 
 
@@ -53,8 +53,8 @@ def next_direction(
     df: DataFrame, value: str, order: Sequence[str], by: Sequence[str] = (), name: str = "target"
 ) -> DataFrame:
     """Label each row 1 when the next row's ``value`` is greater, else 0; the last row is kept with 0."""
-    laid = lay_out(df, order, by).with_next(_following=F.col(value))
-    return laid.rows().withColumn(name, _direction(F.col("_following"), F.col(value))).drop("_following")
+    laid = lay_out(df, order, by).with_next(_following=column(value))
+    return laid.rows().withColumn(name, _direction(F.col("_following"), column(value))).drop("_following")
 
 
 def previous_value(

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import column
 from tidemark.session import materialise
 
 # a range of at most this many rows is sorted by a bounded top-k
@@ -89,7 +90,7 @@ class OrderedLayout:
 
     def with_running(self, **specs: Running) -> OrderedLayout:
         """Add running aggregates within each ``by`` group."""
-        columns = self.df.columns
+        columns = [column(c) for c in self.df.columns]
         upto = {False: Window.currentRow, True: -1}
         local = self.placed_rows().withColumns(
             {
@@ -134,13 +135,13 @@ class OrderedLayout:
         sizes = self.df.groupBy(PART).agg(F.count(F.lit(1)).alias("_size"))
         before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
         offsets = sizes.select(PART, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-        columns = self.df.columns
+        columns = [column(c) for c in self.df.columns]
         joined = self.join_carried(self.df, offsets, ["_offset"])
         local = F.col(SLOT).bitwiseAND(F.lit(_LOCAL_MASK))
         return replace(self, df=joined.select(*columns, (F.col("_offset") + local + 1).alias(name)))
 
     def _with_neighbour(self, values: dict[str, Column], following: bool) -> OrderedLayout:
-        columns = self.df.columns
+        columns = [column(c) for c in self.df.columns]
         step = F.lead if following else F.lag
         window = self.local_window()
         local = self.placed_rows().withColumns(
@@ -208,18 +209,19 @@ def lay_out(
 ) -> OrderedLayout:
     """Lay ``df`` out by ``by + order``.
 
-    Rows equal on every key are ordered by a hash of the whole row, which also
-    spreads a key shared by very many different rows over several partitions.
+    Rows equal on every key are ordered by a hash of the whole row, and rows
+    equal throughout by their place in the input, so very many rows with one
+    key, or very many copies of one row, still spread over partitions.
     """
-    keys = [*by, *order, "_tie"]
+    keys = [*map(column, (*by, *order)), "_tie", "_copy"]
     # maps cannot be hashed
     hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    tied = df.withColumn("_tie", F.xxhash64(*hashed))
-    # without a given count, adaptive execution sizes the partitions by their bytes
+    tied = df.withColumn("_tie", F.xxhash64(*map(column, hashed))).withColumn("_copy", F.monotonically_increasing_id())
+    # without a given count, adaptive execution merges spark.sql.shuffle.partitions by their bytes
     ranged = tied.repartitionByRange(partitions, *keys) if partitions else tied.repartitionByRange(*keys)
     slotted = (
         ranged.sortWithinPartitions(*keys)
-        .drop("_tie")
+        .drop("_tie", "_copy")
         .withColumn(SLOT, F.monotonically_increasing_id())
         .withColumn(PART, F.shiftright(SLOT, _PARTITION_SHIFT).cast("int"))
     )

@@ -31,13 +31,14 @@ def replay_window(transitions: DataFrame, order: Sequence[str], size: int = MEMO
 
 
 def replay_batch(
-    transitions: DataFrame, order: Sequence[str], batch: int = BATCH, size: int = MEMORY, seed: int = 42
+    transitions: DataFrame, order: Sequence[str], batch: int = BATCH, size: int = MEMORY, seed: int = 42,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Seeded sample of ``batch`` from the newest ``size`` transitions; empty when there are fewer than ``batch``."""
     window = replay_window(transitions, order, size)
     if window.count() < batch:
         return window.limit(0)
-    return sample_exact(window, batch, keys=order, seed=seed)
+    return sample_exact(window, batch, keys=keys or order, seed=seed)
 
 
 def bellman_target(reward: Column, done: Column, next_values: Column, gamma: float = GAMMA) -> Column:
@@ -74,7 +75,11 @@ def epsilon_after(
     replays: Column, start: float = EPSILON, decay: float = EPSILON_DECAY, minimum: float = EPSILON_MIN
 ) -> Column:
     """Epsilon after a number of replays; it decays only while above ``minimum``."""
-    last = max(0, math.ceil(math.log(minimum / start) / math.log(decay)))
+    if start <= minimum or decay >= 1:
+        return F.when(replays.isNotNull(), F.lit(float(start)))
+    last = 1 if decay <= 0 or minimum <= 0 else math.ceil(math.log(minimum / start) / math.log(decay))
+    if minimum <= 0 < decay:
+        return F.lit(start) * F.pow(F.lit(decay), replays)
     return F.lit(start) * F.pow(F.lit(decay), F.least(replays, F.lit(last)))
 
 

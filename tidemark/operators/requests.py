@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 OK = "ok"
 INVALID = "invalid"
 NO_MODEL = "no_model"
+SCORING_ERROR = "scoring_error"
+
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def parse_requests(
@@ -20,25 +23,21 @@ def parse_requests(
     A request is invalid when it is not a JSON object, lacks a field, or holds
     a value that is not a number.  ``lenient`` accepts numbers given as text.
     """
-    text = F.col(body)
-    corrupt = F.from_json(
-        text,
-        ", ".join(f"`{f}` string" for f in fields) + ", _bad string",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"},
-    )
-    strict = F.from_json(
-        text,
-        ", ".join(f"`{f}` double" for f in fields) + ", _bad string",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"},
-    )
-    parsed = df.withColumn("_r", corrupt if lenient else strict)
-    widened = parsed.withColumns({f: F.col("_r")[f].try_cast("double") for f in fields})
-    complete = F.lit(True)
+    # read as the only element of a list: text after the object then breaks the list
+    kind = "string" if lenient else "double"
+    names = [f.replace("`", "``") for f in fields]
+    kinds = f"array<struct<{', '.join(f'`{n}`:{kind}' for n in names)}>>"
+    listed = F.from_json(F.concat(F.lit("["), F.col(body), F.lit("]")), kinds, {"allowNonNumericNumbers": "false"})
+    parsed = df.withColumn("_r", F.when(F.size(listed) == 1, listed[0]))
+    numbers = {}
     for f in fields:
-        complete = complete & F.col(f).isNotNull()
-    well_formed = F.col("_r").isNotNull() & F.col("_r")["_bad"].isNull()
-    status = F.when(F.coalesce(well_formed & complete, F.lit(False)), OK).otherwise(INVALID)
-    return widened.withColumn("status", status).drop("_r")
+        value = F.col("_r").getField(f)
+        numbers[f] = F.when(value.rlike(_NUMBER), value.try_cast("double")) if lenient else value
+    widened = parsed.withColumns(numbers)
+    complete = F.lit(True)
+    for n in names:
+        complete = complete & F.col(f"`{n}`").isNotNull()
+    return widened.withColumn("status", F.when(complete, OK).otherwise(INVALID)).drop("_r")
 
 
 def quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -177,7 +177,8 @@ def sample_exact(
     if n > SMALL:
         return _first_by_hash(df, n, keys, seed, ties, "_taken").filter("_taken").drop("_taken")
     hashed = df.withColumn(_HASH, seeded_hash(seed, keys))
-    return hashed.orderBy(_HASH, *ties).limit(n).drop(_HASH)
+    # rows equal in hash and ties are taken by a hash of all they hold, as their positions are
+    return hashed.orderBy(_HASH, *ties, F.xxhash64(*df.columns)).limit(n).drop(_HASH)
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

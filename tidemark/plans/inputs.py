@@ -37,7 +37,11 @@ _BODY_SQL = """CASE event_type
     WHEN 'error' THEN replace(props, '"k"', '"other"')
     WHEN 'signup' THEN concat('{"k": "', CAST(event_id AS @text), '"}')
     WHEN 'view' THEN concat('not json ', props)
-    WHEN 'purchase' THEN concat('{"k": "v', CAST(event_id AS @text), '"}')
+    WHEN 'purchase' THEN CASE event_id % 5
+        WHEN 0 THEN concat('{"k": "', CAST(event_id AS @text), 'd"}')
+        WHEN 1 THEN concat(props, ' junk')
+        WHEN 2 THEN concat(props, ', ', props)
+        ELSE concat('{"k": "v', CAST(event_id AS @text), '"}') END
     ELSE props END"""
 
 

@@ -30,6 +30,7 @@ from tidemark.sources.series import read_series_csv
 from tidemark.sources.tables import overwrite_table, read_table
 from tidemark.sources.typed import ingest_typed, labelled_schema
 
+# fixed values of the monitoring job
 MONITORING_JOB = "model_monitoring_batch"
 SAMPLE_ROWS = 50
 
@@ -118,8 +119,13 @@ def train_direction(
 def train_agent(
     spark: SparkSession, path: str, root: str, price: str, date: str = "date", label: str = "target",
     episodes: int = EPISODES, iterations: int = EPISODES, initial_balance: float = INITIAL_BALANCE,
+    name: str = "agent",
 ) -> dict:
-    """80/20 chronological split, exploratory episodes, fitted Q-iteration, greedy back-test."""
+    """80/20 chronological split, exploring episodes, fitted Q-iteration, greedy back-test, registration.
+
+    Each episode acts on the values fitted to all episodes before it, exploring
+    less each time.
+    """
     table = read_table(spark, path)
     others = [c for c in numeric_names(table) if c not in (date, label, price)]
     features = [price, *others]
@@ -127,25 +133,22 @@ def train_agent(
         chronological_split(table.select(date, *features), [date], (0.8,), ("train", "test")), "agent"
     )
     train, test = (rows.filter(F.col("split") == p).drop("split") for p in ("train", "test"))
-    # every episode walks the whole training series with its own exploration
-    episode = train.withColumn("episode", F.explode(F.sequence(F.lit(0), F.lit(episodes - 1))))
-    untrained = LinearQ(((0.0,) * len(features),) * 3, (0.0,) * 3)
-    walked = (
-        episode.withColumn("state", to_vector(features))
-        .withColumn("_date_text", F.col(date).cast("string"))
-        .withColumn(
-            "action",
-            epsilon_greedy(untrained.values("state"), epsilon_after(F.col("episode")), ["episode", "_date_text"]),
+    stated = train.withColumn("state", to_vector(features)).withColumn("_date_text", F.col(date).cast("string"))
+    q, seen, worth = LinearQ(((0.0,) * len(features),) * 3, (0.0,) * 3), None, []
+    for episode in range(episodes):
+        action = epsilon_greedy(q.values("state"), epsilon_after(F.lit(episode)), ["_episode", "_date_text"])
+        walked = materialise(
+            stated.withColumn("_episode", F.lit(episode))
+            .withColumn("action", action)
+            .withColumn("price", F.col(price))
+            .drop("state", "_date_text", "_episode"),
+            "walked",
         )
-        .withColumn("price", F.col(price))
-        .drop("state", "_date_text")
-    )
-    walked = materialise(walked, "walked")
-    trained = backtest_summary(
-        backtest_path(walked, [date], ["episode"], initial_balance), [date], ["episode"], initial_balance
-    ).collect()  # one row per episode
-    seen = transitions(walked, features, [date], ["episode"], initial_balance)
-    q = fitted_q(seen, len(features), iterations)
+        path_taken = backtest_path(walked, [date], (), initial_balance)
+        worth.append(backtest_summary(path_taken, [date], (), initial_balance).first()["final_net_worth"])
+        steps = materialise(transitions(walked, features, [date], (), initial_balance), "episode")
+        seen = steps if seen is None else seen.unionByName(steps)
+        q = fitted_q(seen, len(features), iterations)
     acted = (
         test.withColumn("state", to_vector(features))
         .withColumn("action", epsilon_greedy(q.values("state"), 0.0, [date]))
@@ -156,12 +159,13 @@ def train_agent(
     run = _log_run(
         spark, root, {"model_type": "fitted_q"},
         {
-            **{("training_net_worth", row["episode"]): row["final_net_worth"] for row in trained},
+            **{("training_net_worth", episode): value for episode, value in enumerate(worth)},
             ("backtest_final_net_worth", None): result["final_net_worth"],
             ("backtest_profit_percentage", None): result["profit_percentage"],
         },
     )
-    return {"run_id": run, "q": q, **result.asDict()}
+    version = register_model(q, spark, root, name)
+    return {"run_id": run, "q": q, "version": version, **result.asDict()}
 
 
 def score_table(

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import traffic as W
-from tidemark.operators.boosting import train_binary, train_multiclass
+from tidemark.operators.boosting import BINARY, train_binary, train_multiclass
 from tidemark.operators.drift import ks_by_window, window_value_counts
-from tidemark.operators.features import encode_labels
+from tidemark.operators.evaluation import early_stop_round
 from tidemark.operators.requests import parse_requests
-from tidemark.operators.scoring import score_batch, score_foreign, score_requests
-from tidemark.operators.splits import chronological_split, random_holdout
+from tidemark.operators.scoring import ForeignModel, score_batch, score_foreign, score_requests
+from tidemark.operators.splits import chronological_split, random_holdout, sample_exact
 from tidemark.plans.catalog import query, table
 from tidemark.plans.inputs import (
     FEATURES,
@@ -29,83 +29,130 @@ from tidemark.sources.models import load_model, register_model, transition_stage
 from tidemark.streaming.drift import drift_stream
 from tidemark.streaming.scoring import read_request_stream, score_stream
 
-# rounds of the registered training queries; the jobs' own default is 100
-_ROUNDS = 10
+# the training queries fit on an exact seeded sample of at most so many labelled rows, and score every row
+FIT_ROWS = 5_000
 
+# a class that trees can learn exactly: thirds of the quantity
+_THIRD_SQL = "CASE WHEN l_quantity <= 17 THEN 0 WHEN l_quantity <= 34 THEN 1 ELSE 2 END"
+_HALF_SQL = "CASE WHEN l_quantity <= 25 THEN 0 ELSE 1 END"
+_SPLIT_SQL = """(SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42', l_orderkey, l_linenumber, l_partkey, l_suppkey)),
+                 l_shipdate, l_extendedprice) <= ceil(count(*) OVER () * 0.2::DOUBLE) AS held FROM lineitem)"""
 
-def _prepared(spark, sf_dir):
-    return materialise(prepare_series(daily_series(spark, sf_dir), "price"), "prepared")
 
+def _fit_rows(rows, keys, ties=()):
+    """All of ``rows``, or the seeded sample if there are more than ``FIT_ROWS``."""
+    return rows if rows.count() <= FIT_ROWS else sample_exact(rows, FIT_ROWS, keys, ties=ties)
 
-def _direction_model(spark, sf_dir):
-    rows = materialise(chronological_split(_prepared(spark, sf_dir), ["date"]), "direction")
-    train, validation = (rows.filter(F.col("split") == p) for p in ("train", "validation"))
-    model = train_binary(train, SERIES_COLUMNS, validation=validation, max_rounds=_ROUNDS)
-    return model, rows.filter(F.col("split") == "test")
 
+def _split_lines(spark, sf_dir, rule):
+    lines = labelled_lines(spark, sf_dir).withColumn("target", F.expr(rule))
+    rows = materialise(random_holdout(lines, LINE_KEYS, ties=LINE_TIES), "lines")
+    return (rows.filter(F.col("split") == p) for p in ("train", "test"))
 
-@query("g1_train_multiclass")
+
+def _half_model(spark, sf_dir):
+    """Two classes with full rounds, stopped on a sample of the test part; also the whole test part."""
+    train, test = _split_lines(spark, sf_dir, _HALF_SQL)
+    fit, check = (_fit_rows(part, LINE_KEYS, LINE_TIES) for part in (train, test))
+    return train_binary(fit, FEATURES, validation=check), test
+
+
+@query(
+    "g1_train_multiclass",
+    f"SELECT {_THIRD_SQL} AS target, {_THIRD_SQL} AS prediction, count(*) AS rows FROM {_SPLIT_SQL} WHERE held GROUP BY 1, 2",
+)
 def g1_train_multiclass(spark, sf_dir):
-    """Three-class boosting on every line; confusion counts of the test part."""
-    coded = encode_labels(labelled_lines(spark, sf_dir), "l_returnflag")
-    rows = materialise(random_holdout(coded, LINE_KEYS, ties=LINE_TIES), "lines")
-    train, test = (rows.filter(F.col("split") == p) for p in ("train", "test"))
-    model = train_multiclass(train, FEATURES, validation=test, classes=3, max_rounds=_ROUNDS)
+    """Three-class boosting with the job's rounds and patience; confusion counts of the whole test part."""
+    train, test = _split_lines(spark, sf_dir, _THIRD_SQL)
+    fit, check = (_fit_rows(part, LINE_KEYS, LINE_TIES) for part in (train, test))
+    model = train_multiclass(fit, FEATURES, validation=check, classes=3)
     return model.score(test).groupBy("target", "prediction").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("g2_train_binary_es")
+@query(
+    "g2_train_binary_es",
+    """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS date, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS price FROM orders GROUP BY 1),
+       l AS (SELECT date, CAST(coalesce(lead(price) OVER (ORDER BY date) > price, false) AS BIGINT) AS target,
+                    row_number() OVER (ORDER BY date) AS rn, count(*) OVER () AS n FROM d)
+       SELECT CAST(date AS VARCHAR) AS date, target, true AS cut_at_best, true AS stopped_early
+       FROM l WHERE rn > floor(n * 0.85::DOUBLE)""",
+)
 def g2_train_binary_es(spark, sf_dir):
-    """Next-day direction with validated early stopping; predictions of the test part."""
-    model, test = _direction_model(spark, sf_dir)
-    scored = model.score(test)
+    """Next-day direction with validated early stopping, the test part, and whether the stop is that of the logged losses."""
+    prepared = materialise(prepare_series(daily_series(spark, sf_dir), "price"), "prepared")
+    rows = materialise(chronological_split(prepared, ["date"]), "direction")
+    train, validation, test = (rows.filter(F.col("split") == p) for p in ("train", "validation", "test"))
+    model = train_binary(train, SERIES_COLUMNS, validation=validation)
+    losses = model.losses[0]
+    logged = spark.createDataFrame([("run", step, loss) for step, loss in enumerate(losses)], "run_id string, step int, value double")
+    found = early_stop_round(logged, patience=BINARY["patience"]).first()
+    agrees = found["best_round"] == model.rounds[0] - 1 and found["stop_round"] == len(losses) - 1
+    stopped = len(losses) < BINARY["max_rounds"]
+    scored = model.score(test).where(F.col("prediction").isin(0, 1))
     return scored.select(
-        F.col("date").cast("string").alias("date"), "target", "prediction", F.col("probability")[1].alias("p_up")
+        F.col("date").cast("date").cast("string").alias("date"), "target",
+        F.lit(agrees).alias("cut_at_best"), F.lit(stopped).alias("stopped_early"),
     )
 
 
-@query("g3_score_batch")
+@query("g3_score_batch", f"SELECT l_orderkey, l_linenumber, l_partkey, CAST({_HALF_SQL} AS DOUBLE) AS prediction FROM lineitem")
 def g3_score_batch(spark, sf_dir):
-    """Save, register, promote, load by stage and score the whole prepared series."""
-    model, _ = _direction_model(spark, sf_dir)
+    """Save, register, promote, load by stage and score every line."""
+    model, _ = _half_model(spark, sf_dir)
     root = scratch_path(spark, "models")
-    version = register_model(model, spark, root, "direction")
-    transition_stage(spark, root, "direction", version, "Staging")
-    loaded = load_model(spark, root, "direction", "Staging")
-    scored = score_batch(_prepared(spark, sf_dir), loaded)
-    return scored.select(F.col("date").cast("string").alias("date"), "target", "prediction")
+    version = register_model(model, spark, root, "half")
+    transition_stage(spark, root, "half", version, "Staging")
+    loaded = load_model(spark, root, "half", "Staging")
+    scored = score_batch(labelled_lines(spark, sf_dir), loaded)
+    return scored.select("l_orderkey", "l_linenumber", "l_partkey", "prediction")
 
 
-@query("a8_model_by_stage")
+@query("a8_model_by_stage", f"SELECT true AS same, count(*) AS rows FROM {_SPLIT_SQL} WHERE held")
 def a8_model_by_stage(spark, sf_dir):
     """A saved model read back by name and stage predicts the test part as it did before."""
-    model, test = _direction_model(spark, sf_dir)
+    model, test = _half_model(spark, sf_dir)
     root = scratch_path(spark, "models")
-    transition_stage(spark, root, "direction", register_model(model, spark, root, "direction"), "Production")
-    before = model.score(test).select("date", F.col("prediction").alias("before"))
-    loaded = load_model(spark, root, "direction", "Production").score(test)
-    both = loaded.join(before, "date")
+    transition_stage(spark, root, "half", register_model(model, spark, root, "half"), "Production")
+    before = model.score(test).select(*LINE_KEYS, *LINE_TIES, F.col("prediction").alias("before"))
+    loaded = load_model(spark, root, "half", "Production").score(test)
+    both = loaded.join(before, [*LINE_KEYS, *LINE_TIES])
     return both.groupBy((F.col("prediction") == F.col("before")).alias("same")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _load_linear():
-    """A fixed two-class scorer standing in for a model from outside Spark."""
+def linear_model(by_quantity: float, by_price: float):
+    """A two-class scorer standing in for a model from outside Spark."""
     import numpy as np
 
     def predict(rows):
-        up = 1.0 / (1.0 + np.exp(-(0.05 * rows[:, 0] - 0.00002 * rows[:, 1])))
+        up = 1.0 / (1.0 + np.exp(-(by_quantity * rows[:, 0] + by_price * rows[:, 1])))
         return np.stack([1.0 - up, up], axis=1)
 
     return predict
 
 
+@query(
+    "a8_foreign_by_stage",
+    """SELECT l_orderkey, l_linenumber, l_partkey, CAST(0.05 * l_quantity - 0.00002 * l_extendedprice > 0 AS INTEGER) AS prediction
+       FROM lineitem WHERE abs(0.05 * l_quantity - 0.00002 * l_extendedprice) > 1e-9""",
+)
+def a8_foreign_by_stage(spark, sf_dir):
+    """A foreign model registered, promoted, loaded by stage and applied to every line."""
+    root = scratch_path(spark, "models")
+    settings = {"by_quantity": 0.05, "by_price": -0.00002}
+    foreign = ForeignModel(("l_quantity", "l_extendedprice"), f"{__name__}:linear_model", settings)
+    transition_stage(spark, root, "linear", register_model(foreign, spark, root, "linear"), "Production")
+    scored = load_model(spark, root, "linear", "Production").score(labelled_lines(spark, sf_dir))
+    clear = F.abs(0.05 * F.col("l_quantity") - 0.00002 * F.col("l_extendedprice")) > 1e-9
+    return scored.where(clear).select("l_orderkey", "l_linenumber", "l_partkey", "prediction")
+
+
 @query(
     "g3_score_foreign",
     """SELECT l_orderkey, l_linenumber, l_partkey,
               round(1 / (1 + exp(-(0.05 * l_quantity - 0.00002 * l_extendedprice))), 6) AS p_up FROM lineitem""",
 )
 def g3_score_foreign(spark, sf_dir):
-    scored = score_foreign(labelled_lines(spark, sf_dir), ["l_quantity", "l_extendedprice"], _load_linear)
+    scored = score_foreign(labelled_lines(spark, sf_dir), ["l_quantity", "l_extendedprice"], lambda: linear_model(0.05, -0.00002))
     return scored.select(
         "l_orderkey", "l_linenumber", "l_partkey", F.round(F.col("probability")[1], 6).alias("p_up")
     )
@@ -122,20 +169,24 @@ def b10_parse_requests(spark, sf_dir):
 
 
 def _request_model(spark, sf_dir):
-    """Two-class model on the request field, trained on every event."""
-    events = table(spark, sf_dir, "events").select(
-        F.get_json_object("props", "$.k").cast("double").alias("k"), (F.col("value") > 30).cast("int").alias("target")
-    )
-    return train_binary(materialise(events, "requests"), ["k"], max_rounds=3)
+    """Two-class model on the request field, learned from a sample of events labelled by a threshold."""
+    events = table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("double").alias("k"))
+    labelled = events.withColumn("target", (F.col("k") > 40).cast("int"))
+    return train_binary(materialise(_fit_rows(labelled, ["event_id"]), "requests"), ["k"], max_bins=128)
+
+
+_SCORED_SQL = f"""WITH b AS (SELECT event_id, {body_sql("VARCHAR")} AS body FROM events),
+       p AS (SELECT event_id, CASE WHEN json_valid(body) THEN TRY_CAST(json_extract_string(body, '$.k') AS DOUBLE) END AS k FROM b)
+       SELECT event_id, CASE WHEN k IS NULL THEN 'invalid' ELSE 'ok' END AS status, CAST(k > 40 AS INTEGER) AS prediction FROM p"""
 
 
-@query("g4_score_requests")
+@query("g4_score_requests", _SCORED_SQL)
 def g4_score_requests(spark, sf_dir):
     scored = score_requests(request_bodies(spark, sf_dir), ["k"], _request_model(spark, sf_dir))
     return scored.select("event_id", "status", "prediction")
 
 
-@query("s2_score_stream")
+@query("s2_score_stream", _SCORED_SQL)
 def s2_score_stream(spark, sf_dir):
     """The same requests arriving as files."""
     source, out = scratch_path(spark, "request-files"), scratch_path(spark, "scored")

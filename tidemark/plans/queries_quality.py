@@ -83,6 +83,18 @@ def e6_ks_pvalue(spark, sf_dir):
     return found.select("feature", F.round("p_value", 6).alias("p_value"))
 
 
+@query(
+    "e6_small_pvalue",
+    """SELECT o_custkey, round(-(ln(2) + lgamma(k + 1) + lgamma(k + 2) - lgamma(2 * k + 2)) / ln(10), 6) AS minus_log10_p, 'exact' AS method
+       FROM (SELECT o_custkey, count(*) AS k FROM orders GROUP BY 1) WHERE k > 1""",
+)
+def e6_small_pvalue(spark, sf_dir):
+    """Disjoint samples of k and k + 1 values per customer: 2 of C(2k + 1, k) paths are as extreme."""
+    sizes = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n1")).where("n1 > 1")
+    tests = K.with_p_value(sizes.withColumns({"n2": F.col("n1") + 1, "statistic": F.lit(1.0)}))
+    return tests.select("o_custkey", F.round(-F.log10("p_value"), 6).alias("minus_log10_p"), "method")
+
+
 def _sample_sql(seed: int) -> str:
     return f"""SELECT * FROM lineitem ORDER BY md5(concat_ws('|', '{seed}', l_orderkey, l_linenumber, l_partkey, l_suppkey)),
                l_shipdate, l_extendedprice LIMIT 50"""
@@ -124,18 +136,35 @@ def e7_accuracy(spark, sf_dir):
 
 @query(
     "e8_log_loss",
-    """WITH s AS (SELECT label, list_transform(embedding[1:10], lambda x: exp(x::DOUBLE)) AS e FROM embeddings)
+    """WITH s AS (SELECT label, list_transform(embedding, lambda x: exp(x::DOUBLE)) AS e FROM embeddings)
        SELECT round(-avg(ln(greatest(e[label + 1] / list_sum(e), 1e-15))), 6) AS log_loss FROM s""",
 )
 def e8_log_loss(spark, sf_dir):
-    """Softmax of the first ten vector elements as class probabilities."""
-    exps = F.transform(F.slice("embedding", 1, 10), lambda v: F.exp(v.cast("double")))
+    """Softmax of the vector's elements as class probabilities."""
+    exps = F.transform("embedding", lambda v: F.exp(v.cast("double")))
     scores = table(spark, sf_dir, "embeddings").select("label", exps.alias("e"))
     total = F.aggregate("e", F.lit(0.0), lambda a, v: a + v)
     scored = scores.select("label", F.transform("e", lambda v: v / total).alias("probability"))
     return E.log_loss(scored, "label").withColumn("log_loss", F.round("log_loss", 6))
 
 
+@query(
+    "e8_log_loss_missing",
+    """SELECT round(-avg(ln(CASE WHEN event_id % 3 = 0 OR event_id % 5 = 0 THEN NULL WHEN event_type = 'purchase' THEN p ELSE 1 - p END)), 6) AS log_loss,
+              round(-avg(ln(CASE WHEN event_id % 3 = 0 OR event_id % 5 = 0 THEN NULL WHEN event_type = 'purchase' THEN p ELSE 1 - p END)), 6) AS binary_log_loss
+       FROM (SELECT event_id, event_type, value / (value + 100) AS p FROM events)""",
+)
+def e8_log_loss_missing(spark, sf_dir):
+    """Rows without a label or a probability are left out of both losses."""
+    p = F.col("value") / (F.col("value") + 100)
+    label = F.when(F.col("event_id") % 3 != 0, (F.col("event_type") == "purchase").cast("int"))
+    known = F.when(F.col("event_id") % 10 == 0, F.lit(float("nan"))).when(F.col("event_id") % 5 != 0, p)
+    rows = table(spark, sf_dir, "events").select(label.alias("target"), known.alias("p"))
+    both = rows.select("target", "p", F.array(1 - F.col("p"), "p").alias("probability"))
+    multi = E.log_loss(both).select(F.round("log_loss", 6).alias("log_loss"))
+    return multi.withColumn("binary_log_loss", F.round(E.binary_log_loss(both, probability="p").scalar(), 6))
+
+
 @query(
     "e8_binary_log_loss",
     """SELECT round(-avg(CASE WHEN event_type = 'purchase' THEN ln(p) ELSE ln(1 - p) END), 6) AS log_loss
@@ -184,6 +213,29 @@ def f3_binary_decision(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", D.binary_decision(probability).alias("prediction"))
 
 
+@query(
+    "f3_missing_probability",
+    """SELECT event_id, CAST(CASE WHEN event_type IN ('click', 'error') THEN 0 ELSE CAST(value / (value + 30) > 0.5 AS INTEGER) END AS INTEGER)
+       AS prediction FROM events""",
+)
+def f3_missing_probability(spark, sf_dir):
+    """NaN and null probabilities decide 0."""
+    given = F.col("value") / (F.col("value") + 30)
+    probability = F.when(F.col("event_type") == "click", float("nan")).when(F.col("event_type") != "error", given)
+    return table(spark, sf_dir, "events").select("event_id", D.binary_decision(probability).alias("prediction"))
+
+
+@query(
+    "f4_missing_accuracy",
+    """SELECT event_id, CASE WHEN event_type IN ('click', 'error') THEN 'artifact_only' WHEN value / 40 >= 0.52 THEN 'register'
+       ELSE 'artifact_only' END AS decision FROM events""",
+)
+def f4_missing_accuracy(spark, sf_dir):
+    """NaN and null accuracies are not registered."""
+    accuracy = F.when(F.col("event_type") == "click", float("nan")).when(F.col("event_type") != "error", F.col("value") / 40)
+    return table(spark, sf_dir, "events").select("event_id", D.registration_gate(accuracy).alias("decision"))
+
+
 @query(
     "f4_gate",
     """SELECT run_id, CASE WHEN accuracy >= 0.52 THEN 'register' ELSE 'artifact_only' END AS decision
@@ -347,6 +399,30 @@ def k1_quality_from_truth(spark, sf_dir):
     return scored.withColumns(rounded)
 
 
+@query(
+    "k1_quality_by_window",
+    """WITH j AS (SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, CAST(event_type = 'purchase' AS INTEGER) AS label,
+                         CAST(value > 30 AS INTEGER) AS prediction FROM events),
+       k AS (SELECT day, c AS class, sum(CAST(label = c AND prediction = c AS INTEGER)) AS hit,
+                    sum(CAST(prediction = c AS INTEGER)) AS claimed, sum(CAST(label = c AS INTEGER)) AS actual
+             FROM j, (VALUES (0), (1)) v(c) GROUP BY 1, 2),
+       a AS (SELECT day, avg(CAST(label = prediction AS INTEGER)) AS accuracy FROM j GROUP BY 1)
+       SELECT day, CAST(class AS INTEGER) AS class, round(coalesce(hit / nullif(claimed, 0)::DOUBLE, 0), 6) AS precision,
+              round(coalesce(hit / nullif(actual, 0)::DOUBLE, 0), 6) AS recall, round(2 * hit / (claimed + actual)::DOUBLE, 6) AS f1,
+              round(accuracy, 6) AS accuracy, round(avg(2 * hit / (claimed + actual)::DOUBLE) OVER (PARTITION BY day), 6) AS macro_f1
+       FROM k JOIN a USING (day) WHERE claimed + actual > 0""",
+)
+def k1_quality_by_window(spark, sf_dir):
+    """Predictions of every day against truth that arrives apart."""
+    events = table(spark, sf_dir, "events")
+    predictions = events.select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), (F.col("value") > 30).cast("int").alias("prediction")
+    )
+    truth = events.select("event_id", (F.col("event_type") == "purchase").cast("int").alias("label"))
+    scored = E.quality_from_truth(predictions, truth, "event_id", "label", by=["day"])
+    return scored.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1", "accuracy", "macro_f1")})
+
+
 @query(
     "k2_alerts",
     """WITH g AS (SELECT event_type AS job, concat(event_type, '_value_max') AS metric, max(value) AS value FROM events GROUP BY 1

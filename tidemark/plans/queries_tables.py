@@ -66,6 +66,23 @@ def a1_csv_scan(spark, sf_dir):
     )
 
 
+@query(
+    "a1_csv_inferred",
+    """SELECT CAST(CAST(o_orderdate AS DATE) + INTERVAL (CASE WHEN year(o_orderdate) < 2000 THEN 100 ELSE 0 END) YEAR AS DATE)::VARCHAR AS date, CAST(count(*) AS INTEGER) AS "price.1",
+              CAST(max(o_orderkey) AS INTEGER) AS "last key" FROM orders GROUP BY 1""",
+)
+def a1_csv_inferred(spark, sf_dir):
+    """Inferred types, dates such as 5-Jan-94 (two digits are years of this century), headers with a dot and a blank."""
+    path = scratch_path(spark, "inferred-csv")
+    days = table(spark, sf_dir, "orders").groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(
+        F.count(F.lit(1)).alias("price.1"), F.max("o_orderkey").alias("last key")
+    )
+    texts = days.select(F.date_format("day", "d-MMM-yy").alias("date"), "`price.1`", "last key")
+    texts.write.option("header", True).csv(path)
+    scanned = C.select_numeric(read_series_csv(spark, path, date_formats=["yyyy-MM-dd", "d-MMM-yy"]), keep=["date"])
+    return C.drop_incomplete(scanned).withColumn("date", F.col("date").cast("date").cast("string"))
+
+
 @query(
     "a2_typed_ingest",
     """SELECT l_quantity, l_extendedprice, l_discount, l_tax,

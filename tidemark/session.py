@@ -7,8 +7,7 @@ the loss of executors, and later passes read only the columns they need.
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,19 +34,33 @@ def get_session(app_name: str, master: str | None = None, **conf: str) -> SparkS
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables of this application, visible to every executor."""
+    """Folder for intermediate tables of this application, visible to every executor.
+
+    It lies in ``spark.checkpoint.dir``, else beside the tables of the
+    warehouse, and is deleted when the session's Python ends.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = _local_folder()
-    return f"{configured.rstrip('/')}/{spark.sparkContext.applicationId}"
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    application = spark.sparkContext.applicationId
+    if application not in _cleaned:
+        _cleaned.add(application)
+        atexit.register(_clear_at_end, spark)
+    return f"{configured.rstrip('/')}/{application}"
+
+
+_cleaned: set[str] = set()
+
+
+def _clear_at_end(spark: SparkSession) -> None:
+    """Nothing is left to clear through a session that has been stopped."""
+    if spark.sparkContext._jsc is not None:
+        clear_scratch(spark)
 
 
-@functools.cache
-def _local_folder() -> str:
-    """One temporary folder per process, for local mode without a configured folder."""
-    return tempfile.mkdtemp(prefix="tidemark-")
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -70,6 +83,8 @@ def clear_scratch(spark: SparkSession, label: str = "") -> None:
     """
     root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return
     for entry in files.listStatus(root):
         if entry.getPath().getName().startswith(label):
             files.delete(entry.getPath(), True)

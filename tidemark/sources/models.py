@@ -1,22 +1,30 @@
 """Saved models, addressed by name and stage.
 
 ``<root>/events`` is the registry's event table (one row per registration or
-stage change); ``<root>/files/<name>/v=<n>`` holds the saved pipeline and a
-small description.  One writer per model is assumed.
+stage change); ``<root>/files/<name>/v=<n>`` holds a small description
+and, for models that have one, the saved pipeline.  One writer per model is assumed.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+from dataclasses import asdict
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.boosting import BoostedModel
+from tidemark.operators.qlearning import LinearQ
 from tidemark.operators.registry import INITIAL_STAGE, latest_in_stage
+from tidemark.operators.scoring import ForeignModel
+from tidemark.session import path_exists
 
 EVENT_SCHEMA = "name string, version bigint, stage string, event_seq bigint, uri string"
-_ABOUT_SCHEMA = "features array<string>, classes int, rounds array<int>"
+_ABOUT_SCHEMA = "kind string, about string"
+
+# anything the registry holds: boosted trees, any pipeline, action values, models from outside Spark
+Model = BoostedModel | PipelineModel | LinearQ | ForeignModel
 
 
 class ModelNotFound(LookupError):
@@ -25,10 +33,9 @@ class ModelNotFound(LookupError):
 
 def read_events(spark: SparkSession, root: str) -> DataFrame:
     """Registry events; an empty frame before the first registration."""
-    try:
-        return spark.read.schema(EVENT_SCHEMA).parquet(f"{root}/events")
-    except AnalysisException:
+    if not path_exists(spark, f"{root}/events"):
         return spark.createDataFrame([], EVENT_SCHEMA)
+    return spark.read.schema(EVENT_SCHEMA).parquet(f"{root}/events")
 
 
 def _append_event(spark: SparkSession, root: str, name: str, version: int, stage: str, uri: str) -> None:
@@ -37,20 +44,40 @@ def _append_event(spark: SparkSession, root: str, name: str, version: int, stage
     row.coalesce(1).write.mode("append").parquet(f"{root}/events")
 
 
-def save_artifact(model: BoostedModel, spark: SparkSession, uri: str) -> None:
-    """Save a model without registering it."""
-    model.pipeline.write().overwrite().save(f"{uri}/pipeline")
-    about = spark.createDataFrame([(list(model.features), model.classes, list(model.rounds))], _ABOUT_SCHEMA)
-    about.coalesce(1).write.mode("overwrite").json(f"{uri}/about")
-
-
-def load_artifact(spark: SparkSession, uri: str) -> BoostedModel:
-    about = spark.read.schema(_ABOUT_SCHEMA).json(f"{uri}/about").first()
+def save_artifact(model: Model, spark: SparkSession, uri: str) -> None:
+    """Save a model without registering it: its description, and its pipeline if it has one."""
+    pipeline = None
+    if isinstance(model, BoostedModel):
+        pipeline, kind = model.pipeline, "boosted"
+        about = {"features": model.features, "classes": model.classes, "rounds": model.rounds}
+    elif isinstance(model, PipelineModel):
+        pipeline, kind, about = model, "pipeline", {}
+    elif isinstance(model, LinearQ):
+        kind, about = "linear_q", asdict(model)
+    elif isinstance(model, ForeignModel):
+        kind, about = "foreign", asdict(model)
+    else:
+        raise TypeError(f"cannot save a {type(model).__name__}")
+    if pipeline is not None:
+        pipeline.write().overwrite().save(f"{uri}/pipeline")
+    row = spark.createDataFrame([(kind, json.dumps(about))], _ABOUT_SCHEMA)
+    row.coalesce(1).write.mode("overwrite").json(f"{uri}/about")
+
+
+def load_artifact(spark: SparkSession, uri: str) -> Model:
+    row = spark.read.schema(_ABOUT_SCHEMA).json(f"{uri}/about").first()
+    about = json.loads(row["about"])
+    if row["kind"] == "linear_q":
+        return LinearQ(tuple(map(tuple, about["weights"])), tuple(about["intercepts"]))
+    if row["kind"] == "foreign":
+        return ForeignModel(tuple(about["features"]), about["loader"], about["settings"])
     pipeline = PipelineModel.load(f"{uri}/pipeline")
+    if row["kind"] == "pipeline":
+        return pipeline
     return BoostedModel(pipeline, tuple(about["features"]), about["classes"], tuple(about["rounds"]))
 
 
-def register_model(model: BoostedModel, spark: SparkSession, root: str, name: str) -> int:
+def register_model(model: Model, spark: SparkSession, root: str, name: str) -> int:
     """Save ``model`` as the next version of ``name`` in stage "None"."""
     versions = read_events(spark, root).filter(F.col("name") == name)
     version = versions.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0] + 1
@@ -68,7 +95,7 @@ def transition_stage(spark: SparkSession, root: str, name: str, version: int, st
     _append_event(spark, root, name, version, stage, known["uri"])
 
 
-def load_model(spark: SparkSession, root: str, name: str, stage: str) -> BoostedModel:
+def load_model(spark: SparkSession, root: str, name: str, stage: str) -> Model:
     """Newest version of ``name`` in ``stage``."""
     row = latest_in_stage(read_events(spark, root), stage, name).first()
     if row is None:

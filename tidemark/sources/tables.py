@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import path_exists
+
 _COMMIT_SCHEMA = "version bigint, schema string"
 
 
@@ -27,10 +28,9 @@ def _shape(schema: T.StructType) -> list[tuple[str, str]]:
 
 
 def _latest_commit(spark: SparkSession, path: str):
-    try:
-        commits = spark.read.schema(_COMMIT_SCHEMA).json(f"{path}/commits")
-    except AnalysisException:
+    if not path_exists(spark, f"{path}/commits"):
         return None
+    commits = spark.read.schema(_COMMIT_SCHEMA).json(f"{path}/commits")
     newest = commits.agg(F.max_by(F.struct("version", "schema"), "version").alias("c")).first()
     return newest["c"]
 
@@ -49,8 +49,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{path}/data/v={commit['version']}")
 
 
-
-
 def overwrite_table(df: DataFrame, path: str, replace_schema: bool = False) -> int:
     """Publish ``df`` as the next snapshot and return its version.
 
