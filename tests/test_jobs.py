@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.boosting import best_and_stop, train_binary
 from tidemark.operators.scoring import ForeignModel, score_batch, score_requests
 from tidemark.plans import jobs
+from tidemark.session import scratch_root
 from tidemark.sources.metrics import read_gauges, read_metrics, read_params
 from tidemark.sources.models import ModelNotFound, load_model, read_events, register_model, transition_stage
 from tidemark.sources.tables import SchemaMismatch, overwrite_table, read_table
@@ -149,6 +150,12 @@ def test_requests_in_batch_and_stream_agree(spark, threshold_model, tmp_path):
     assert got == batch
 
 
+def _scratch_tables(spark):
+    from pathlib import Path
+
+    return {p.name for p in Path(scratch_root(spark)).iterdir()}
+
+
 def test_drift_stream_emits_closed_windows_once(spark, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     rows = spark.range(4 * 60).select(
@@ -159,7 +166,10 @@ def test_drift_stream_emits_closed_windows_once(spark, tmp_path):
         part.coalesce(1).write.mode("append").parquet(source)
     reference = spark.range(10).select(F.col("id").cast("double").alias("v"))
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    before = _scratch_tables(spark)
     drift_stream(stream, reference, "v", "ts", out, state).awaitTermination()
+    # only the reference's counts are left, however many batches there were
+    assert [t for t in _scratch_tables(spark) - before if not t.startswith("reference-counts")] == []
     got = spark.read.parquet(f"{out}/batch=*").orderBy("window_start").collect()
     # the last window starts at 03:45 and is still open; the watermark reached 03:44
     assert len(got) == 14 and {r.n2 for r in got} == {15}

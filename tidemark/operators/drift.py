@@ -121,7 +121,17 @@ def window_value_counts(
     )
 
 
+def reference_counts(reference: DataFrame, value: str) -> DataFrame:
+    """Rows per value of a reference, written once, for any number of window tests."""
+    ref = reference.select(F.col(value).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    return materialise(ref.groupBy("x").agg(F.count(F.lit(1)).alias("at")), "reference-counts")
+
+
 def ks_by_window(reference: DataFrame, value: str, counts: DataFrame, by: Sequence[str] = ("window_start",)) -> DataFrame:
+    return ks_against_counts(reference_counts(reference, value), counts, by)
+
+
+def ks_against_counts(ref_counts: DataFrame, counts: DataFrame, by: Sequence[str] = ("window_start",)) -> DataFrame:
     """Test every window of ``counts`` (``by..., x, c2``) against the whole reference.
 
     Between two neighbouring production values a window's CDF is flat and the
@@ -131,10 +141,6 @@ def ks_by_window(reference: DataFrame, value: str, counts: DataFrame, by: Sequen
     Missing values are left out.
     """
     counts = materialise(counts.filter(F.col("x").isNotNull() & ~F.isnan("x")), "window-counts")
-    ref = reference.select(F.col(value).cast("double").alias("x")).filter(
-        F.col("x").isNotNull() & ~F.isnan("x")
-    )
-    ref_counts = ref.groupBy("x").agg(F.count(F.lit(1)).alias("at"))
     pooled = (
         counts.select("x", F.lit(0).cast("bigint").alias("at"))
         .distinct()

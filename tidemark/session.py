@@ -8,7 +8,10 @@ the loss of executors, and later passes read only the columns they need.
 from __future__ import annotations
 
 import atexit
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +21,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # open windows keep one entry per value: more than a heap may hold
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
 }
 
@@ -63,9 +68,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that this thread writes under the scratch folder inside the block are deleted at its end."""
+    outer, _scopes.paths = getattr(_scopes, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _scopes.paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _scopes.paths = outer
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if getattr(_scopes, "paths", None) is not None:
+        _scopes.paths.append(path)
+    return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.drift import ks_by_window, window_value_counts, with_p_value
-from tidemark.session import materialise
+from tidemark.operators.drift import ks_against_counts, reference_counts, window_value_counts, with_p_value
+from tidemark.session import materialise, scratch_scope
 
 # schedule of the monitoring job; late rows are waited for just as long
 WINDOW_SIZE = "15 minutes"
@@ -36,14 +36,17 @@ def drift_stream(
     timed = production.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
     counts = window_value_counts(timed, value, time, size)
 
+    # the reference is counted once, not in every micro-batch
+    known = reference_counts(reference, value)
+
     def test_closed(batch: DataFrame, batch_id: int) -> None:
-        # one evaluation of the stateful plan, whatever the test does with its rows
-        closed = materialise(batch, "closed-windows")
-        if closed.isEmpty():
-            return
-        with_p_value(ks_by_window(reference, value, closed)).write.mode("overwrite").parquet(
-            f"{output}/batch={batch_id}"
-        )
+        # a stream has no end, so each batch clears its own intermediate tables
+        with scratch_scope(batch.sparkSession):
+            # one evaluation of the stateful plan, whatever the test does with its rows
+            closed = materialise(batch, "closed-windows")
+            if not closed.isEmpty():
+                tests = with_p_value(ks_against_counts(known, closed))
+                tests.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
     writer = (
         counts.writeStream.outputMode("append")
