@@ -75,7 +75,7 @@ def g1_train_multiclass(spark, sf_dir):
        l AS (SELECT date, CAST(coalesce(lead(price) OVER (ORDER BY date) > price, false) AS BIGINT) AS target,
                     row_number() OVER (ORDER BY date) AS rn, count(*) OVER () AS n FROM d)
        SELECT CAST(date AS VARCHAR) AS date, target, true AS cut_at_best, true AS stopped_early
-       FROM l WHERE rn > floor(n * 0.85::DOUBLE)""",
+       FROM l WHERE rn > floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE)""",
 )
 def g2_train_binary_es(spark, sf_dir):
     """Next-day direction with validated early stopping, the test part, and whether the stop is that of the logged losses."""
