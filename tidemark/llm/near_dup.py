@@ -6,11 +6,14 @@ tables cost only ``2 * halves * rows`` minhash functions, about the root of
 what independent tables would cost.
 
 Equal sets are one class, known by a digest; only classes go on.  Bucket
-members are compared in waves: first with the most connected member they meet,
-then with a bucket's 16 and 256 most connected and with all others, and members
-that are already in one component are not compared again.  So a large group of near copies is
-settled by few comparisons, no pair of a bucket is left out, and no bucket is
-expanded into all its pairs.  Pairs are confirmed on the texts' own shingles.
+members are compared first with the most connected member they meet, then,
+outside a bucket's main component, with its 16 most connected, and at last with
+all others.  Exact bounds leave out pairs that cannot be linked: a link needs
+enough shingles that other nodes have too, and, in large buckets, enough
+frequent ones or a rare one in common.  So a large group of near copies is
+settled by few comparisons and no bucket is expanded into all its pairs, but
+every pair of a bucket is either compared or ruled out.  Pairs are confirmed on
+the texts' own shingles.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; a text with fewer words than a shingle is one
@@ -28,7 +31,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -39,8 +42,10 @@ SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
 ROWS = 3
 LEAST_RECALL = 0.999
-# ranks (after, up to) of the partners that each wave takes in every bucket, by connections; None: all others
-WAVES = ((0, 16), (16, 256), (256, None))
+# partners that every bucket's members are compared with before shingle frequencies narrow the rest
+CENTRAL = 16
+# shingles of at most so many nodes are looked at one by one
+RARE = 8
 SEED = 10
 _SLICE = 1 << 20
 
@@ -122,77 +127,187 @@ def signatures(texts: pa.Array, n: int, rows: int, halves: int) -> pa.Array:
 
 
 def _described(docs: DataFrame, doc_id: str, text: str, n: int, rows: int, halves: int) -> DataFrame:
-    """Per row its id, text hash, set size, digest and half keys: narrow, written once."""
+    """Per row its id, set size, digest and half keys: narrow, written once."""
 
     @F.arrow_udf("struct<n:bigint,digest:binary,keys:array<bigint>>")
     def describe(texts: pa.Array) -> pa.Array:
         return signatures(texts, n, rows, halves)
 
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), describe(F.col(text)).alias("set"))
-    return materialise(narrow.select("doc_id", "text_hash", "set.*"), "near-described")
+    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), describe(F.col(text)).alias("set"))
+    return materialise(narrow.select("doc_id", "set.*"), "near-described")
 
 
-def _buckets(classes: DataFrame, halves: int) -> DataFrame:
-    """Rows (bucket, node, n, members, weight) of buckets with several classes.
+def _shared_buckets(classes: DataFrame, halves: int) -> DataFrame:
+    """Rows (bucket, table, node, n) of buckets with several classes.
 
-    ``weight``, a node's neighbours in all its buckets, tells the centre of a
-    group.  Buckets are counted before rows meet, so a hot one is combined in
-    every task, and the join of two written tables can be split.
+    Buckets are counted before rows meet, so a hot one is combined in every
+    task, and the join of two written tables can be split.
     """
     tables = F.sequence(F.lit(0), F.lit(halves - 1))
     pairs = F.flatten(
         F.transform(tables, lambda i: F.transform(tables, lambda j: F.xxhash64(i, j, F.get("keys", i), F.get("keys", j + halves))))
     )
-    keyed = classes.select("node", "n", F.explode(pairs).alias("bucket"))
-    counts = keyed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    counts = materialise(counts.withColumnRenamed("bucket", "_bucket"), "near-counts")
-    shared = materialise(keyed.join(counts, F.col("bucket") == F.col("_bucket")).drop("_bucket"), "near-shared")
-    weights = materialise(shared.groupBy(F.col("node").alias("_node")).agg(F.sum("members").alias("weight")), "near-weights")
-    return materialise(shared.join(weights, F.col("node") == F.col("_node")).drop("_node"), "near-buckets")
+    keyed = classes.select("node", "n", F.posexplode(pairs).alias("table", "bucket"))
+    return materialise(_several(keyed, "near-counts"), "near-shared")
+
+
+def _several(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` of buckets with several of them, with ``members``."""
+    counts = rows.groupBy(F.col("bucket").alias("_bucket")).agg(F.count("*").alias("members")).where("members > 1")
+    return rows.join(materialise(counts, label), F.col("bucket") == F.col("_bucket")).drop("_bucket")
+
+
+def _shingle_rows(texts: DataFrame, n: int) -> DataFrame:
+    """(node, shingle) of every distinct shingle, as 64-bit hashes."""
+
+    @F.arrow_udf("array<bigint>")
+    def hashes(column: pa.Array) -> pa.Array:
+        rows = []
+        for part in slices(column, _SLICE):
+            found, first = _shingle_hashes(part, n)
+            rows += [np.unique(found[first[i] : first[i + 1]]).view(np.int64) for i in range(len(part))]
+        ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*rows, np.zeros(0, np.int64)])))
+
+    return texts.select("node", F.explode(hashes("text")).alias("shingle"))
+
+
+def _compared(shared: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The rows of ``shared`` that may have a link, with ``members``, ``weight``, ``common`` and ``keys``.
+
+    ``common`` counts the shingles that another node of the shared buckets has
+    too.  A link needs 85 of 100 shingles to be such (or what ``percent``
+    says), so texts with too many shingles of their own are out, exactly.
+    ``weight``, a node's neighbours in all its buckets, tells a group's centre.
+    """
+    ambiguous = classes.groupBy(F.col("node").alias("_node")).agg(F.count("*").alias("texts")).where("texts > 1").select("_node")
+    ambiguous = materialise(ambiguous, "near-ambiguous")
+    once = _shingle_rows(texts, n).groupBy("shingle").agg(F.count("*").alias("nodes"), F.min("node").alias("node")).where("nodes = 1")
+    own = once.groupBy("node").agg(F.count("*").alias("own")).join(ambiguous, F.col("node") == F.col("_node"), "left_anti")
+    own = materialise(own.select(F.col("node").alias("_node"), "own"), "near-own")
+    counted = shared.drop("members").join(own, F.col("node") == F.col("_node"), "left").withColumn(
+        "common", F.col("n") - F.coalesce("own", F.lit(0))
+    )
+    possible = materialise(counted.where(100 * F.col("common") >= percent * F.col("n")).drop("_node", "own"), "near-possible")
+    rows = materialise(_several(possible, "near-counts"), "near-several")
+    weights = rows.groupBy(F.col("node").alias("_node")).agg(F.sum("members").alias("weight"))
+    about = weights.join(
+        classes.select(F.col("node").alias("_class"), "keys").join(ambiguous, F.col("_class") == F.col("_node"), "left_anti"),
+        F.col("_node") == F.col("_class"),
+        "left",
+    ).drop("_class")
+    return materialise(rows.join(materialise(about, "near-weights"), F.col("node") == F.col("_node")).drop("_node"), "near-buckets")
+
+
+def _enough(percent: int, ours: str = "common", theirs: str = "their_common", extra: Column | None = None) -> Column:
+    """Whether the shingles that two sets can have in common suffice: ``both / (n + n' - both)`` reaches the threshold."""
+    both = F.least(ours, theirs) + (extra if extra is not None else F.lit(0))
+    return (100 + percent) * both >= percent * (F.col("n") + F.col("their_n"))
+
+
+def _first_met(halves: int) -> Column:
+    """Whether a bucket's table is the first in which its two members meet, so that a pair comes up once.
+
+    A table is a pair of half keys: its first meeting has the first equal half key of either collection.
+    """
+
+    def is_first(begin: int, place: Column) -> Column:
+        same = F.zip_with(F.slice("keys", begin, halves), F.slice("their_keys", begin, halves), lambda a, b: a == b)
+        return F.array_position(same, True) == place + 1
+
+    i, j = F.floor(F.col("table") / halves), F.col("table") % halves
+    return F.col("keys").isNull() | F.col("their_keys").isNull() | (is_first(1, i) & is_first(halves + 1, j))
+
+
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
 def _first_pairs(buckets: DataFrame, percent: int) -> DataFrame:
     """Each node with the most connected node it shares a bucket with."""
-    hubs = buckets.groupBy(F.col("bucket").alias("_bucket")).agg(F.max(F.struct("weight", F.col("node").alias("hub"), F.col("n").alias("hub_n"))).alias("best"))
+    hubs = buckets.groupBy(F.col("bucket").alias("_bucket")).agg(
+        F.max(F.struct("weight", F.col("node").alias("hub"), F.col("n").alias("their_n"), F.col("common").alias("their_common"))).alias("best")
+    )
     hubs = materialise(hubs.select("_bucket", "best.*").withColumnRenamed("weight", "hub_weight"), "near-hubs")
-    met = buckets.join(hubs, F.col("bucket") == F.col("_bucket")).where("node <> hub")
-    met = met.where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
+    met = buckets.join(hubs, (F.col("bucket") == F.col("_bucket")) & (F.col("node") != F.col("hub")) & _enough(percent))
     best = met.groupBy("node").agg(F.max(F.struct("hub_weight", "hub"))["hub"].alias("hub"))
-    return best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    return best.select(*_ordered("node", "hub")).distinct()
 
 
-def _open(buckets: DataFrame, labels: DataFrame | None, after: int) -> DataFrame:
-    """Rows of buckets with more than ``after`` members that lie in several components, with their components."""
-    rows = buckets.where(F.col("members") > after)
-    if labels is None:
-        return rows.withColumn("component", F.col("node"))
+def _open(buckets: DataFrame, labels: DataFrame, least: int) -> DataFrame:
+    """Rows of buckets with more than ``least`` members that lie in several components.
+
+    ``component`` is the row's, ``main`` that of the bucket's most connected
+    member: of two members not linked yet, one at least is outside ``main``.
+    """
+    rows = buckets.where(F.col("members") > least)
     known = labels.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
     placed = rows.join(known, F.col("node") == F.col("_node"), "left").withColumn("component", F.coalesce("_component", "node"))
     placed = materialise(placed.drop("_node", "_component"), "near-placed")
-    several = placed.groupBy(F.col("bucket").alias("_bucket")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    several = materialise(several.where("low <> high").select("_bucket"), "near-several")
-    return materialise(placed.join(several, F.col("bucket") == F.col("_bucket"), "left_semi"), "near-open")
+    several = placed.groupBy(F.col("bucket").alias("_bucket")).agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.struct("weight", "component"))["component"].alias("main")
+    )
+    several = materialise(several.where("low <> high").select("_bucket", "main"), "near-open-buckets")
+    return materialise(placed.join(several, F.col("bucket") == F.col("_bucket")).drop("_bucket"), "near-open")
 
 
-def _pairs(rows: DataFrame, after: int, up_to: int | None, percent: int) -> DataFrame:
-    """Pairs of a bucket's members with its partners of ranks ``after`` to ``up_to``, not yet in one component."""
-    rank = F.row_number().over(W.partitionBy("bucket").orderBy(F.col("weight").desc(), "node"))
-    # a limit on the rank is applied in every task before rows of a bucket meet
-    top = rows.withColumn("rank", rank).where(F.col("rank") <= (after if up_to is None else up_to))
-    if up_to is None:
-        top = materialise(top.select(F.col("bucket").alias("_bucket"), F.col("node").alias("_node")), "near-top")
-        partners = rows.join(top, (F.col("bucket") == F.col("_bucket")) & (F.col("node") == F.col("_node")), "left_anti")
-    else:
-        partners = top.where(F.col("rank") > after)
-    partners = materialise(
+def _met(rows: DataFrame, partners: DataFrame, percent: int, halves: int) -> DataFrame:
+    """Pairs of members outside the main component with ``partners`` of another component, where a link is possible."""
+    others = materialise(
         partners.select(
-            F.col("bucket").alias("_bucket"), F.col("node").alias("partner"), F.col("n").alias("partner_n"), F.col("component").alias("met")
+            F.col("bucket").alias("_bucket"),
+            F.col("node").alias("partner"),
+            *[F.col(c).alias(f"their_{c}") for c in ("n", "common", "component", "keys")],
         ),
         "near-partners",
     )
-    close = 100 * F.least("n", "partner_n") >= percent * F.greatest("n", "partner_n")
-    met = rows.join(partners, F.col("bucket") == F.col("_bucket")).where((F.col("component") != F.col("met")) & close)
-    return met.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
+    both = (F.col("bucket") == F.col("_bucket")) & (F.col("component") != F.col("their_component")) & _enough(percent)
+    met = rows.where("component <> main").join(others, both & _first_met(halves))
+    return met.select(*_ordered("node", "partner")).distinct()
+
+
+def _central_pairs(rows: DataFrame, percent: int, halves: int) -> DataFrame:
+    """Pairs with the most connected members of every bucket; the rank's limit applies before a bucket's rows meet."""
+    rank = F.row_number().over(W.partitionBy("bucket").orderBy(F.col("weight").desc(), "node"))
+    return _met(rows, rows.withColumn("rank", rank).where(F.col("rank") <= CENTRAL), percent, halves)
+
+
+def _other_pairs(rows: DataFrame, texts: DataFrame, n: int, percent: int, halves: int) -> DataFrame:
+    """All further pairs of a bucket that can be linked.
+
+    Two sets that have no rare shingle in common have only frequent ones in
+    common, so counting the frequent ones of each bounds what they share.
+    Pairs with a rare shingle in common are found by it; there are few.
+    """
+    nodes = rows.select(F.col("node").alias("_node")).distinct()
+    found = materialise(_shingle_rows(texts.join(nodes, F.col("node") == F.col("_node"), "left_semi"), n), "near-shingles")
+    counts = found.groupBy(F.col("shingle").alias("_shingle")).agg(F.count("*").alias("nodes")).where(F.col("nodes") <= RARE)
+    rare = materialise(
+        found.join(materialise(counts, "near-rare"), F.col("shingle") == F.col("_shingle")).drop("_shingle"), "near-rare-rows"
+    )
+    about = rows.groupBy("node").agg(
+        *[F.max(c).alias(c) for c in ("n", "component", "common")], F.max(F.col("component") != F.col("main")).alias("asks")
+    )
+    single = found.groupBy("node").agg(F.count("*").alias("all"))
+    few = rare.groupBy(F.col("node").alias("_node")).agg(F.count("*").alias("few"))
+    frequent = single.join(few, F.col("node") == F.col("_node"), "left").select(
+        F.col("node").alias("_node"), (F.col("all") - F.coalesce("few", F.lit(0))).alias("frequent")
+    )
+    about = materialise(
+        about.join(frequent, F.col("node") == F.col("_node")).drop("_node").withColumn("common", F.least("common", "frequent")).drop("frequent"),
+        "near-about",
+    )
+    known = about.select(F.col("node").alias("_node"), F.col("common").alias("_common"))
+    by_bucket = rows.join(known, F.col("node") == F.col("_node")).withColumn("common", F.col("_common")).drop("_node", "_common")
+    by_bucket = materialise(by_bucket.where(100 * F.col("common") >= percent * F.col("n")), "near-frequent")
+    left = rare.where("nodes > 1").join(about.where("asks"), "node").select("node", "shingle", "n", "component", "common")
+    right = rare.where("nodes > 1").join(about, "node").select(
+        F.col("node").alias("partner"), F.col("shingle").alias("_shingle"), *[F.col(c).alias(f"their_{c}") for c in ("n", "component", "common")]
+    )
+    meeting = left.join(right, (F.col("shingle") == F.col("_shingle")) & (F.col("component") != F.col("their_component")))
+    tallied = meeting.groupBy("node", "partner", "n", "their_n", "common", "their_common").agg(F.count("*").alias("rare"))
+    by_rare = tallied.where(_enough(percent, extra=F.col("rare"))).select(*_ordered("node", "partner"))
+    return _met(by_bucket, by_bucket, percent, halves).unionByName(by_rare).distinct()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -284,38 +399,43 @@ def near_duplicates(
     described = _described(docs, doc_id, text, shingle_words, rows, halves)
     linkable = described.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = linkable.groupBy("digest").agg(
-        F.min_by(F.struct("doc_id", "text_hash", "n", "keys"), F.struct("doc_id", "text_hash")).alias("one"),
+        F.min_by(F.struct("doc_id", "n", "keys"), "doc_id").alias("one"),
         F.count("*").alias("copies"),
     )
     classes = materialise(classes.select("digest", "copies", "one.*").withColumnRenamed("doc_id", "node"), "near-classes")
-    buckets = _buckets(classes.select("node", "n", "keys"), halves)
-
-    involved = buckets.select("node").distinct().withColumnRenamed("node", "_node")
-    wanted = materialise(
-        classes.join(involved, F.col("node") == F.col("_node"), "left_semi").select(F.col("node").alias("_doc"), F.col("text_hash").alias("_hash")),
-        "near-wanted",
-    )
-    found = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text")).join(
-        wanted, (F.col("node") == F.col("_doc")) & (F.xxhash64("text") == F.col("_hash")), "left_semi"
-    )
-    texts = materialise(found, "near-texts")
+    shared = _shared_buckets(classes.select("node", "n", "keys"), halves)
+    texts = _texts_of(docs, doc_id, text, shared)
+    buckets = _compared(shared, classes, texts, shingle_words, percent)
 
     asked = materialise(_first_pairs(buckets, percent), "near-pairs")
     labels = _merged(None, materialise(_confirmed(asked, texts, shingle_words, percent), "near-links"))
-    for after, up_to in WAVES:
-        if buckets.where(F.col("members") > after).isEmpty():
-            break
-        pairs = _pairs(_open(buckets, labels, after), after, up_to, percent)
-        fresh = materialise(pairs.join(asked, ["a", "b"], "left_anti"), "near-pairs")
-        if fresh.isEmpty():
-            continue
-        links = materialise(_confirmed(fresh, texts, shingle_words, percent), "near-links")
-        if not links.isEmpty():
-            labels = _merged(labels, links)
-        asked = asked.unionByName(fresh)
+    labels = _asked_again(_central_pairs(_open(buckets, labels, 1), percent, halves), asked, labels, texts, shingle_words, percent)
+    if not buckets.where(F.col("members") > CENTRAL).isEmpty():
+        rows = _open(buckets, labels, CENTRAL)
+        if not rows.isEmpty():
+            labels = _asked_again(_other_pairs(rows, texts, shingle_words, percent, halves), asked, labels, texts, shingle_words, percent)
     return _answer(described, classes, labels)
 
 
+def _texts_of(docs: DataFrame, doc_id: str, text: str, shared: DataFrame) -> DataFrame:
+    """The texts (node, text) of all nodes in shared buckets; only their ids go to the documents."""
+    wanted = materialise(shared.select(F.col("node").alias("_doc")).distinct(), "near-wanted")
+    found = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
+    texts = materialise(found.join(wanted, F.col("node") == F.col("_doc"), "left_semi"), "near-texts")
+    if texts.groupBy("node").count().where("count > 1").isEmpty():
+        return texts
+    return materialise(texts.dropDuplicates(["node", "text"]), "near-texts")
+
+
+def _asked_again(pairs: DataFrame, asked: DataFrame, labels: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The components after ``pairs`` not in ``asked`` are confirmed and added."""
+    fresh = materialise(pairs.join(asked, ["a", "b"], "left_anti"), "near-pairs")
+    if fresh.isEmpty():
+        return labels
+    links = materialise(_confirmed(fresh, texts, n, percent), "near-links")
+    return labels if links.isEmpty() else _merged(labels, links)
+
+
 def _answer(described: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     """Components of classes brought back to rows: a class of one row by its own id, others by their digest."""
     # written, so that Spark knows its size and can split the rows of a large class
