@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import mixed, slices, utf8, word_bounds, word_hashes
 
 BUCKETS = 1 << 14
-DIMENSIONS = 64
+DIMENSIONS = 32
 NONZERO = 4
 REACH = 2
 HIDDEN = 32
@@ -192,7 +192,8 @@ def fit(sample: DataFrame) -> QualityModel:
     the driver gets these tables and one row of features per sampled text.
     """
     places, signs = index_vectors()
-    spread = sample.repartition(FIT_TASKS, F.xxhash64("text"))
+    # by turns, not by key: as many tables as tasks, whatever the cluster's partition settings
+    spread = sample.repartition(FIT_TASKS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * BUCKETS * DIMENSIONS)
