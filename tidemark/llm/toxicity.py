@@ -33,8 +33,10 @@ from pyspark.sql import functions as F
 
 SHORTEST, LONGEST = 4, 8
 # an entry occurs in this many toxic texts and this share of them, and is that much likelier there
-LEAST_TEXTS, LEAST_SHARE = 3, 0.01
+LEAST_TEXTS, LEAST_SHARE = 3, 0.005
 LEAST_LOG_ODDS = 1.5
+# log odds times the root of the toxic texts that have it: chance alone rarely gets there
+LEAST_SIGNAL = 6.0
 SMOOTHING = 0.5
 # an exception was seen in this many clean texts and in no toxic one
 LEAST_EXCEPTION = 5
@@ -202,7 +204,7 @@ def fit(sample: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Toxicity
     for entry in sorted(in_toxic, key=len):
         toxic, clean = in_toxic[entry], in_clean.get(entry, 0)
         odds = math.log((toxic + SMOOTHING) / (n_toxic + 1)) - math.log((clean + SMOOTHING) / (n_clean + 1))
-        if odds < LEAST_LOG_ODDS:
+        if odds < LEAST_LOG_ODDS or odds * math.sqrt(toxic) < LEAST_SIGNAL:
             continue
         # a longer beginning says something new only if it is likelier than the shorter one
         shorter = max((weights.get(entry[:n], 0.0) for n in range(SHORTEST + 1, len(entry))), default=0.0)
