@@ -202,5 +202,6 @@ def redacted_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with secrets replaced; every document stays, its character count follows its text."""
     cleaned = docs.withColumn(text, redacted(F.col(text)))
     if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.length(text).cast(dict(docs.dtypes)["n_chars"]))
+        counted = F.coalesce(F.length(text).cast(dict(docs.dtypes)["n_chars"]), F.col("n_chars"))
+        cleaned = cleaned.withColumn("n_chars", counted)
     return cleaned.select(*docs.columns)
