@@ -1,10 +1,10 @@
 """Secret scans: credential patterns, and guess costs of values in credential contexts.
 
 Base patterns find assignments, access keys and long hex runs.  Beyond them, a
-value in a credential context that no base pattern covers is priced by dynamic
-programming: the cheapest segmentation of the value into words, dates, repeats,
-keyboard walks and brute-force spans.  A value that is costly to guess is a
-secret; a placeholder or a weak word is not.
+value in a credential context that base spans do not cover to its end is priced
+whole by dynamic programming: the cheapest segmentation of the value into words,
+dates, repeats, keyboard walks and brute-force spans.  A value that is costly to
+guess is a secret; a placeholder or a weak word is not.
 
 Defined results: a null or empty text has no spans; texts are scanned whole;
 repeated rows each get their spans; other columns pass through untouched.
@@ -35,6 +35,9 @@ CONTEXT = re.compile(
     r"""[\x20\t]*(?::=|=>|[:=]|\bis\b)[\x20\t]*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"'<>]+))""",
     re.I | re.A,
 )
+# the same values where only the base pattern knows the name, as in db_password
+QUOTED = {'"': re.compile(r'([^"\n]+)"'), "'": re.compile(r"([^'\n]+)'")}
+BARE = re.compile(r"""[^\s"'<>]+""", re.A)
 LEAST_LOG_GUESSES = 8.0
 PLACEHOLDER = re.compile(r"^(?:\$\{.*\}|\$\(.*\)|\{\{.*\}\}|%\w+%|<.*>|\[.*\]|\*+|x+|\.+|n/?a|null|none|true|false)[.,;)]*$", re.I)
 
@@ -142,20 +145,45 @@ def guess_cost(value: str) -> tuple[float, list[tuple[int, int, str]]]:
 _cost = lru_cache(maxsize=20_000)(lambda value: guess_cost(value)[0])
 
 
+def _bare(value: str, start: int) -> tuple[int, int]:
+    return start, start + len(value.rstrip(".,;)"))
+
+
+def context_values(text: str, assigned: list[re.Match]) -> list[tuple[int, int]]:
+    """Start and end of the values in credential contexts, those of the base pattern's names to their ends."""
+    found = set()
+    for m in CONTEXT.finditer(text):
+        group = m.lastindex
+        found.add(_bare(m[group], m.start(group)) if group == 3 else m.span(group))
+    for m in assigned:
+        start = m.start(2)
+        quoted = QUOTED[text[start - 1]].match(text, start) if text[start - 1] in QUOTED else None
+        found.add(quoted.span(1) if quoted else _bare(BARE.match(text, start)[0], start))
+    return sorted(found)
+
+
+def _covered(start: int, end: int, spans: list[tuple]) -> bool:
+    """Whether ``spans``, by start, cover everything from ``start`` to ``end``."""
+    for s, e, *_ in spans:
+        if s > start:
+            break
+        start = max(start, e)
+    return start >= end
+
+
 def find_spans(text: str) -> list[tuple[int, int, str, float | None]]:
     """Start, end, kind and log10 guesses of all secrets, by start and then kind."""
     spans: list[tuple[int, int, str, float | None]] = []
-    for m in ASSIGN.finditer(text):
+    assigned = list(ASSIGN.finditer(text))
+    for m in assigned:
         if m.end(2) - m.start(2) >= LEAST_VALUE:
             spans.append((m.start(), m.end(), "assign", _cost(m[2])))
     spans += [(m.start(), m.end(), "access", None) for m in ACCESS.finditer(text)]
     spans += [(m.start(), m.end(), "hex", None) for m in HEX.finditer(text)]
-    base = list(spans)
-    for m in CONTEXT.finditer(text):
-        group = m.lastindex
-        value = m[group].rstrip(".,;)") if group == 3 else m[group]
-        start, end = m.start(group), m.start(group) + len(value)
-        if len(value) < LEAST_VALUE or PLACEHOLDER.match(value) or any(s < end and start < e for s, e, *_ in base):
+    base = sorted(spans, key=lambda s: s[0])
+    for start, end in context_values(text, assigned):
+        value = text[start:end]
+        if len(value) < LEAST_VALUE or PLACEHOLDER.match(value) or _covered(start, end, base):
             continue
         cost = _cost(value)
         if cost >= LEAST_LOG_GUESSES:
