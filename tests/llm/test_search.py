@@ -110,6 +110,15 @@ def test_components_equal_brute_force(spark, n, percent, rows):
     assert sorted(n for n in names if n is not None) == sorted({r["doc_id"] for r in got if r["kept"] and r["doc_id"] is not None})
 
 
+def test_an_id_with_another_text_keeps_its_links(spark):
+    # the other text's class is named by id 1, which shares no bucket
+    text, other = prose(21, 60), prose(22, 300)
+    texts, ids = [text, f"{text} end", other, other], [50, 60, 50, 1]
+    got = near_dup.near_duplicates(documents(spark, texts, ids=ids)).collect()
+    found = sorted(((True, r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str)
+    assert found == _brute_components(ids, texts, near_dup.SHINGLE_WORDS, near_dup.SIMILAR_PERCENT)
+
+
 def test_near_duplicates_of_small_tables(spark):
     assert near_dup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = near_dup.near_duplicates(documents(spark, [None, "", "alone here"])).collect()

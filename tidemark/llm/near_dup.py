@@ -178,10 +178,11 @@ def _compared(shared: DataFrame, classes: DataFrame, texts: DataFrame, n: int, p
     ``common`` counts the shingles that another node of the shared buckets has
     too.  A link needs 85 of 100 shingles to be such (or what ``percent``
     says), so texts with too many shingles of their own are out, exactly.
+    Nodes of several classes or texts are kept: their shingles are not one set's.
     ``weight``, a node's neighbours in all its buckets, tells a group's centre.
     """
-    ambiguous = classes.groupBy(F.col("node").alias("_node")).agg(F.count("*").alias("texts")).where("texts > 1").select("_node")
-    ambiguous = materialise(ambiguous, "near-ambiguous")
+    several = [rows.groupBy(F.col("node").alias("_node")).count().where("count > 1").select("_node") for rows in (classes, texts)]
+    ambiguous = materialise(several[0].unionByName(several[1]).distinct(), "near-ambiguous")
     once = _shingle_rows(texts, n).groupBy("shingle").agg(F.count("*").alias("nodes"), F.min("node").alias("node")).where("nodes = 1")
     own = once.groupBy("node").agg(F.count("*").alias("own")).join(ambiguous, F.col("node") == F.col("_node"), "left_anti")
     own = materialise(own.select(F.col("node").alias("_node"), "own"), "near-own")
