@@ -71,6 +71,14 @@ def test_a_covered_value_is_found_once():
         assert "guess" not in [s[2] for s in secret_scan.find_spans(f'"password": "{value}" b')]
 
 
+def test_short_values_at_both_edges():
+    guesses = lambda text: [text[s:e] for s, e, k, _ in secret_scan.find_spans(text) if k == "guess"]
+    for text, value in [("pwd=Xk9pQ2z", "Xk9pQ2z"), ("passcode: k#9Q!z7", "k#9Q!z7"), ("password: ab!cd#9", "ab!cd#9"), ("pwd=Xk9pQ2", "Xk9pQ2")]:
+        assert guesses(text) == [value] and value not in secret_scan.redact(text)
+    for text in ("pwd=Xk9pQ", "password: ab!c9", "pwd=qwerty", "passcode: 123456", "pwd=aaaaaa", "pwd=monkey", "pwd=m0nkey"):
+        assert guesses(text) == [] and secret_scan.redact(text) == text
+
+
 def test_guess_cost_equals_exhaustive_search():
     rng = random.Random(3)
     for _ in range(150):

@@ -38,7 +38,6 @@ CONTEXT = re.compile(
 # the same values where only the base pattern knows the name, as in db_password
 QUOTED = {'"': re.compile(r'([^"\n]+)"'), "'": re.compile(r"([^'\n]+)'")}
 BARE = re.compile(r"""[^\s"'<>]+""", re.A)
-LEAST_LOG_GUESSES = 8.0
 PLACEHOLDER = re.compile(r"^(?:\$\{.*\}|\$\(.*\)|\{\{.*\}\}|%\w+%|<.*>|\[.*\]|\*+|x+|\.+|n/?a|null|none|true|false)[.,;)]*$", re.I)
 
 # words by rank: a word costs its rank in guesses
@@ -63,6 +62,8 @@ _REPEAT = re.compile(r"(.{1,8}?)\1+")
 # log10 of the guesses for one unknown character, and for trying one more segment
 PER_CHARACTER = 1.0
 PER_SEGMENT = math.log10(2)
+# what LEAST_VALUE unknown characters cost, so that no value is too short to be a secret
+LEAST_LOG_GUESSES = LEAST_VALUE * PER_CHARACTER
 
 
 def _places() -> dict[str, tuple[int, int]]:
