@@ -12,6 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import EDGE_TEXTS, SCHEMA, documents, prose
@@ -150,6 +151,33 @@ def test_packing_loses_no_token(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA), byte_bpe()).count() == 0
 
 
+@pytest.mark.parametrize("length", [0, 1, 39, 149])
+def test_a_task_holds_a_bounded_number_of_tokens(length):
+    class Docs:
+        schema = StructType().add("doc_id", LongType())
+        select = lambda self, *columns: self
+        mapInArrow = lambda self, task, schema: task
+
+    # lengths of which no pattern fills a window, in one task
+    window, chunk, read, held = 256, 16_384, 0, []
+    task = packing.pack(Docs(), lambda text: [2] * len(text), window=window, chunk_tokens=chunk)
+    rows: list[dict] = []
+    emitted = lambda: sum(r["length"] for r in rows)
+
+    def batches():
+        nonlocal read
+        for first in range(0, 6 * chunk // (length + 1), 50):
+            held.append(read - emitted())
+            read += 50 * (length + 1)
+            yield pa.RecordBatch.from_pydict({"doc_id": range(first, first + 50), "text": ["x" * length] * 50})
+
+    for out in task(batches()):
+        rows += out.to_pylist()
+    assert max(held) <= chunk + 50 * (length + 1)
+    n_docs = read // (length + 1)
+    assert _check_packing(rows, [[*[2] * length, 1]] * n_docs, window) < 0.05
+
+
 def test_fast_tokenizer_gives_the_same_ids():
     encode, exact = byte_bpe(), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rng = random.Random(5)

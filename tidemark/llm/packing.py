@@ -7,9 +7,10 @@ each so that the histogram of lengths is used up; the repeats are rounded and
 applied, and the residual pieces are packed greedily.
 
 Every task packs what it reads, in chunks of bounded size, so nothing is
-shuffled and a lost task is simply run again; pieces that a chunk's plan leaves
-over join the next chunk.  A task's last window, if not full, is split into
-sequences whose lengths are powers of two, which need no padding.
+shuffled and a lost task is simply run again; of the pieces that a chunk's plan
+leaves over, half a chunk at most joins the next one, and the rest is packed
+greedily at once.  A task's last window, if not full, is split into sequences
+whose lengths are powers of two, which need no padding.
 
 Defined results: a null or empty text is one piece with the end token only; a
 text of any length is tokenised whole; repeated rows are packed each; an empty
@@ -35,7 +36,7 @@ WINDOW = 2048
 UNIT = 16
 DEPTH = 3
 END_ID = 1
-# tokens of cut-off pieces that a task holds at once
+# tokens of cut-off pieces that a task holds at once; a piece counts as a unit at least
 CHUNK_TOKENS = 1 << 21
 
 # characters on which the two tokenizer libraries cannot disagree about classes of characters
@@ -163,7 +164,10 @@ class _Packer:
             self.sequence += 1
         if cut < total:
             self.pieces.append((doc, cut, ids[cut:].copy()))
-            self.held += total - cut
+            self.held += self._weight(ids[cut:])
+
+    def _weight(self, ids: np.ndarray) -> int:
+        return max(len(ids), self.unit)
 
     def _emit(self, doc: int, start: int, ids: np.ndarray, offset: int) -> None:
         doc_id, total = self.docs[doc]
@@ -194,26 +198,30 @@ class _Packer:
     def _keep(self, pieces: list) -> None:
         docs = [self.docs[piece[0]] for piece in pieces]
         self.pieces = [(i, start, ids) for i, (_, start, ids) in enumerate(pieces)]
-        self.docs, self.held = docs, sum(len(piece[2]) for piece in pieces)
+        self.docs, self.held = docs, sum(self._weight(piece[2]) for piece in pieces)
+
+    def fill(self, most: int) -> None:
+        """Pack pieces, longest first, cut where a sequence is full, until ``most`` tokens at most are held.
 
-    def finish(self) -> None:
-        """Residual pieces, longest first, cut where a sequence is full; the last window splits at powers of two."""
-        rest = sorted(self.pieces, key=lambda piece: -len(piece[2]))
+        Sequences are whole windows; only the last of all splits at powers of two.
+        """
+        rest = sorted(self.pieces, key=lambda piece: -len(piece[2]))[::-1]
         left = sum(len(piece[2]) for piece in rest)
-        room = size = self._room(left)
-        taken: list = []
-        for doc, start, ids in rest:
-            while len(ids):
-                part, ids = ids[:room], ids[room:]
+        while rest and self.held > most:
+            room = self._room(left)
+            left -= room
+            taken: list = []
+            while room:
+                doc, start, ids = rest.pop()
+                part, after = ids[:room], ids[room:]
                 taken.append((doc, start, part))
-                start += len(part)
                 room -= len(part)
-                if room == 0:
-                    self._sequence_of(taken)
-                    left -= size
-                    taken = []
-                    room = size = self._room(left)
-        self._keep([])
+                self.held -= self._weight(ids)
+                if len(after):
+                    rest.append((doc, start + len(part), after))
+                    self.held += self._weight(after)
+            self._sequence_of(taken)
+        self._keep(rest[::-1])
 
     def _room(self, left: int) -> int:
         return self.window if left >= self.window else 1 << max(0, left.bit_length() - 1)
@@ -259,13 +267,15 @@ def pack(
                 packer.add(one_id.as_py(), np.array([*encode(one_text.as_py() or ""), end_id], np.uint32))
                 if packer.held >= chunk_tokens:
                     packer.plan()
+                    # with less than a window left, the last one would be split before the task's end
+                    packer.fill(max(chunk_tokens // 2, window * unit))
                     yield rows()
                 elif len(packer.rows) >= 50_000:
                     yield rows()
         if kind is not None:
             if packer.pieces:
                 packer.plan()
-            packer.finish()
+            packer.fill(0)
             yield rows()
 
     return docs.select(doc_id, text).mapInArrow(task, schema)
