@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import conversation_repair
+from tidemark.llm import conversation_repair, lexical_search
 from tidemark.llm.catalog import query, table
 
 OP12_SQL = r"""
@@ -83,3 +83,40 @@ LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, lost = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
     return conversation_repair.accounts(conversation_repair.edits(rows, lost=lost))
+
+
+OP13_SQL = r"""
+WITH worded AS (
+  SELECT doc_id, row_number() OVER () AS row_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: t <> '') AS terms
+  FROM documents
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS words FROM worded WHERE len(terms) > 0
+), counted AS (
+  SELECT row_id, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row_id, doc_id, len(terms) AS n, unnest(terms) AS term FROM worded) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, totals GROUP BY term, docs
+), items AS (
+  SELECT item_id, row_number() OVER () AS item_no, text FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), asked AS (
+  SELECT item_no, item_id, term, count(*) AS times FROM (
+    SELECT item_no, item_id, unnest(list_filter(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: t <> '')) AS term FROM items) GROUP BY ALL
+), scored AS (
+  SELECT item_no, item_id, row_id, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words)))) AS BIGINT) AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term), totals GROUP BY ALL
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op13_lexical_search", OP13_SQL)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
