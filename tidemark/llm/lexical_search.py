@@ -328,7 +328,7 @@ def _of_block(docs: DataFrame, items: pa.Table, k: int, doc_id: str, text: str,
     if totals[0] > SEED_ROWS:
         # by the row's place in the written table: no row is favoured, and copies are spread
         share = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)) < int((1 << 30) * SEED_ROWS / totals[0])
-        reached = search(vectors.where(share).coalesce(1), floors).where(F.col("rank") == k).select("item", "score").toArrow()
+        reached = search(vectors.where(share).repartition(1), floors).where(F.col("rank") == k).select("item", "score").toArrow()
         floors[reached["item"].to_numpy()] = reached["score"].to_numpy()
     best = search(vectors, floors)
     names = spark.createDataFrame(pa.table({"_item": pa.array(range(len(block.ids)), pa.int32()), "item_id": pa.array(block.ids, pa.int64())}))
