@@ -1,4 +1,11 @@
-"""Boosted-tree training with patience-based early stopping, on MLlib."""
+"""Boosted-tree training with patience-based early stopping, on MLlib.
+
+MLlib grows the trees; what is kept of them is a plain table of nodes.  Rows are
+scored from that table in Arrow batches, after any number of rounds, so all
+classes can be cut at the round of their least joint loss without fitting again.
+A feature with missing values is given to the trees twice, missing at either end,
+so each split learns to which side missing values go.
+"""
 
 from __future__ import annotations
 
@@ -6,27 +13,35 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import column
 from tidemark.functions.decisions import argmax
+from tidemark.operators.evaluation import staged_log_loss
+from tidemark.session import scratch_path
 
 # fixed values of the training jobs
 MULTICLASS = {"max_depth": 4, "step_size": 0.1, "max_rounds": 100, "patience": 10, "max_bins": 64}
 BINARY = {"max_depth": 6, "step_size": 0.3, "max_rounds": 100, "patience": 10, "max_bins": 64}
 
-# the first training run of an early-stopped fit lasts this many times the patience
+# the first run of an early-stopped fit lasts this many times the patience
 _FIRST_TRY = 3
 # concurrent fits of one model; more classes wait
 _MOST_FITS = 8
+# rows that a task of a training job takes at least
+_TASK_ROWS = 20_000
+# stands for a missing value below or above all others; halves of it can be added
+_END = 1e300
 _FEATURES = "_features"
 _LABEL = "_label"
+# entries of a batch's walk through all trees
+_WALK = 1 << 17
 
 
 def best_and_stop(losses: Sequence[float], patience: int) -> tuple[int, int]:
@@ -40,97 +55,176 @@ def best_and_stop(losses: Sequence[float], patience: int) -> tuple[int, int]:
     return best, len(losses) - 1
 
 
-@dataclass(frozen=True)
+NODE_SCHEMA = (
+    "ensemble int, tree int, node int, feature int, threshold double, missing_left boolean, left int, right int, value double"
+)
+_NODE_TYPES = [pa.int32()] * 4 + [pa.float64(), pa.bool_(), pa.int32(), pa.int32(), pa.float64()]
+_NODE_NAMES = [part.split()[0] for part in NODE_SCHEMA.split(", ")]
+
+
+class Trees:
+    """Ensembles of equally many trees as arrays over (ensemble, tree, node); leaves have feature -1."""
+
+    def __init__(self, nodes: pa.Table):
+        at = tuple(nodes[c].to_numpy() for c in ("ensemble", "tree", "node"))
+        shape = tuple(int(i.max()) + 1 if len(i) else 0 for i in at)
+        self.nodes, self.arrays = nodes, {}
+        for name, missing in (("feature", -1), ("threshold", 0.0), ("missing_left", False), ("left", 0), ("right", 0), ("value", 0.0)):
+            values = nodes[name].to_numpy(zero_copy_only=False) if isinstance(nodes[name], pa.Array) else nodes[name].to_numpy()
+            table = np.full(shape, missing, values.dtype)
+            table[at] = values
+            self.arrays[name] = table
+
+    def cut(self, rounds: int) -> Trees:
+        return Trees(self.nodes.filter(pa.array(self.nodes["tree"].to_numpy() < rounds)))
+
+    @property
+    def rounds(self) -> int:
+        return self.arrays["value"].shape[1]
+
+    def contributions(self, rows: np.ndarray) -> np.ndarray:
+        """What each tree adds to each row's margin: (row, ensemble, tree); rows hold NaN for missing."""
+        ensembles, trees, nodes = self.arrays["value"].shape
+        n_trees = ensembles * trees
+        if not n_trees:
+            return np.zeros((len(rows), ensembles, trees))
+        # nodes of all trees in a row; a leaf leads to itself, so all walks have the same number of steps
+        base = np.repeat(np.arange(n_trees) * nodes, nodes)
+        inner = self.arrays["feature"].ravel() >= 0
+        here = np.arange(n_trees * nodes)
+        onward = np.stack([np.where(inner, base + self.arrays[side].ravel(), here) for side in ("right", "left")], axis=1).ravel()
+        feature = np.maximum(self.arrays["feature"].ravel(), 0).astype(np.int64)
+        threshold, missing_left = self.arrays["threshold"].ravel(), self.arrays["missing_left"].ravel()
+        steps = self._depth(onward.reshape(-1, 2), np.arange(n_trees) * nodes)
+        out = np.empty((len(rows), n_trees))
+        size = max(1, _WALK // n_trees)
+        for begin in range(0, len(rows), size):
+            part = np.ascontiguousarray(rows[begin : begin + size])
+            flat, gaps = part.ravel(), bool(np.isnan(part).any())
+            first = (np.arange(len(part)) * part.shape[1])[:, None]
+            at = np.broadcast_to(np.arange(n_trees) * nodes, (len(part), n_trees))
+            for _ in range(steps):
+                value = flat.take(first + feature.take(at))
+                left = value <= threshold.take(at)
+                if gaps:
+                    left |= np.isnan(value) & missing_left.take(at)
+                at = onward.take(2 * at + left)
+            out[begin : begin + size] = self.arrays["value"].ravel().take(at)
+        return out.reshape(-1, ensembles, trees)
+
+    @staticmethod
+    def _depth(onward: np.ndarray, roots: np.ndarray) -> int:
+        """Steps after which every walk from a root stands in a leaf."""
+        depth, level = 0, roots
+        while True:
+            # only leaves lead to themselves
+            level = level[(onward[level] != level[:, None]).any(1)]
+            if not len(level):
+                return depth
+            depth, level = depth + 1, np.unique(onward[level])
+
+
+def _rows_of(batch: pa.Array, width: int) -> np.ndarray:
+    """A list column of ``width`` numbers each as a matrix; nulls are NaN."""
+    return batch.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+
+
+def _sigmoid(margins: np.ndarray) -> np.ndarray:
+    """The class probability that MLlib's logistic loss gives a margin."""
+    return 1 / (1 + np.exp(-2 * np.clip(margins, -350, 350)))
+
+
+@dataclass(frozen=True, eq=False)
 class BoostedModel:
-    """One boosted ensemble per class (a single one for two classes), as a plain pipeline."""
+    """One boosted ensemble per class (a single one for two classes), all cut at one round."""
 
-    pipeline: PipelineModel
+    trees: Trees
     features: tuple[str, ...]
     classes: int
-    rounds: tuple[int, ...]
-    losses: tuple[tuple[float, ...], ...] = ()
+    losses: tuple[float, ...] = ()
+
+    @property
+    def rounds(self) -> int:
+        return self.trees.rounds
+
+    def _features(self) -> Column:
+        return F.array(*[column(f).cast("double") for f in self.features])
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add ``probability`` (array over classes, summing to 1) and ``prediction`` (its argmax)."""
-        raw = self.pipeline.transform(_named(df, self.features))
-        positive = [vector_to_array(F.col(f"_p_{c}"))[1] for c in range(len(self.rounds))]
-        if self.classes == 2:
-            probability = F.array(1 - positive[0], positive[0])
-        else:
-            total = sum(positive[1:], positive[0])
-            # the class scores are logistic outputs, so their sum is above zero
-            probability = F.array(*[p / total for p in positive])
-        scored = raw.select(*[column(c) for c in df.columns], probability.alias("probability"))
+        shared, width, classes = df.sparkSession.sparkContext.broadcast(self.trees), len(self.features), self.classes
+
+        @F.arrow_udf("array<double>")
+        def probability(batch: pa.Array) -> pa.Array:
+            positive = _sigmoid(shared.value.contributions(_rows_of(batch, width)).sum(2))
+            if classes == 2:
+                positive = np.concatenate([1 - positive, positive], axis=1)
+            # logistic outputs: their sum is above zero
+            shares = positive / positive.sum(1, keepdims=True)
+            ends = pa.array(np.arange(0, shares.size + 1, classes), pa.int32())
+            return pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(shares).ravel()))
+
+        scored = df.withColumn("probability", probability(self._features()))
         return scored.withColumn("prediction", argmax(F.col("probability")))
 
+    def staged(self, df: DataFrame) -> DataFrame:
+        """Add ``margins``: per ensemble the row's margin after each round."""
+        shared, width = df.sparkSession.sparkContext.broadcast(self.trees), len(self.features)
 
-def _names(features: Sequence[str]) -> list[str]:
-    """Names that the assembler takes whatever the features are called."""
-    return [f"_feature_{i}" for i in range(len(features))]
+        @F.arrow_udf("array<array<double>>")
+        def margins(batch: pa.Array) -> pa.Array:
+            added = shared.value.contributions(_rows_of(batch, width)).cumsum(2)
+            rows, ensembles, rounds = added.shape
+            inner = pa.array(np.arange(0, added.size + 1, max(rounds, 1)), pa.int32())
+            lists = pa.ListArray.from_arrays(inner, pa.array(added.ravel()))
+            return pa.ListArray.from_arrays(pa.array(np.arange(0, rows * ensembles + 1, ensembles), pa.int32()), lists)
 
+        return df.withColumn("margins", margins(self._features()))
 
-def _named(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return df.withColumns({n: column(f).cast("double") for n, f in zip(_names(features), features)})
 
+def _missing(feature: str) -> Column:
+    value = column(feature).cast("double")
+    return value.isNull() | F.isnan(value)
 
-def _assembled(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    assembler = VectorAssembler(inputCols=_names(features), outputCol=_FEATURES, handleInvalid="error")
-    return assembler.transform(_named(df, features)).select(_FEATURES, column(label).cast("double").alias(_LABEL))
 
+def _sources(train: DataFrame, features: Sequence[str]) -> tuple[list[tuple[str, float | None]], int]:
+    """The trees' inputs: a feature, or one with missing values at the lower and one at the upper end; and the rows."""
+    *missing, n_rows = train.agg(*[F.max(_missing(f)).alias(f"_{i}") for i, f in enumerate(features)], F.count("*").alias("_n")).first()
+    out: list[tuple[str, float | None]] = []
+    for feature, gaps in zip(features, missing, strict=True):
+        out += [(feature, -_END), (feature, _END)] if gaps else [(feature, None)]
+    return out, n_rows
 
-def _fit_one(
-    train: DataFrame, validation: DataFrame | None, index: int, settings: dict, seed: int
-) -> tuple[GBTClassificationModel, list[float]]:
-    """Fit one binary ensemble; with a validation frame it is cut at the best round."""
 
-    def fit(rounds: int) -> GBTClassificationModel:
-        booster = GBTClassifier(
-            featuresCol=_FEATURES,
-            labelCol=_LABEL,
-            predictionCol=f"_c_{index}",
-            maxDepth=settings["max_depth"],
-            stepSize=settings["step_size"],
-            maxIter=rounds,
-            maxBins=settings["max_bins"],
-            checkpointInterval=10,
-            seed=seed,
-        )
-        return booster.setRawPredictionCol(f"_r_{index}").setProbabilityCol(f"_p_{index}").fit(train)
+def _assembled(df: DataFrame, sources: Sequence[tuple[str, float | None]], label: str) -> DataFrame:
+    def given(feature: str, end: float | None) -> Column:
+        value = column(feature).cast("double")
+        return value if end is None else F.when(_missing(feature), end).otherwise(value)
 
-    most, patience = settings["max_rounds"], settings["patience"]
-    if validation is None:
-        return fit(most), []
-    # a short run that already stalls spares the full one
-    for rounds in sorted({min(_FIRST_TRY * patience, most), most}):
-        model = fit(rounds)
-        losses = list(model.evaluateEachIteration(validation))
-        best, stop = best_and_stop(losses, patience)
-        if stop - best >= patience:
-            break
-    return _cut(model, best + 1), losses[: stop + 1]
-
-
-def _cut(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
-    """The ensemble of the first ``rounds`` trees, without fitting again."""
-    if rounds == model.getNumTrees:
-        return model
-    context = SparkSession.active().sparkContext
-    gateway, java = context._gateway, model._java_obj
-    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
-    weights = gateway.new_array(gateway.jvm.double, rounds)
-    fitted, weighted = java.trees(), java.treeWeights()
-    for i in range(rounds):
-        trees[i], weights[i] = fitted[i], weighted[i]
-    shorter = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        java.uid(), trees, weights, java.numFeatures(), java.numClasses()
-    )
-    return (
-        GBTClassificationModel(shorter)
-        .setFeaturesCol(model.getFeaturesCol())
-        .setPredictionCol(model.getPredictionCol())
-        .setRawPredictionCol(model.getRawPredictionCol())
-        .setProbabilityCol(model.getProbabilityCol())
+    inputs = [given(*s).alias(f"_input_{i}") for i, s in enumerate(sources)]
+    assembler = VectorAssembler(inputCols=[f"_input_{i}" for i in range(len(sources))], outputCol=_FEATURES, handleInvalid="error")
+    named = df.select(*inputs, column(label).cast("double").alias(_LABEL))
+    return assembler.transform(named).select(_FEATURES, _LABEL)
+
+
+def _nodes(model: GBTClassificationModel, index: int, sources: Sequence[tuple[str, float | None]], features: Sequence[str], spark) -> pa.Table:
+    """A fitted ensemble's nodes, from the table that MLlib saves; leaf values carry their tree's weight."""
+    path = scratch_path(spark, "trees")
+    model.write().save(path)
+    split = F.col("nodeData.split")
+    saved = spark.read.parquet(f"{path}/data").select(
+        "treeID", "nodeData.id", split["featureIndex"], F.get(split["leftCategoriesOrThreshold"], F.lit(0)), "nodeData.leftChild", "nodeData.rightChild", "nodeData.prediction"
     )
+    places, weights, rows = {f: i for i, f in enumerate(features)}, model.treeWeights, []
+    for tree, node, source, threshold, left, right, prediction in saved.collect():
+        leaf = left < 0
+        feature, end = (None, None) if leaf else sources[source]
+        # a missing value stands where its input puts it; without one in training it goes right
+        to_left = not leaf and end is not None and end <= threshold
+        place = -1 if leaf else places[feature]
+        rows.append((index, tree, node, place, threshold or 0.0, to_left, max(left, 0), max(right, 0), prediction * weights[tree] if leaf else 0.0))
+    columns = zip(*rows, strict=True)
+    return pa.table({n: pa.array(c, t) for n, c, t in zip(_NODE_NAMES, columns, _NODE_TYPES, strict=True)})
 
 
 def _train(
@@ -142,40 +236,52 @@ def _train(
     settings: dict,
     seed: int,
 ) -> BoostedModel:
-    rows = _assembled(train, features, label).persist(StorageLevel.MEMORY_AND_DISK)
-    held = None
-    if validation is not None:
-        held = _assembled(validation, features, label).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = train.sparkSession
+    sources, n_rows = _sources(train, features)
+    # every level of every tree is a job over these rows: few rows are few tasks
+    rows = _assembled(train, sources, label).coalesce(1 + n_rows // _TASK_ROWS).persist(StorageLevel.MEMORY_AND_DISK)
     targets = [1] if classes == 2 else list(range(classes))
 
-    @inheritable_thread_target(train.sparkSession)
-    def fit_target(numbered: tuple[int, int]):
-        index, target = numbered
-        one = (F.col(_LABEL) == float(target)).cast("double")
-        return _fit_one(
-            rows.withColumn(_LABEL, one),
-            held.withColumn(_LABEL, one) if held is not None else None,
-            index,
-            settings,
-            seed,
-        )
+    def fitted(rounds: int) -> BoostedModel:
+        @inheritable_thread_target(spark)
+        def fit_target(numbered: tuple[int, int]) -> pa.Table:
+            index, target = numbered
+            booster = GBTClassifier(
+                featuresCol=_FEATURES,
+                labelCol=_LABEL,
+                maxDepth=settings["max_depth"],
+                stepSize=settings["step_size"],
+                maxIter=rounds,
+                maxBins=settings["max_bins"],
+                checkpointInterval=10,
+                seed=seed,
+            )
+            model = booster.fit(rows.withColumn(_LABEL, (F.col(_LABEL) == float(target)).cast("double")))
+            return _nodes(model, index, sources, features, spark)
 
-    try:
         # the ensembles are independent; their jobs share the cluster
         with ThreadPool(min(len(targets), _MOST_FITS)) as pool:
-            fitted = pool.map(fit_target, list(enumerate(targets)))
+            return BoostedModel(Trees(pa.concat_tables(pool.map(fit_target, list(enumerate(targets))))), tuple(features), classes)
+
+    most, patience = settings["max_rounds"], settings["patience"]
+    try:
+        if validation is None:
+            return fitted(most)
+        # a short run that already stalls spares the full one
+        for rounds in sorted({min(_FIRST_TRY * patience, most), most}):
+            full = fitted(rounds)
+            logged = staged_log_loss(full.staged(validation), label).orderBy("step").collect()
+            losses = tuple(r["log_loss"] for r in logged)
+            if not losses or losses[0] is None:
+                continue
+            best, stop = best_and_stop(losses, patience)
+            if stop - best >= patience:
+                break
     finally:
         rows.unpersist()
-        if held is not None:
-            held.unpersist()
-    assembler = VectorAssembler(inputCols=_names(features), outputCol=_FEATURES, handleInvalid="keep")
-    return BoostedModel(
-        PipelineModel([assembler, *[m for m, _ in fitted]]),
-        tuple(features),
-        classes,
-        tuple(m.getNumTrees for m, _ in fitted),
-        tuple(tuple(losses) for _, losses in fitted),
-    )
+    if not losses or losses[0] is None:
+        return full
+    return BoostedModel(full.trees.cut(best + 1), tuple(features), classes, losses[: stop + 1])
 
 
 def train_multiclass(
@@ -189,10 +295,11 @@ def train_multiclass(
 ) -> BoostedModel:
     """One-vs-rest boosted trees over labels 0..k-1 with normalised class scores.
 
-    Pass the test frame as ``validation`` to stop on the test set.
+    All classes are cut at the round of the least joint log loss of
+    ``validation``.  Pass the test frame to stop on the test set.
     """
     if classes is None:
-        classes = int(train.agg(F.max(label)).first()[0]) + 1
+        classes = int(train.agg(F.max(column(label))).first()[0]) + 1
     return _train(train, features, label, validation, max(classes, 2), {**MULTICLASS, **overrides}, seed)
 
 

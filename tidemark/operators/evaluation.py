@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import column
 from tidemark.functions.decisions import MINIMUM_ACCURACY, registration_gate
 from tidemark.operators.ordering import Running, lay_out
 
@@ -45,6 +46,33 @@ def binary_log_loss(df: DataFrame, label: str = "target", probability: str = "pr
     return df.agg((-F.avg(loss)).alias("log_loss"))
 
 
+def staged_log_loss(staged: DataFrame, label: str = "target", margins: str = "margins", by: Sequence[str] = ()) -> DataFrame:
+    """Joint log loss after each round: ``step`` from 0 and ``log_loss``, in one aggregation.
+
+    ``margins`` holds per class (one entry for two classes) the margin after each
+    round; class scores are logistic and normalised to sum to 1.  Rows without a
+    label among the classes are left out.
+    """
+    ensembles, answer = F.size(margins), column(label).cast("int")
+
+    def chance(of: Column, step: Column) -> Column:
+        return 1 / (1 + F.exp(-2 * F.get(of, step)))
+
+    def loss(step: Column) -> Column:
+        one = chance(F.get(F.col(margins), F.lit(0)), step)
+        binary = F.when(answer == 1, one).when(answer == 0, 1 - one)
+        total = F.aggregate(margins, F.lit(0.0), lambda sum_, of: sum_ + chance(of, step))
+        share = chance(F.get(F.col(margins), answer), step) / total
+        return -F.log(_clipped(F.when(ensembles == 1, binary).otherwise(share)))
+
+    steps = F.sequence(F.lit(0), F.size(F.get(F.col(margins), F.lit(0))) - 1)
+    return (
+        staged.select(*by, F.posexplode(F.transform(steps, loss)).alias("step", "_loss"))
+        .groupBy(*by, "step")
+        .agg(F.avg("_loss").alias("log_loss"))
+    )
+
+
 def early_stop_round(
     rounds: DataFrame,
     by: Sequence[str] = ("run_id",),

@@ -87,7 +87,7 @@ def train_labelled(
     version = register_model(model, spark, root, name)
     run = _log_run(
         spark, root, {"data_path": path, "model_type": "one_vs_rest_boosted_trees", "num_class": model.classes, **settings},
-        {("accuracy", None): reached},
+        {("accuracy", None): reached, **{("mlogloss", step): loss for step, loss in enumerate(model.losses)}},
     )
     return {"run_id": run, "accuracy": reached, "version": version}
 
@@ -111,7 +111,7 @@ def train_direction(
     run = _log_run(
         spark, root,
         {"model_type": "boosted_trees", "data_split": "70-15-15", "min_accuracy_for_registration": minimum},
-        {("test_accuracy", None): reached, ("best_iteration", None): model.rounds[0] - 1},
+        {("test_accuracy", None): reached, ("best_iteration", None): model.rounds - 1},
     )
     return {"run_id": run, "accuracy": reached, "version": version}
 

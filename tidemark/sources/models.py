@@ -2,7 +2,7 @@
 
 ``<root>/events`` is the registry's event table (one row per registration or
 stage change); ``<root>/files/<name>/v=<n>`` holds a small description
-and, for models that have one, the saved pipeline.  One writer per model is assumed.
+and the saved pipeline, or the trees' nodes, of models that have them.  One writer per model is assumed.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.boosting import BoostedModel
+from tidemark.operators.boosting import NODE_SCHEMA, BoostedModel, Trees
 from tidemark.operators.qlearning import LinearQ
 from tidemark.operators.registry import INITIAL_STAGE, latest_in_stage
 from tidemark.operators.scoring import ForeignModel
@@ -48,8 +48,8 @@ def save_artifact(model: Model, spark: SparkSession, uri: str) -> None:
     """Save a model without registering it: its description, and its pipeline if it has one."""
     pipeline = None
     if isinstance(model, BoostedModel):
-        pipeline, kind = model.pipeline, "boosted"
-        about = {"features": model.features, "classes": model.classes, "rounds": model.rounds}
+        kind, about = "boosted", {"features": model.features, "classes": model.classes, "losses": model.losses}
+        spark.createDataFrame(model.trees.nodes, NODE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{uri}/trees")
     elif isinstance(model, PipelineModel):
         pipeline, kind, about = model, "pipeline", {}
     elif isinstance(model, LinearQ):
@@ -71,10 +71,10 @@ def load_artifact(spark: SparkSession, uri: str) -> Model:
         return LinearQ(tuple(map(tuple, about["weights"])), tuple(about["intercepts"]))
     if row["kind"] == "foreign":
         return ForeignModel(tuple(about["features"]), about["loader"], about["settings"])
-    pipeline = PipelineModel.load(f"{uri}/pipeline")
     if row["kind"] == "pipeline":
-        return pipeline
-    return BoostedModel(pipeline, tuple(about["features"]), about["classes"], tuple(about["rounds"]))
+        return PipelineModel.load(f"{uri}/pipeline")
+    nodes = spark.read.schema(NODE_SCHEMA).parquet(f"{uri}/trees").toArrow()
+    return BoostedModel(Trees(nodes), tuple(about["features"]), about["classes"], tuple(about["losses"]))
 
 
 def register_model(model: Model, spark: SparkSession, root: str, name: str) -> int:
