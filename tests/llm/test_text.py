@@ -93,7 +93,7 @@ def test_guess_cost_equals_exhaustive_search():
         for cuts in itertools.product([0, 1], repeat=n - 1):
             edges = [0, *(i + 1 for i, c in enumerate(cuts) if c), n]
             parts = list(zip(edges, edges[1:], strict=False))
-            cost = sum(min(cheap[p], (p[1] - p[0]) * secret_scan.PER_CHARACTER) for p in parts)
+            cost = sum(min(cheap[p], (p[1] - p[0]) * secret_scan.per_character(value)) for p in parts)
             best = min(best, cost + secret_scan.PER_SEGMENT * (len(parts) - 1))
         cost, path = secret_scan.guess_cost(value)
         assert abs(cost - best) < 1e-9
