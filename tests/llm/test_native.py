@@ -55,6 +55,30 @@ def test_prior_pulls_small_hosts_more(spark):
     assert abs(rates["a"]["rate"] - 0.8) < abs(rates["c"]["rate"] - 1)
 
 
+def test_each_rule_has_its_own_rate_and_rejects(spark):
+    """A host of symbol-ridden, one of line-repeating and one of short documents; bystanders stay."""
+    clean = [prose(s, 40) for s in range(60)]
+    symbols = [prose(s, 30) + " #" * 9 for s in range(40)]
+    lines = ["\n".join([prose(s, 30)] + [f"{prose(900 + s, 3)}"] * 4) for s in range(40)]
+    short = ["too short"] * 50 + [prose(s, 25) for s in range(5)]
+    texts = [*clean, *symbols, *lines, *short]
+    sources = ["clean"] * 60 + ["symbols"] * 40 + ["lines"] * 40 + ["short"] * 55
+    rows = {r["doc_id"]: r for r in quality_rules.judged(documents(spark, texts, sources)).collect()}
+    by_source = {s: {rows[i]["host_rules"] for i, x in enumerate(sources) if x == s} for s in set(sources)}
+    assert by_source == {"clean": {""}, "symbols": {"symbols"}, "lines": {"dup_lines"}, "short": {"short"}}
+    assert {i for i, r in rows.items() if r["kept"]} == set(range(60))
+    assert sum(r["base_failed"] for r in rows.values()) == 50
+
+
+def test_clashing_names_pass_through(spark):
+    docs = documents(spark, [prose(1, 40), "short", prose(2, 9000)]).selectExpr(
+        "doc_id", "text", "source", "'q' AS quality", "1 AS _words", "2 AS _quality", "3 AS _n_words", "4 AS _Rejected_Host", "5 AS n_docs"
+    )
+    kept = quality_rules.kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(tuple(r) for r in docs.where("doc_id != 1").collect())
+
+
 def test_quality_of_an_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert quality_rules.judged(empty).count() == 0

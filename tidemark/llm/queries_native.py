@@ -106,28 +106,32 @@ WITH worded AS (
   SELECT row_id, count(DISTINCT i + k) AS n_repeat_words FROM repeated, range(0, 8) AS steps(k) GROUP BY row_id
 ), measured AS (
   SELECT doc_id, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
-         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
          len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
   FROM worded LEFT JOIN covered USING (row_id)
 ), failing AS (
-  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured
+  SELECT *, n_words < 20 AS short, 100 * n_repeat_words > 30 * n_words AS repeated,
+         100 * n_symbols > 10 * n_words AS symbols, 100 * n_dup_lines > 30 * n_lines AS dup_lines FROM measured
 ), hosts AS (
-  SELECT source, count(*)::DOUBLE AS n, sum(base_failed::INT)::DOUBLE AS k FROM failing GROUP BY source
+  SELECT source, place, rule, count(*)::DOUBLE AS n, sum(failed::INT)::DOUBLE AS k
+  FROM (SELECT source, unnest([1, 2, 3, 4]) AS place, unnest(['short', 'repeated', 'symbols', 'dup_lines']) AS rule,
+               unnest([short, repeated, symbols, dup_lines]) AS failed FROM failing) GROUP BY ALL
 ), totals AS (
-  SELECT count(*) AS h, sum(n) AS docs, sum(k) / sum(n) AS p, sum(n * n) AS squares, sum(k * k / n) AS spread FROM hosts
+  SELECT rule, count(*) AS h, sum(n) AS docs, sum(k) / sum(n) AS p, sum(n * n) AS squares, sum(k * k / n) AS spread FROM hosts GROUP BY rule
 ), prior AS (
-  SELECT p, CASE WHEN share IS NULL OR share <= 0 THEN 1e6 ELSE least(1e6, greatest(0, 1 / share - 1)) END AS strength
-  FROM (SELECT p, (CASE WHEN p * (1 - p) > 0 THEN (spread - docs * p * p) / (p * (1 - p)) - (h - 1) END)
-                  / nullif(docs - squares / docs - (h - 1), 0) AS share FROM totals)
+  SELECT rule, p, CASE WHEN share IS NULL OR share <= 0 THEN 1e6 ELSE least(1e6, greatest(0, 1 / share - 1)) END AS strength
+  FROM (SELECT rule, p, (CASE WHEN p * (1 - p) > 0 THEN (spread - docs * p * p) / (p * (1 - p)) - (h - 1) END)
+                        / nullif(docs - squares / docs - (h - 1), 0) AS share FROM totals)
 ), verdicts AS (
-  SELECT source, (k + p * strength) / (n + strength) > 0.75 AS host_rejected FROM hosts, prior
+  SELECT source, coalesce(string_agg(rule, ',' ORDER BY place) FILTER ((k + p * strength) / (n + strength) > 0.75), '') AS host_rules
+  FROM hosts JOIN prior USING (rule) GROUP BY source
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT host_rejected AS kept, host_rejected
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeated AS base_failed,
+       NOT (short OR repeated) AND host_rules = '' AS kept, host_rules <> '' AS host_rejected, host_rules
 FROM failing JOIN verdicts ON failing.source IS NOT DISTINCT FROM verdicts.source
 """
 
 
 @query("op9_quality_rules", OP9_SQL)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judged(table(spark, sf_dir, "documents")).drop("host")
+    return quality_rules.judged(table(spark, sf_dir, "documents")).drop("host", "n_lines")
