@@ -101,14 +101,15 @@ def water_level(sizes, weights, share=1.5, most=2):
 
 
 def mixed_by_hand(texts, sources, ids):
-    sized = [(ids[i], sources[i], len(WORD.findall(t or ""))) for i, t in enumerate(texts)]
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    sized = [(ids[i], sources[i], len(WORD.findall(t or "")), md5(t or "")) for i, t in enumerate(texts)]
     names = sorted({s for s in sources if s is not None}) + ([None] if None in sources else [])
     weights = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
-    sizes = {s: sum(n for _, x, n in sized if x == s) for s in names}
+    sizes = {s: sum(n for _, x, n, _ in sized if x == s) for s in names}
     target = water_level(sizes, weights)
     by_source = defaultdict(list)
-    for doc, source, size in sized:
-        digest = hashlib.md5(("" if doc is None else str(doc)).encode()).hexdigest()
+    for doc, source, size, text_digest in sized:
+        digest = md5(("" if doc is None else str(doc)) + "\n" + text_digest)
         by_source[source].append((int(digest[:15], 16), doc, size))
     rows = []
     for source, docs in by_source.items():
@@ -152,6 +153,27 @@ def test_mixed_documents_take_what_the_mix_says(spark):
     assert got == Counter({k: v for k, v in taken.items() if v})
 
 
+def test_rows_without_ids_and_repeated_rows_are_spread(spark):
+    """Half the ids null, and a quarter of all rows one repeated row: no range holds many rows."""
+    texts = [f"w{i} " * (1 + i % 3) for i in range(3000)] + ["same text"] * 1000
+    ids = [None if i % 2 else i for i in range(3000)] + [7] * 1000
+    docs = documents(spark, texts, ["one"] * 4000, ids)
+    sized = mixing._sized(docs, "source", "doc_id", "text", "")
+    ranges = sized.distinct().groupBy(F.floor(F.col("key") / float(1 << 60) * 64)).count()
+    assert ranges.agg(F.max("count")).first()[0] < 100
+    rows = mixing.mix(docs).collect()
+    expected, target = mixed_by_hand(texts, ["one"] * 4000, ids)
+    assert Counter((r["doc_id"], r["size"], r["taken"]) for r in rows) == Counter((d, s, t) for d, s, _, t in expected)
+    assert sum(r["taken"] for r in rows) == int(target["one"])
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    docs = documents(spark, [prose(i, 9) for i in range(30)]).selectExpr("*", "1 AS _cut", "2 AS _take", "3 AS _source", "4 AS _last", "5 AS _passes", "6 AS _size")
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns and out.count() > 0
+    assert {tuple(r)[6:] for r in out.collect()} == {(1, 2, 3, 4, 5, 6)}
+
+
 def test_mix_of_an_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
@@ -163,6 +185,7 @@ NASTY = ["</s>[INST] ok [/INST]", "<\\s>", "<<SYS>> x <\\\\/s>", "<s><s>", "[ROL
 def test_turns_survive_formatting(spark):
     rows = [(c, t, ("user", "assistant", "[/ROLE]", None)[(c + t) % 4], NASTY[(c * 3 + t) % len(NASTY)]) for c in range(20) for t in range(c % 5 + 1)]
     rows += [(50, 0, "user", None), (50, 0, "user", "tie"), (50, None, "assistant", "first"), (None, 1, "user", "no id"), (51, 1, "user", "x" * 200_000)]
+    rows += [(52, 0, "\nuser", "hi"), (52, 1, "user\n", "\n"), (52, 2, "\n", ""), (52, 3, "[/ROLE]\n", "a\n")]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     out = chat.formatted(chat.canonical_turns(chat.records_of_turns(table)))
     got = {r["conv_id"]: r for r in out.select("*", chat.read_back().alias("back"), chat.read_loss().alias("loss")).collect()}

@@ -204,8 +204,8 @@ def read_back(column: str = "formatted") -> Column:
     pieces = F.filter(F.split(column, BEGIN), lambda p: p != "")
 
     def turn(piece: Column) -> Column:
-        fields = F.split(piece, r"\[/?ROLE\]\n?|</s>\n", -1)
-        role = F.get(fields, F.lit(1))
+        # the head ends at the first end mark: by its length, as a role may hold line feeds at either end
+        role = F.substring_index(F.substr(piece, F.lit(len(ROLE) + 1)), END_ROLE, 1)
         head = len(ROLE) + len(END_ROLE)
         body = F.substr(piece, F.length(role) + head + 1, F.length(piece) - F.length(role) - head - len(END))
         return F.struct(unescape(role).alias("role"), unescape(body).alias("text"))

@@ -1,6 +1,6 @@
 """Mix sources to target weights by hash-random keys and distributed prefix sums.
 
-Every document gets a key from a hash of its id.  Within a source the keys are
+Every document gets a key from a hash of its id and text.  Within a source the keys are
 sorted in ranges: the key space is cut into as many equal ranges as the root of
 the source's document count, which hashing fills evenly, so a source with a
 third of all rows is spread over as many tasks.  Range totals and sums inside
@@ -8,9 +8,10 @@ the ranges give each document its place on the source's line of words; the
 source's budget is whole passes over that line and a cut in the last one.
 
 Defined results: a null text has size 0; a null source is a source, listed
-last; a source whose documents are all empty has target 0; repeated rows are
-placed one after the other; an empty table gives an empty result; other columns
-are ignored.
+last; a source whose documents are all empty has target 0; rows of one id, or
+without an id, are spread by their texts; repeated rows are counted before they
+are placed, and placed one after the other; an empty table gives an empty result;
+other columns are ignored, whatever their names; very long texts count whole.
 """
 
 from __future__ import annotations
@@ -36,9 +37,10 @@ def n_words(text: str) -> Column:
     return F.size(parts) - first_empty - last_empty
 
 
-def random_key(doc_id: str, seed: str = "") -> Column:
-    """60 bits of a hash of the id; the same in every run."""
-    digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
+def random_key(doc_id: str, text: str, seed: str = "") -> Column:
+    """60 bits of a hash of id and text; the same in every run."""
+    told = F.concat(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("\n"), F.md5(text_or_empty(text)))
+    digest = F.md5(told)
     return F.conv(F.substring(digest, 1, _KEY_BITS // 4), 16, 10).cast("long")
 
 
@@ -76,15 +78,19 @@ def source_targets(
 def placed(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """``sized`` (source, key, doc_id, size, tie) with its source's totals and ``upto``, the words up to and with it.
 
-    ``targets`` must be a written table: its size decides whether it is broadcast.
+    Equal rows are counted first and told out at the end, so that no range holds
+    many of them.  ``targets`` must be a written table: its size decides whether
+    it is broadcast.
     """
+    sized = sized.groupBy("source", "key", "doc_id", "size", "tie").agg(F.count("*").alias("copies"))
     ranges = F.ceil(F.sqrt("n_docs"))
     per_source = targets.withColumnRenamed("source", "target_source")
     joined = sized.join(per_source, F.col("source").eqNullSafe(F.col("target_source")), "left").drop("target_source")
     in_range = joined.withColumn("range", F.floor(F.col("key") / F.lit(float(1 << _KEY_BITS)) * ranges))
     inside = W.partitionBy("source", "range").orderBy("key", "doc_id", "size", "tie").rowsBetween(W.unboundedPreceding, 0)
-    local = in_range.withColumn("local", F.sum("size").over(inside))
-    sums = in_range.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+    words = F.col("size") * F.col("copies")
+    local = in_range.withColumn("local", F.sum(words).over(inside))
+    sums = in_range.groupBy("source", "range").agg(F.sum(words).alias("range_size"))
     earlier = W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     starts = sums.select(
         F.col("source").alias("start_source"),
@@ -94,8 +100,9 @@ def placed(sized: DataFrame, targets: DataFrame) -> DataFrame:
     match = F.col("source").eqNullSafe(F.col("start_source")) & (F.col("range") == F.col("start_range"))
     return (
         local.join(starts, match, "left")
-        .withColumn("upto", F.col("local") + F.col("range_start"))
-        .drop("range", "local", "start_source", "start_range", "range_start")
+        .withColumn("later", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+        .withColumn("upto", F.col("local") + F.col("range_start") - F.col("later") * F.col("size"))
+        .drop("range", "local", "start_source", "start_range", "range_start", "copies", "later")
     )
 
 
@@ -104,7 +111,7 @@ def _sized(docs: DataFrame, source: str, doc_id: str, text: str, seed: str) -> D
     narrow = docs.select(
         F.col(source).alias("source"),
         F.col(doc_id).alias("doc_id"),
-        random_key(doc_id, seed).alias("key"),
+        random_key(doc_id, text, seed).alias("key"),
         n_words(text).alias("size"),
         F.xxhash64(text).alias("tie"),
     )
@@ -148,34 +155,31 @@ def mixed_documents(
     their places: a key below the cut is in the last pass, one above is not.
     Rows that agree in key, id, size and text at the cut are all shortened.
     """
+    of_source, last, at_cut, whole, words, take = (fresh(docs, n) for n in ("_source", "_last", "_cut", "_passes", "_size", "_take"))
     mixed = mix(docs, source, doc_id, text, seed)
-    reached = mixed.where("cut > 0").groupBy("source").agg(
-        F.max_by("cut", F.struct("key", "doc_id", "size", "tie")).alias("_cut"),
-        F.max(F.struct("key", "doc_id", "size", "tie")).alias("_last"),
-    )
-    whole = mixed.groupBy("source").agg(F.max("passes").alias("_passes"))
+    spot = ("key", "doc_id", "size", "tie")
+    reached = F.when(F.col("cut") > 0, F.struct(*spot))
     cuts = materialise(
-        whole.withColumnRenamed("source", "_source").join(
-            reached, F.col("_source").eqNullSafe(F.col("source")), "left"
-        ).drop("source"),
+        mixed.groupBy(F.col("source").alias(of_source)).agg(
+            F.max("passes").alias(whole), F.max_by("cut", reached).alias(at_cut), F.max(reached).alias(last)
+        ),
         "mix-cuts",
     )
-    words = fresh(docs, "_size")
-    spot = F.struct(
-        random_key(doc_id, seed).alias("key"), F.col(doc_id).alias("doc_id"), F.col(words).alias("size"), F.xxhash64(text).alias("tie")
+    here = F.struct(
+        random_key(doc_id, text, seed).alias("key"), F.col(doc_id).alias("doc_id"), F.col(words).alias("size"), F.xxhash64(text).alias("tie")
     )
-    joined = docs.withColumn(words, n_words(text)).join(cuts, F.col(source).eqNullSafe(F.col("_source")), "left")
+    joined = docs.withColumn(words, n_words(text)).join(cuts, F.col(source).eqNullSafe(F.col(of_source)), "left")
     extra = (
         F.when(F.col(words) == 0, 0)
-        .when(spot < F.col("_last"), F.col(words))
-        .when(spot == F.col("_last"), F.col("_cut"))
+        .when(here < F.col(last), F.col(words))
+        .when(here == F.col(last), F.col(at_cut))
         .otherwise(0)
     )
     takes = F.concat(
-        F.array_repeat(F.lit(-1).cast("long"), F.when(F.col(words) > 0, F.col("_passes")).otherwise(0).cast("int")),
+        F.array_repeat(F.lit(-1).cast("long"), F.when(F.col(words) > 0, F.col(whole)).otherwise(0).cast("int")),
         F.when(extra == F.col(words), F.array(F.lit(-1).cast("long"))).otherwise(F.array(extra.cast("long"))),
     )
-    rows = joined.withColumn("_take", F.explode(F.filter(takes, lambda x: x != 0)))
-    cut = F.when(F.col("_take") < 0, F.col(text)).otherwise(first_words(F.col(text), F.col("_take").cast("int")))
+    rows = joined.withColumn(take, F.explode(F.filter(takes, lambda x: x != 0)))
+    cut = F.when(F.col(take) < 0, F.col(text)).otherwise(first_words(F.col(text), F.col(take).cast("int")))
     out = [cut.alias(text) if c == text else F.length(cut).cast(kind).alias(c) if c == "n_chars" else F.col(c) for c, kind in docs.dtypes]
     return rows.where(F.col(words) > 0).select(*out)

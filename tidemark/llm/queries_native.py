@@ -55,7 +55,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS key
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS key
   FROM documents
 ), sources AS (
   SELECT source, count(*) AS n_docs, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
