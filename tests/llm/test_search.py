@@ -43,6 +43,27 @@ def test_top_k_of_few_rows(spark):
     assert topk.top_k(table.limit(0), F.col("vec_id") == 0, 5).count() == 0
 
 
+def test_half_the_rows_alike_and_large_components(spark):
+    """Copies of a row share no shard beyond k; scores beyond 2^53 are whole."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.integers(-4_000_000, 4_000_000, 6)], "x") for i in range(200)] + [(3, [2.0e6] * 6, "x")] * 200
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
+    got = [tuple(r) for r in topk.top_k(table, F.col("vec_id") % 50 == 0, 7, shard_rows=30).collect()]
+    assert sorted(got) == sorted(_brute_list(rows, 7, 50))
+    huge = spark.createDataFrame([(0, [3.0e7] * 8, "x"), (1, [3.0e15] * 8, "x")], table.schema)
+    with pytest.raises(Exception, match="exceed 64 bits"):
+        topk.top_k(huge, F.col("vec_id") == 0, 5).collect()
+
+
+def _brute_list(rows, k, modulus):
+    points = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in rows]
+    out = []
+    for query_id, query in {(i, tuple(v)) for i, v in points if i % modulus == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(query, v, strict=True)), i) for i, v in points if i != query_id)
+        out += [(query_id, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)]
+    return out
+
+
 def test_tree_prunes():
     rng = np.random.default_rng(3)
     points = np.concatenate([rng.normal(c, 1, (400, 4)).round() for c in (-60, 0, 60)])

@@ -316,3 +316,32 @@ def test_quality_without_both_labels(spark):
     for rows, share in (([], 0.5), ([("some text here", 1)], 1.0)):
         model = quality_model.fit(spark.createDataFrame(rows, "text string, label int"))
         assert documents(spark, ["x", None]).select(quality_model.scored(F.col("text"), model, spark).alias("s")).first()["s"] == share
+
+
+def test_marks_alone_are_no_letters_and_copies_stay_within_the_sample(spark):
+    texts = [prose(i, 20) for i in range(40)] + ["the same text again"] * 400
+    docs = documents(spark, texts).withColumn("language", F.lit("kept"))
+    model = language_id.fit(docs, F.lit(True), fit_rows=100)
+    rows = language_id.identify(docs.where("doc_id < 5"), model).collect()
+    assert all(r["language"] == "kept" and r["_language"]["lang"] == "en" for r in rows)
+    marks = "\u0301\u0302 \u0303"
+    found = language_id.label_texts([marks, "e\u0301", marks + " word " + marks, ""], model)
+    assert [f[:2] for f in found[:1]] == [("und", 0.0)] and [f[0] for f in found] == ["und", "en", "en", "und"]
+    assert found[2][2] == [(5, 9, "en")]
+    chosen = language_id.bounded_sample(docs, F.xxhash64("doc_id", "text"), 100).count()
+    assert 50 <= chosen <= 160
+
+
+def test_languages_are_bounded_by_their_share(spark):
+    rows = [(i, prose(i % 7, 12), f"rare{i}" if i < 100 else "common") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.fit(docs, F.lit(True)).languages == ["common"]
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 1 << 16])
+def test_stretches_of_words_change_nothing(spark, monkeypatch, stretch):
+    docs = documents(spark, [prose(i, 30) for i in range(30)])
+    model = language_id.fit(docs, F.lit(True))
+    want = language_id.label_texts([prose(3, 200), prose(99, 50)], model)
+    monkeypatch.setattr(language_id, "_STRETCH", stretch)
+    assert language_id.label_texts([prose(3, 200), prose(99, 50)], model) == want

@@ -7,12 +7,15 @@ several languages falls into spans.
 
 The model is hashed trigram counts, a table whose size depends on the number of
 languages only.  It is fitted on a bounded sample of labelled rows
-(``fit_rows``); every row is scored, over its whole text.
-
-Defined results: a null text, or one without letters, is ``und`` with score 0;
-without any labelled row every text is; equal totals go to the language first
-in order; repeated rows are labelled each; an empty table gives an empty
-result; other columns pass through untouched.
+(``fit_rows``), and learns the languages that at least one in ``1 /
+LEAST_LANGUAGE_SHARE`` of them has, so their number is bounded too; every row is
+scored, over its whole text.
+
+Defined results: a null text, or one without letters (marks alone are none), is
+``und`` with score 0; without any labelled row every text is; equal totals go to
+the language first in order; repeated rows are labelled each; an empty table
+gives an empty result; very long texts are scored a stretch of words at a time;
+other columns pass through untouched, also one named as the result.
 """
 
 from __future__ import annotations
@@ -25,9 +28,10 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_sample, mixed
+from tidemark.llm.common import bounded_sample, fresh, mixed
 
 UNKNOWN = "und"
 FIT_ROWS = 20_000
@@ -39,7 +43,10 @@ SWITCH_PENALTY = 8.0
 # a language is a candidate for a script that makes up this share of its letters
 LEAST_SCRIPT_SHARE = 0.02
 NO_CANDIDATE = -30.0
+LEAST_LANGUAGE_SHARE = 0.005
 _SLICE = 1 << 20
+# words whose evidence is summed at once
+_STRETCH = 1 << 16
 
 # fixed values: script ranges of the Unicode standard, first and last code point
 SCRIPTS = {
@@ -74,6 +81,25 @@ def _letters() -> np.ndarray:
     return table
 
 
+@cache
+def _is_letter() -> np.ndarray:
+    return np.frombuffer(bytes(unicodedata.category(chr(code))[0] == "L" for code in range(0x110000)), np.bool_)
+
+
+def _without_mere_marks(codes: np.ndarray, script: np.ndarray) -> np.ndarray:
+    """``script`` with 0 for runs of marks that belong to no letter."""
+    runs = np.diff(np.concatenate([[0], script > 0, [0]]).astype(np.int8))
+    starts, ends = np.flatnonzero(runs == 1), np.flatnonzero(runs == -1)
+    letters = np.concatenate([[0], np.cumsum(_is_letter()[codes])])
+    mere = letters[ends] == letters[starts]
+    if not mere.any():
+        return script
+    script = script.copy()
+    for start, end in zip(starts[mere], ends[mere], strict=True):
+        script[start:end] = 0
+    return script
+
+
 def _lower(text: str) -> str:
     """Lower case with as many characters as ``text``."""
     low = text.lower()
@@ -98,7 +124,7 @@ def _words(texts: list[str]) -> _Words:
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = np.array([len(t) + 1 for t in texts])
     text_starts = np.concatenate([[0], np.cumsum(lengths)])
-    script = _letters()[codes]
+    script = _without_mere_marks(codes, _letters()[codes])
     padded = np.concatenate([[0], script > 0, [0]]).astype(np.int8)
     edges = np.diff(padded)
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
@@ -133,16 +159,25 @@ class LanguageModel:
     candidates: np.ndarray
 
 
-def fit(docs: DataFrame, learn_from: Column, text: str = "text", lang: str = "lang", fit_rows: int = FIT_ROWS) -> LanguageModel:
+def fit(
+    docs: DataFrame, learn_from: Column, text: str = "text", lang: str = "lang", fit_rows: int = FIT_ROWS, doc_id: str = "doc_id"
+) -> LanguageModel:
     """Learn from the rows where ``learn_from`` holds and text and language are given, about ``fit_rows`` of them.
 
+    Rows are chosen by a hash of id and text, so copies of a text come in or
+    stay out each for itself.
+
     Tasks count trigrams and scripts of their rows; what reaches the driver is
     one count per language and bucket.
     """
     labelled = docs.where(learn_from & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        F.col(text).alias("text"), F.col(lang).alias("lang")
+        F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id), F.col(text)).alias("spot")
     )
-    sample = bounded_sample(labelled, F.col("text"), fit_rows)
+    chosen = bounded_sample(labelled, F.col("spot"), fit_rows).drop("spot")
+    shares = chosen.groupBy("lang").count()
+    least = LEAST_LANGUAGE_SHARE * F.sum("count").over(W.partitionBy())
+    common = [r["lang"] for r in shares.withColumn("least", least).where(F.col("count") >= F.col("least")).collect()]
+    sample = chosen.where(F.col("lang").isin(common))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -225,8 +260,11 @@ def label_texts(texts: list[str], model: LanguageModel, penalty: float = SWITCH_
     for part in _slices(texts):
         words = _words(part)
         scores = np.zeros((len(words.starts), len(model.languages)), np.float32)
+        for begin in range(0, len(scores), _STRETCH):
+            end = min(begin + _STRETCH, len(scores))
+            first, last = words.first_bucket[begin], words.first_bucket[end]
+            np.add.reduceat(model.evidence[words.buckets[first:last]], words.first_bucket[begin:end] - first, axis=0, out=scores[begin:end])
         if len(scores):
-            np.add.reduceat(model.evidence[words.buckets], words.first_bucket[:-1], axis=0, out=scores)
             scores += np.where(model.candidates[words.scripts], 0, NO_CANDIDATE).astype(np.float32)
         labels = viterbi(scores, words.first_word, penalty)
         letters = words.ends - words.starts
@@ -249,7 +287,7 @@ def label_texts(texts: list[str], model: LanguageModel, penalty: float = SWITCH_
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """``docs`` with the struct ``language``: lang, score (its share of letters) and spans."""
+    """``docs`` with the struct ``language`` (after underscores if that name is taken): lang, score (its share of letters) and spans."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(span))])
@@ -262,4 +300,4 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", penalty:
             [{"lang": a, "score": b, "spans": [dict(zip(names, s, strict=True)) for s in c]} for a, b, c in rows], kind
         )
 
-    return docs.withColumn("language", label(F.col(text)))
+    return docs.withColumn(fresh(docs, "language"), label(F.col(text)))

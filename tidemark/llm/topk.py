@@ -8,9 +8,13 @@ k-th score then goes with it to all other shards, where most nodes fall to it.
 
 Defined results: rows with a null id or a null, partly null or non-finite
 vector take no part; shorter vectors count as filled up with zeros; a query
-never meets rows of its own id; repeated rows are candidates each, and a
+never meets rows of its own id; repeated rows are candidates each, but of one
+row's copies no more than ``k`` can be among the best, so only these are kept; a
 repeated query is asked once per distinct vector; equal scores go to the
 smaller id; an empty table gives an empty result; other columns are ignored.
+Scores are whole numbers of 64 bits: in real numbers while these are exact, up to
+2^53, then in integers; a task whose vectors could exceed 64 bits ends with an
+error that says so.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from __future__ import annotations
 import heapq
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,7 +39,10 @@ class BallTree:
     """Centres and radii of nested halves of ``points``; leaves are ranges of ``order``."""
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.points, self.order = points, np.arange(len(points))
+        # whole numbers for scores, real ones for bounds
+        self.whole, self.order = points, np.arange(len(points))
+        self.points = points.astype(np.float64)
+        points = self.points
         self.nodes: list[tuple[int, int, int, int]] = []
         self.centres: list[np.ndarray] = []
         self.radii: list[float] = []
@@ -73,8 +81,11 @@ class BallTree:
         """The ``k`` best (score, id) of at least ``floor``; nodes in order of their upper bounds."""
         if not self.nodes:
             return []
-        # bounds are real numbers, scores whole ones: the slack outweighs rounding
-        bounds = self.centre @ query + np.sqrt(query @ query) * self.radius + 1e-3
+        # bounds are real numbers, scores whole ones: the slack, relative to all that is summed, outweighs rounding
+        real = query.astype(np.float64)
+        length = np.sqrt(real @ real)
+        reach = length * self.radius
+        bounds = self.centre @ real + reach + 1e-9 * (length * np.sqrt((self.centre**2).sum(1)) + reach) + 1e-3
         kept: list[tuple[int, int]] = []
         queue = [(-bounds[0], 0)]
         while queue:
@@ -88,7 +99,7 @@ class BallTree:
                         heapq.heappush(queue, (-bounds[child], child))
                 continue
             rows = self.order[begin:end]
-            scores = self.points[rows] @ query
+            scores = self.whole[rows] @ query
             for place in np.flatnonzero(scores >= floor):
                 row_id = int(ids[rows[place]])
                 if row_id == own_id:
@@ -104,19 +115,35 @@ class BallTree:
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
-    out = np.zeros((len(column), width))
-    for row, values in enumerate(column.to_pylist()):
-        out[row, : len(values)] = values
+    """Lists of whole numbers as rows of a matrix, filled up with zeros."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(lists), width), np.int64)
+    out[np.arange(width)[None, :] < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
+def _width(column: pa.ChunkedArray) -> int:
+    return max(1, pc.max(pc.list_value_length(column)).as_py() or 0)
+
+
+def _exact(points: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both in the type whose products and sums are exact."""
+    largest = [int(max(m.max(initial=0), -int(m.min(initial=0)))) for m in (points, asked)]
+    most = points.shape[1] * largest[0] * largest[1]
+    if most < 1 << 53:
+        return points.astype(np.float64), asked.astype(np.float64)
+    if most >= 1 << 63:
+        raise ValueError("inner products of these vectors may exceed 64 bits: scale them down")
+    return points, asked
+
+
 def _search_group(queries: pa.Table, shard: pa.Table, k: int) -> pa.Table:
     if not len(queries) or not len(shard):
         return pa.table({n: pa.array([], pa.int64()) for n in ("query_id", "query_part", "vec_id", "score")})
-    width = max([1, *(len(v) for t in (queries, shard) for v in t["vector"].to_pylist())])
-    points, ids = _matrix(shard["vector"], width), shard["vec_id"].to_numpy()
-    tree = BallTree(points)
-    asked = _matrix(queries["vector"], width)
+    width = max(_width(t["vector"]) for t in (queries, shard))
+    points, asked = _exact(_matrix(shard["vector"], width), _matrix(queries["vector"], width))
+    ids, tree = shard["vec_id"].to_numpy(), BallTree(points)
     rows: list[tuple[int, int, int, int]] = []
     heads = zip(queries["vec_id"].to_pylist(), queries["part"].to_pylist(), queries["floor"].to_pylist(), asked, strict=True)
     for query_id, part, floor, query in heads:
@@ -152,11 +179,15 @@ def top_k(
     points = rows.select(
         F.col(vec_id).cast("long").alias("vec_id"), quantised(F.col(vector), scale).alias("vector"), is_query.alias("asks")
     ).where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull())
+    # copies of a row share id and vector, so their group is counted before it is shuffled
+    told_apart = points.groupBy("vec_id", "vector", "asks").agg(F.count("*").alias("copies"))
+    points = told_apart.select("vec_id", "vector", "asks", F.explode(F.sequence(F.lit(1), F.least(F.lit(k), F.col("copies")).cast("int"))).alias("copy"))
+    points = materialise(points, "topk-points")
     n_points, n_queries = points.agg(F.count("*"), F.count_if("asks")).first()
     shards, blocks = max(1, -(-n_points // shard_rows)), max(1, -(-n_queries // block_queries))
-    spot = F.xxhash64("vec_id", F.col("vector"))
+    spot, dealt = F.xxhash64("vec_id", F.col("vector")), F.xxhash64("vec_id", F.col("vector"), "copy")
     shard = points.select(
-        "vec_id", "vector", F.pmod(spot, F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
+        "vec_id", "vector", F.pmod(dealt, F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
     )
     asking = points.where("asks").dropDuplicates(["vec_id", "vector"]).select(
         "vec_id",
