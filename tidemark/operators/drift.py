@@ -8,16 +8,21 @@ third of all rows is ever sorted by one task.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import column
 from tidemark.functions.decisions import DRIFT_LEVEL, drift_flag
 from tidemark.functions.kolmogorov import ks_law, ks_p_value
-from tidemark.operators.ordering import Running, lay_out
-from tidemark.session import materialise
+from tidemark.operators.ordering import PART, Running, lay_out
+from tidemark.session import materialise, scratch_path
 
 
 def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -153,8 +158,13 @@ def ks_against_counts(ref_counts: DataFrame, counts: DataFrame, by: Sequence[str
     located = counts.join(ref_upto, "x").select(
         *by, "x", "c2", "upto", (F.col("upto") - F.col("at")).alias("below")
     )
+    return _largest_gap(located, n1, by)
+
+
+def _largest_gap(located: DataFrame, n1: Column, by: Sequence[str]) -> DataFrame:
+    """Per window the statistic, from values with the reference rows up to and below each."""
     running = lay_out(located, ["x"], by=by).with_running(r2=Running("sum", F.col("c2"))).rows()
-    sizes = counts.groupBy(*by).agg(F.sum("c2").alias("n2"))
+    sizes = located.groupBy(*by).agg(F.sum("c2").alias("n2"))
     share, share_below = F.col("r2") / F.col("n2"), (F.col("r2") - F.col("c2")) / F.col("n2")
     # an empty reference has no CDF, so the statistic is null
     gap = F.greatest(share - F.try_divide("upto", "n1"), F.try_divide("below", "n1") - share_below)
@@ -165,3 +175,66 @@ def ks_against_counts(ref_counts: DataFrame, counts: DataFrame, by: Sequence[str
         .agg(F.max(gap).alias("statistic"))
     )
 
+
+@dataclass(frozen=True)
+class ReferenceSteps:
+    """A reference's cumulative counts, in a table whose buckets are value ranges.
+
+    ``bounds`` holds the least value of each range, one per layout partition.
+    """
+
+    table: str
+    bounds: tuple[float, ...]
+    rows: int
+
+
+def reference_steps(reference: DataFrame, value: str) -> ReferenceSteps:
+    """Lay a reference out once, for any number of later lookups that move none of it.
+
+    The table is one of the application's catalog, its files lie in the scratch folder.
+    """
+    spark = reference.sparkSession
+    steps = lay_out(reference_counts(reference, value), ["x"]).with_running(upto=Running("sum", F.col("at"))).frozen()
+    edges = steps.df.groupBy(PART).agg(F.min("x").alias("least"), F.max("upto").alias("upto")).orderBy(PART).collect()
+    # ranges without rows are left out, so that ranges and buckets agree
+    numbers = {r[PART]: i for i, r in enumerate(edges)}
+    numbered = steps.df.withColumn("range", F.element_at(F.create_map(*[F.lit(x) for kv in numbers.items() for x in kv]), F.col(PART))) if numbers else steps.df.withColumn("range", F.lit(0))
+    name = f"reference_steps_{uuid.uuid4().hex}"
+    writer = numbered.select("range", "x", "at", "upto").write.bucketBy(max(1, len(edges)), "range").sortBy("x")
+    writer.option("path", scratch_path(spark, "reference-steps")).format("parquet").saveAsTable(name)
+    return ReferenceSteps(name, tuple(r["least"] for r in edges), edges[-1]["upto"] if edges else 0)
+
+
+def _locate(wanted: pa.Table, steps: pa.Table) -> pa.Table:
+    """The reference rows up to and below each wanted value of one range."""
+    order = np.argsort(steps["x"].to_numpy(), kind="stable")
+    x, at, upto = (steps[c].to_numpy()[order] for c in ("x", "at", "upto"))
+    values = wanted["x"].to_numpy()
+    place = np.searchsorted(x, values, "right")
+    before = int(upto[0] - at[0]) if len(x) else 0
+    found = np.where(place > 0, upto[place - 1], before) if len(x) else np.zeros(len(values), np.int64)
+    equal = np.where((place > 0) & (x[place - 1] == values), at[place - 1], 0) if len(x) else np.zeros(len(values), np.int64)
+    columns = {c: wanted[c] for c in wanted.column_names if c != "range"}
+    return pa.table({**columns, "upto": pa.array(found, pa.int64()), "below": pa.array(found - equal, pa.int64())})
+
+
+def locate(steps: ReferenceSteps, counts: DataFrame) -> DataFrame:
+    """``counts`` (with ``x``) and the reference rows ``upto`` and ``below`` each value.
+
+    Values go to the bucket of their range; the reference is read where it lies.
+    """
+    ranged = counts.withColumn("range", F.lit(0))
+    if len(steps.bounds) > 1:
+        splits = [float("-inf"), *steps.bounds[1:], float("inf")]
+        found = Bucketizer(splits=splits, inputCol="x", outputCol="_range").transform(counts)
+        ranged = found.withColumn("range", F.col("_range").cast("int")).drop("_range")
+    schema = counts.schema.add("upto", "long").add("below", "long")
+    reference = counts.sparkSession.table(steps.table)
+    return ranged.groupBy("range").cogroup(reference.groupBy("range")).applyInArrow(_locate, schema)
+
+
+def ks_against_steps(steps: ReferenceSteps, counts: DataFrame, by: Sequence[str] = ("window_start",)) -> DataFrame:
+    """As ``ks_against_counts``, against a reference laid out before."""
+    present = counts.filter(F.col("x").isNotNull() & ~F.isnan("x")).select(*by, "x", "c2")
+    located = materialise(locate(steps, present), "located-windows")
+    return _largest_gap(located, F.lit(steps.rows).cast("long"), by)

@@ -27,7 +27,8 @@ from tidemark.plans.jobs import prepare_series
 from tidemark.session import materialise, scratch_path
 from tidemark.sources.models import load_model, register_model, transition_stage
 from tidemark.streaming.drift import drift_stream
-from tidemark.streaming.scoring import read_request_stream, score_stream
+from tidemark.streaming.quality import quality_by_window, quality_stream
+from tidemark.streaming.scoring import read_request_stream, score_stream, score_stream_by_stage
 
 # the training queries fit on an exact seeded sample of at most so many labelled rows, and score every row
 FIT_ROWS = 5_000
@@ -275,6 +276,14 @@ SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(any_value(n2) AS B
 FROM f {closed} GROUP BY w"""
 
 
+def _arrive(rows, time, path, files):
+    """Write ``rows`` as files that arrive one after the other, in order of time."""
+    edges = rows.agg(F.percentile_approx(time, [i / files for i in range(1, files)])).first()[0]
+    place = sum((F.col(time) > F.lit(edge)).cast("int") for edge in edges)
+    for number in range(files):
+        rows.where(place == number).coalesce(1).write.mode("append").parquet(path)
+
+
 def _drift_shown(tests):
     return tests.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
@@ -300,11 +309,11 @@ def s1_drift_by_window(spark, sf_dir):
     ),
 )
 def s1_drift_stream(spark, sf_dir):
-    """Daily windows of a stream; a window is tested once the watermark has passed it."""
+    """Daily windows of a stream of several files, one per trigger; a window is tested once the watermark has passed it."""
     source, out = scratch_path(spark, "event-files"), scratch_path(spark, "drift")
     events = table(spark, sf_dir, "events").select("ts", "event_type", "value")
-    events.write.parquet(source)
-    stream = spark.readStream.schema(events.schema).parquet(source)
+    _arrive(events, "ts", source, 4)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
     reference = events.filter(F.col("event_type") == "view")
     drift_stream(stream, reference, "value", "ts", out, scratch_path(spark, "drift-state"), "1 day").awaitTermination()
     schema = T.StructType(
@@ -317,6 +326,80 @@ def s1_drift_stream(spark, sf_dir):
     return _drift_shown(spark.read.schema(schema).parquet(f"{out}/batch=*"))
 
 
+# predictions of events; the truth comes up to an hour and a half later, and for some never
+_TRUTH = {"prediction": "IF(value > 40, 1, 0)", "actual": "IF(value + event_id % 7 > 43, 1, 0)", "delay": "event_id % 90", "told": "event_id % 11 <> 0"}
+
+
+@query(
+    "k1_quality_stream",
+    f"""WITH p AS (SELECT time_bucket(INTERVAL '6 hours', ts) AS w, {_TRUTH['prediction']} AS prediction,
+                          CASE WHEN {_TRUTH['told']} AND {_TRUTH['delay']} <= 60 THEN {_TRUTH['actual']} END AS actual FROM events)
+        SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS rows, count(*) FILTER (actual IS NULL) AS untold,
+               count(*) FILTER (actual = prediction) AS "right",
+               round(count(*) FILTER (actual = prediction)::DOUBLE / nullif(count(actual), 0), 9) AS accuracy
+        FROM p GROUP BY w""",
+)
+def k1_quality_stream(spark, sf_dir):
+    """Quality per six-hour window of predictions joined with late truth, both as streams of several files."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    predicted = events.select("event_id", "ts", F.expr(_TRUTH["prediction"]).alias("prediction"))
+    late = F.expr(f"ts + make_interval(0, 0, 0, 0, 0, {_TRUTH['delay']}, 0)")
+    truth = events.where(_TRUTH["told"]).select("event_id", late.alias("known_at"), F.expr(_TRUTH["actual"]).alias("actual"))
+    paths = [scratch_path(spark, n) for n in ("prediction-files", "truth-files")]
+    # a last row of either kind, two days on, lets every window before it close
+    end = events.agg(F.max("ts") + F.expr("INTERVAL 2 DAYS")).first()[0]
+    sides = []
+    for path, rows, time in ((paths[0], predicted, "ts"), (paths[1], truth, "known_at")):
+        _arrive(rows, time, path, 3)
+        given = {"event_id": F.lit(-1), time: F.lit(end)}
+        last = spark.range(1).select(*[given.get(n, F.lit(0)).cast(t).alias(n) for n, t in rows.dtypes])
+        last.coalesce(1).write.mode("append").parquet(path)
+        sides.append(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path))
+    out = scratch_path(spark, "quality")
+    quality_stream(*sides, "event_id", "actual", "ts", "known_at", out, scratch_path(spark, "quality-state"), "6 hours").awaitTermination()
+    counts = spark.read.schema("window_start timestamp, actual int, prediction int, rows long").parquet(out)
+    closed = quality_by_window(counts, "actual").where(F.col("window_start") < F.lit(end) - F.expr("INTERVAL 1 DAY"))
+    return closed.withColumns(
+        {"window_start": F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"), "accuracy": F.round("accuracy", 9)}
+    )
+
+
+_EARLY = "event_id <= (SELECT median(event_id) FROM events)"
+
+
+@query(
+    "s2_promotion_stream",
+    f"""WITH b AS (SELECT event_id, {body_sql("VARCHAR")} AS body, {_EARLY} AS early FROM events),
+        p AS (SELECT event_id, early, CASE WHEN json_valid(body) THEN TRY_CAST(json_extract_string(body, '$.k') AS DOUBLE) END AS k FROM b)
+        SELECT event_id, CASE WHEN k IS NULL THEN 'invalid' ELSE 'ok' END AS status,
+               CASE WHEN early THEN CAST(k > 0 AS INTEGER) ELSE CAST(k < 0 AS INTEGER) END AS prediction,
+               CASE WHEN early THEN 1 ELSE 2 END AS model_version FROM p""",
+)
+def s2_promotion_stream(spark, sf_dir):
+    """A version promoted between two files scores the second only; the stream runs on, and a last run adds nothing."""
+    events = table(spark, sf_dir, "events")
+    early = F.col("event_id") <= events.agg(F.median("event_id")).scalar()
+    bodies = request_bodies(spark, sf_dir)
+    root, source, out, state = (scratch_path(spark, n) for n in ("models", "request-files", "scored", "scored-state"))
+
+    def arrive_and_score(rows, promoted):
+        model = ForeignModel(("k", "k"), f"{__name__}:linear_model", {"by_quantity": promoted, "by_price": 0.0})
+        transition_stage(spark, root, "sign", register_model(model, spark, root, "sign"), "Production")
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = read_request_stream(spark, source, bodies.schema, 1)
+        score_stream_by_stage(stream, ["k"], root, "sign", "Production", out, state).awaitTermination()
+
+    arrive_and_score(bodies.where(early), 1.0)
+    arrive_and_score(bodies.where(~early), -1.0)
+    arrive_and_score(bodies.limit(0), 0.0)
+    scored = spark.read.schema(f"{_ddl(bodies)}, k double, status string, prediction int, model_version long").parquet(f"{out}/batch=*")
+    return scored.select("event_id", "status", "prediction", "model_version")
+
+
+def _ddl(df):
+    return ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+
+
 @query("s3_request_totals", "SELECT event_type, count(*) AS requests FROM events GROUP BY 1")
 def s3_request_totals(spark, sf_dir):
     return W.request_totals(table(spark, sf_dir, "events"), "event_type")

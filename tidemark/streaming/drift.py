@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.drift import ks_against_counts, reference_counts, window_value_counts, with_p_value
+from tidemark.operators.drift import ks_against_steps, reference_steps, window_value_counts, with_p_value
 from tidemark.session import materialise, scratch_scope
 
 # schedule of the monitoring job; late rows are waited for just as long
@@ -36,8 +36,8 @@ def drift_stream(
     timed = production.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
     counts = window_value_counts(timed, value, time, size)
 
-    # the reference is counted once, not in every micro-batch
-    known = reference_counts(reference, value)
+    # the reference is laid out once; micro-batches look their values up in it and move none of it
+    known = reference_steps(reference, value)
 
     def test_closed(batch: DataFrame, batch_id: int) -> None:
         # a stream has no end, so each batch clears its own intermediate tables
@@ -45,7 +45,7 @@ def drift_stream(
             # one evaluation of the stateful plan, whatever the test does with its rows
             closed = materialise(batch, "closed-windows")
             if not closed.isEmpty():
-                tests = with_p_value(ks_against_counts(known, closed))
+                tests = with_p_value(ks_against_steps(known, closed))
                 tests.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
     writer = (
