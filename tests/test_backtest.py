@@ -75,6 +75,32 @@ def test_long_portfolios_against_a_plain_fold(spark, balance, names, kind):
             assert got[row[:2]] == want
 
 
+@pytest.mark.parametrize("most", [0, 60, 10_000])
+def test_short_and_long_portfolios_agree(spark, monkeypatch, most):
+    """Folded as arrays, replayed by partition, or some of both: the same paths, with all columns."""
+    monkeypatch.setattr(B, "FOLD_ROWS", most)
+    rng = random.Random(8)
+    rows = [
+        (name, i, rng.choice([float(rng.randint(1, 90)), None]) if i % 9 == 0 else float(rng.randint(1, 90)), rng.choice([1, 1, 2, 0, None]), f"n{i}")
+        for name, n in (("a", 150), (None, 60), ("c", 40), ("rich", 3))
+        for i in range(n)
+    ]
+    df = spark.createDataFrame(rows, "`the name` string, step int, price double, action int, note string")
+    got = B.backtest_path(df.repartition(4), ["step"], ["the name"], 200.0)
+    assert got.columns == [*df.columns, "shares", "balance", "net_worth"]
+    found = {(r["the name"], r["step"]): tuple(r)[2:] for r in got.collect()}
+    for name in ("a", None, "c", "rich"):
+        cash, shares = 200.0, 0
+        for row in (r for r in rows if r[0] == name):
+            _, step, price, action, note = row
+            if price is not None and action == 1 and cash >= price:
+                cash, shares = cash - price, shares + 1
+            elif price is not None and action == 2 and shares:
+                cash, shares = cash + price, shares - 1
+            worth = None if price is None else cash + shares * price
+            assert found[name, step] == (price, action, note, shares, cash, worth)
+
+
 def test_summary_rewards_and_transitions(spark):
     df = _steps(spark, [100, 110, 90], [1, 0, 2])
     final = B.backtest_summary(B.backtest_path(df, ["step"], (), 1000.0), ["step"], (), 1000.0).first()

@@ -8,8 +8,11 @@ worth is missing.
 Share counts follow ``s = max(s + x, 0)`` with x = +1 or -1, which has a
 closed form over running sums and minima.  So as long as every buy is
 affordable, the whole path is computed in parallel, however long one
-portfolio is.  Only portfolios in which a buy is refused are replayed row by
-row, and even then no task takes more than one partition of the layout.
+portfolio is.  Which later buys are affordable after a refused one depends on
+all prices between, so portfolios with a refused buy are folded in order: one of
+at most ``FOLD_ROWS`` steps as one array expression, all of them at once; a longer
+one partition by partition, and no task takes more than one partition of the
+layout.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import column
 from tidemark.operators.features import with_next_state
 from tidemark.operators.ordering import PART, SLOT, OrderedLayout, Running, lay_out
 from tidemark.session import materialise, scratch_path
@@ -30,6 +34,8 @@ from tidemark.session import materialise, scratch_path
 INITIAL_BALANCE = 10_000.0
 BUY = 1
 SELL = 2
+# a portfolio of at most so many steps is folded as one array
+FOLD_ROWS = 512
 # a balance this close to the price is decided by the replay, in the replay's own rounding
 _TIE = 1e-9
 
@@ -62,7 +68,7 @@ def _with_shares(laid: OrderedLayout) -> OrderedLayout:
     Sum and lowest point are carried between partitions together, so one pass
     over the layout yields both.
     """
-    columns = laid.df.columns
+    columns = [column(c) for c in laid.df.columns]
     window = laid.local_window()
     upto_now = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)
@@ -146,7 +152,7 @@ def _fold_segments(rows: DataFrame, by: Sequence[str], parts: int | None = None)
 
 
 def _replay(
-    given: DataFrame, settled: DataFrame | None, by: Sequence[str], initial_balance: float, layout_parts: int
+    given: DataFrame, settled: DataFrame, by: Sequence[str], initial_balance: float, layout_parts: int
 ) -> DataFrame:
     """Exact row-by-row path of laid-out rows, in one table with the ``settled`` paths.
 
@@ -196,8 +202,6 @@ def _replay(
         done.append(scratch_path(spark, "replay"))
         folded.write.parquet(done[-1])
     replayed = spark.read.schema(schema).parquet(*done)
-    if settled is None:
-        return replayed
     return replayed.unionByName(materialise(settled, "settled"))
 
 
@@ -209,22 +213,60 @@ def _same_portfolio(by: Sequence[str]) -> Column:
     return match
 
 
+def _fold_arrays(given: DataFrame, by: Sequence[str], initial_balance: float) -> DataFrame:
+    """Paths of portfolios of bounded length, each folded step by step in one expression."""
+    names = [c for c in given.columns if c not in by]
+    step = F.struct(F.col(SLOT).alias("_at"), F.struct(*[column(c).alias(c) for c in names]).alias("row"))
+    kind = "struct<balance:double,shares:bigint,path:array<struct<shares:bigint,balance:double,net_worth:double>>>"
+
+    def trade(state: Column, one: Column) -> Column:
+        price, action = one["row"]["price"].cast("double"), one["row"]["action"]
+        known = price.isNotNull() & ~F.isnan(price)
+        buys = known & (action == BUY) & (state["balance"] >= price)
+        sells = known & (action == SELL) & (state["shares"] > 0)
+        balance = F.when(buys, state["balance"] - price).when(sells, state["balance"] + price).otherwise(state["balance"])
+        shares = F.when(buys, state["shares"] + 1).when(sells, state["shares"] - 1).otherwise(state["shares"])
+        worth = F.when(known, balance + shares * price)
+        after = F.struct(shares.alias("shares"), balance.alias("balance"), worth.alias("net_worth"))
+        return F.struct(balance.alias("balance"), shares.alias("shares"), F.array_append(state["path"], after).alias("path")).cast(kind)
+
+    start = F.struct(
+        F.lit(float(initial_balance)).alias("balance"), F.lit(0).cast("bigint").alias("shares"), F.array().alias("path")
+    ).cast(kind)
+    gathered = given.groupBy(*by).agg(F.sort_array(F.collect_list(step)).alias("_steps"))
+    walked = gathered.withColumn("_path", F.aggregate("_steps", start, trade)["path"])
+    rows = walked.select(*by, F.explode(F.arrays_zip("_steps", "_path")).alias("_one"))
+    return rows.select(*by, "_one._steps.row.*", "_one._path.*")
+
+
 def _path_layout(
     df: DataFrame, order: Sequence[str], by: Sequence[str], initial_balance: float
 ) -> OrderedLayout:
     """The path, still laid out in order for the operators that follow."""
     layout = _parallel_path(df, by, order, initial_balance)
-    refused = layout.df.filter("_refused").select(*by).distinct()
-    if refused.isEmpty():
+    counted = layout.df.groupBy(*by).agg(F.count(F.lit(1)).alias("_steps_n"), F.max("_refused").alias("_any"))
+    refused = materialise(counted.filter("_any").drop("_any"), "refused-portfolios")
+    # an array of rows is sorted as a whole, which maps do not allow
+    sortable = not any(isinstance(f.dataType, T.MapType) for f in df.schema.fields)
+    short = F.col("_steps_n") <= (FOLD_ROWS if sortable else 0)
+    n_short, n_long = refused.agg(F.count_if(short), F.count_if(~short)).first()
+    if not n_short + n_long:
         return replace(layout, df=layout.df.drop("_refused"))
-    # partition and slot travel with the replayed rows, so the layout stays valid
-    given = layout.df.select(*df.columns, PART, SLOT)
-    if not by:
-        return replace(layout, df=_replay(given, None, by, initial_balance, layout.parts))
+    # partition and slot travel with the rows, so the layout stays valid
+    given = layout.df.select(*[column(c) for c in df.columns], PART, SLOT)
     named = refused.withColumnsRenamed({b: f"_s_{b}" for b in by})
-    settled = layout.df.join(named, _same_portfolio(by), "left_anti").drop("_refused")
-    rest = given.join(named, _same_portfolio(by), "left_semi")
-    return replace(layout, df=_replay(rest, settled, by, initial_balance, layout.parts))
+    settled = layout.df.drop("_refused")
+    done = settled.join(named, _same_portfolio(by), "left_anti") if by else settled.limit(0)
+    if n_short:
+        done = done.unionByName(_fold_arrays(_of(given, named.filter(short), by), by, initial_balance))
+    if not n_long:
+        return replace(layout, df=materialise(done, "back-tested"))
+    return replace(layout, df=_replay(_of(given, named.filter(~short), by), done, by, initial_balance, layout.parts))
+
+
+def _of(given: DataFrame, portfolios: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The rows of some portfolios."""
+    return given.join(portfolios, _same_portfolio(by), "left_semi") if by else given
 
 
 def backtest_path(
