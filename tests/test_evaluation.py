@@ -1,9 +1,12 @@
 import math
 
+import random
+
 import pytest
 
 from tidemark.operators import evaluation as E
 from tidemark.operators.boosting import best_and_stop
+from tidemark.operators.evaluation import alert_lifecycle
 
 
 def _rounds(spark, losses, run="r"):
@@ -61,3 +64,32 @@ def test_alert_rules(spark):
     gauges = spark.createDataFrame(rows, "job string, metric string, value double")
     hit = E.alerts(gauges, {"_p_value": ("below", 0.05), "_count": ("above", 10)}).collect()
     assert [(r.metric, r.rule) for r in hit] == [("a_p_value", "_p_value below 0.05")]
+
+
+@pytest.mark.parametrize("hold", [1, 3])
+def test_alerts_open_hold_and_resolve(spark, hold):
+    rng, rows = random.Random(6), []
+    for job, n in (("a", 300), ("b", 20), (None, 15), ("calm", 5)):
+        for at in range(n):
+            value = rng.choice([1.0, 2.0, 9.0, 8.0, 7.0, None, float("nan")]) if job != "calm" else 1.0
+            rows.append((job, "x_p", at, value))
+    rows += [("low", "y_q", at, v) for at, v in enumerate([0.5, 0.1, 0.05, 0.2, 0.9, 0.1, 0.1, 0.1])] + [("other", "z", 0, 99.0)]
+    history = spark.createDataFrame(rows, "job string, metric string, at int, value double")
+    got = {tuple(r) for r in alert_lifecycle(history.repartition(3), {"_p": ("above", 5), "_q": ("below", 0.3)}, hold).collect()}
+    want = set()
+    for job, metric in {(r[0], r[1]) for r in rows}:
+        if metric == "z":
+            continue
+        rule = "_p above 5" if metric == "x_p" else "_q below 0.3"
+        streak = []
+        for _, _, at, value in [r for r in rows if (r[0], r[1]) == (job, metric)] + [(job, metric, None, -1.0)]:
+            if value is None or value != value:
+                continue
+            if at is not None and (value > 5 if metric == "x_p" else value < 0.3):
+                streak.append((at, value))
+                continue
+            if len(streak) >= hold:
+                worst = (max if metric == "x_p" else min)(v for _, v in streak)
+                want.add((job, metric, rule, streak[hold - 1][0], at, len(streak), worst))
+            streak = []
+    assert got == want and len(want) > 10

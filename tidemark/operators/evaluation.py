@@ -161,6 +161,50 @@ def quality_from_truth(
     return scored.withColumns({"accuracy": packed["accuracy"], "macro_f1": packed["macro_f1"]})
 
 
+def _rule(limits: dict[str, tuple[str, float]]) -> tuple[Column, Column]:
+    """The rule that applies to a gauge row, and whether its value is past the limit."""
+    rule, past = F.lit(None).cast("string"), F.lit(None).cast("boolean")
+    for suffix, (side, limit) in limits.items():
+        mine = F.col("metric").endswith(suffix)
+        rule = F.when(mine, f"{suffix} {side} {limit:g}").otherwise(rule)
+        past = F.when(mine, F.col("value") > limit if side == "above" else F.col("value") < limit).otherwise(past)
+    return rule, past
+
+
+def alert_lifecycle(
+    history: DataFrame, limits: dict[str, tuple[str, float]], hold: int = 1, at: str = "at", by: Sequence[str] = ("job", "metric")
+) -> DataFrame:
+    """Alerts over a history of gauges: ``by, rule, opened_at, resolved_at, observations, worst``.
+
+    An alert opens at the ``hold``-th observation past its limit in a row and
+    resolves at the next one that is not (null while it is open).  Missing values
+    say nothing and are left out.  Streaks are found by running maxima in the
+    ordered layout, so a gauge with very many observations is no single task's.
+    """
+    rule, past = _rule(limits)
+    seen = history.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumns({"_rule": rule, "_past": past})
+    laid = lay_out(seen.where(F.col("_rule").isNotNull()), [at], by=by).with_position("_place")
+    # the last observation within the limit, before and up to each
+    fine = F.when(~F.col("_past"), F.col("_place"))
+    streaks = laid.with_running(_fine=Running("max", fine), _before=Running("max", fine, exclusive=True)).rows()
+    length = F.col("_place") - F.coalesce("_fine", F.lit(0))
+    opened = F.min(F.when(F.col("_past") & (length == hold), F.col(at)))
+    worst = F.when(F.first("_rule").contains(" above "), F.max(F.when(F.col("_past"), F.col("value")))).otherwise(
+        F.min(F.when(F.col("_past"), F.col("value")))
+    )
+    return (
+        streaks.groupBy(*by, F.col("_rule").alias("rule"), F.coalesce("_before", F.lit(0)).alias("_streak"))
+        .agg(
+            opened.alias("opened_at"),
+            F.max(F.when(~F.col("_past"), F.col(at))).alias("resolved_at"),
+            F.count_if("_past").alias("observations"),
+            worst.alias("worst"),
+        )
+        .where(F.col("opened_at").isNotNull())
+        .drop("_streak")
+    )
+
+
 def alerts(gauges: DataFrame, limits: dict[str, tuple[str, float]]) -> DataFrame:
     """Gauge rows past a limit.
 

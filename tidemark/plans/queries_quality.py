@@ -441,3 +441,21 @@ def k2_alerts(spark, sf_dir):
     push_gauges(gauges.select("job", F.concat_ws("_", "job", "kind").alias("metric"), "value"), path)
     limits = {"_value_max": ("above", 350), "_value_mean": ("below", 50)}
     return E.alerts(read_gauges(spark, path), limits).select("job", "metric", "rule")
+
+
+@query(
+    "k2_alert_lifecycle",
+    """WITH g AS (SELECT event_type AS job, event_id AS "at", value, value > 60 AS past,
+                         row_number() OVER w AS place FROM events WHERE value IS NOT NULL WINDOW w AS (PARTITION BY event_type ORDER BY event_id)),
+       s AS (SELECT *, place - coalesce(max(CASE WHEN NOT past THEN place END) OVER (PARTITION BY job ORDER BY place), 0) AS streak,
+                    coalesce(max(CASE WHEN NOT past THEN place END) OVER (PARTITION BY job ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS island FROM g)
+       SELECT job, concat(job, '_value') AS metric, '_value above 60' AS rule, min("at") FILTER (past AND streak = 3) AS opened_at,
+              max("at") FILTER (NOT past) AS resolved_at, count(*) FILTER (past) AS observations, max(value) FILTER (past) AS worst
+       FROM s GROUP BY job, island HAVING min("at") FILTER (past AND streak = 3) IS NOT NULL""",
+)
+def k2_alert_lifecycle(spark, sf_dir):
+    """Every event as an observation of its type's gauge: alerts that open at the third in a row, and resolve."""
+    history = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("job"), F.concat("event_type", F.lit("_value")).alias("metric"), F.col("event_id").alias("at"), "value"
+    )
+    return E.alert_lifecycle(history, {"_value": ("above", 60)}, hold=3)
