@@ -104,3 +104,12 @@ def test_copies_of_one_row_spread_over_partitions(spark):
     sizes = [r["count"] for r in laid.df.groupBy(PART).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2000
     assert sorted(r.position for r in row_position(laid.rows(), ["k"]).collect()) == list(range(1, 4001))
+
+
+def test_neighbours_need_no_sorting_aggregate(spark, capsys):
+    laid = lay_out(spark.range(500).withColumn("g", F.col("id") % 3), ["id"], by=["g"], partitions=4)
+    laid.with_next(after=F.col("id")).rows().explain("simple")
+    plan = capsys.readouterr().out
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    # the wide rows move once, to their partition's task
+    assert plan.split("Initial Plan")[0].count("repartitionbyid") + plan.count("REPARTITION_BY_NUM") <= 2

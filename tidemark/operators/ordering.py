@@ -152,19 +152,20 @@ class OrderedLayout:
                 **{f"_l_{name}": step(f"_v_{name}").over(window) for name in values},
             }
         )
-        edge_row = F.min_by if following else F.max_by
         packed = F.struct(*[value.alias(name) for name, value in values.items()])
         across = Window.partitionBy(*self.by).orderBy(PART)
         # the first row of a group in one partition is what the group's rows in
-        # the partition before it look ahead to (and the last row, looking back)
-        edges = (
-            self.df.withColumn("_packed", packed)
-            .groupBy(PART, *self.by)
-            .agg(edge_row("_packed", SLOT).alias("_edge_row"))
+        # the partition before it look ahead to (and the last row, looking back);
+        # its slot is found by hashing, and only those rows are fetched
+        wanted = (
+            self.df.groupBy(PART, *self.by)
+            .agg((F.min if following else F.max)(SLOT).alias("_edge_slot"))
             .withColumn("_target", (F.lag if following else F.lead)(PART).over(across))
             .filter(F.col("_target").isNotNull())
-            .drop(PART)
-            .withColumnRenamed("_target", PART)
+            .select("_edge_slot", "_target")
+        )
+        edges = self.df.join(F.broadcast(wanted), F.col(SLOT) == F.col("_edge_slot")).select(
+            F.col("_target").alias(PART), *self.by, packed.alias("_edge_row")
         )
         joined = self.join_carried(local, edges, ["_edge_row"])
         return replace(
