@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,38 @@ def test_fitted_q_finds_the_better_action(spark):
     q = Q.fitted_q(df, 1, iterations=2)
     picks = df.select("state", Q.epsilon_greedy(q.values("state"), 0.0, ["state"]).alias("a")).distinct().collect()
     assert {(r.state[0], r.a) for r in picks} == {(-2.0, 2), (-1.0, 2), (1.0, 1), (2.0, 1)}
+
+
+def test_random_features_find_values_that_no_line_fits(spark, tmp_path):
+    from tidemark.sources.models import load_artifact, save_artifact
+
+    rng, rows = random.Random(4), []
+    for _ in range(1500):
+        x, y, a = rng.uniform(-2, 2), rng.uniform(-2, 2), rng.randrange(3)
+        rows.append(([x, y], a, {0: 0.5, 1: x * x - 1, 2: -x * y}[a], [x / 2, y / 2], rng.random() < 0.5))
+    rows += [([1.0, None], 1, 9.0, [0.0, 0.0], True), (None, 1, 9.0, [0.0, 0.0], True), ([0.0, 0.0], 7, 9.0, [0.0, 0.0], True)]
+    df = spark.createDataFrame(rows, "state array<double>, action int, reward double, next_state array<double>, done boolean")
+    once = Q.fitted_random_feature_q(df.where("done"), 2, features=100, iterations=1)
+    for x, y in ((1.5, 0.2), (-1.5, 1.0), (0.1, 0.1), (1.2, -1.2)):
+        assert once.of(np.array([[x, y]]))[0] == pytest.approx([0.5, x * x - 1, -x * y], abs=0.05)
+    q = Q.fitted_random_feature_q(df, 2, features=100, iterations=3)
+    # the second and third rounds by plain least squares on the same features
+    kept = [r for r in rows if r[0] and None not in r[0] and r[1] < 3]
+    weights = np.zeros((3, 101))
+    for _ in range(3):
+        target = [r[2] + (0 if r[4] else 0.95 * (q.features(np.array([r[3]])) @ weights.T).max()) for r in kept]
+        fresh = np.zeros_like(weights)
+        for a in range(3):
+            phi = q.features(np.array([r[0] for r in kept if r[1] == a]))
+            n = len(phi)
+            moments = phi.T @ phi / n + np.diag([1e-6] * 100 + [0.0])
+            fresh[a] = np.linalg.pinv(moments, hermitian=True) @ (phi.T @ np.array([t for t, r in zip(target, kept) if r[1] == a])) / n
+        weights = fresh
+    probe = np.array([[0.3, 0.4], [-1.0, 1.5]])
+    assert q.of(probe) == pytest.approx(q.features(probe) @ weights.T, abs=1e-3)
+    save_artifact(q, spark, str(tmp_path / "q"))
+    loaded = load_artifact(spark, str(tmp_path / "q"))
+    assert loaded == q
+    valued = df.select("state", loaded.values("state").alias("q")).collect()
+    assert all((r["q"] is None) == (r["state"] is None or None in r["state"]) for r in valued)
+    assert valued[0]["q"] == pytest.approx(q.of(np.array([valued[0]["state"]]))[0].tolist())

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -143,3 +144,132 @@ def _linear_q(weights: np.ndarray) -> LinearQ:
     return LinearQ(
         tuple(tuple(float(x) for x in row[:-1]) for row in weights), tuple(float(row[-1]) for row in weights)
     )
+
+
+@dataclass(frozen=True)
+class RandomFeatureQ:
+    """Action values linear in random cosine features of the state (Rahimi and Recht 2007), which approximate a Gaussian kernel."""
+
+    directions: tuple[tuple[float, ...], ...]
+    offsets: tuple[float, ...]
+    weights: tuple[tuple[float, ...], ...]
+
+    def features(self, states: np.ndarray) -> np.ndarray:
+        """One row of features per state, the constant last."""
+        waves = np.cos(states @ np.array(self.directions).T + np.array(self.offsets)) * math.sqrt(2 / len(self.offsets))
+        return np.column_stack([waves, np.ones(len(states))])
+
+    def of(self, states: np.ndarray) -> np.ndarray:
+        """One row of action values per state."""
+        return self.features(states) @ np.array(self.weights).T
+
+    def values(self, state: str) -> Column:
+        """``array<double>`` of the action values; null for a state with a missing value."""
+        width = len(self.directions[0])
+
+        @F.arrow_udf("array<double>")
+        def valued(states: pa.Array) -> pa.Array:
+            return _listed(self.of(_states(states, width)))
+
+        known = F.col(state).isNotNull() & F.forall(state, lambda x: x.isNotNull() & ~F.isnan(x))
+        blank = F.array_repeat(F.lit(0.0), width)
+        return F.when(known, valued(F.when(known, F.col(state)).otherwise(blank)))
+
+
+def _states(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+
+
+def _listed(rows: np.ndarray) -> pa.Array:
+    ends = pa.array(np.arange(0, rows.size + 1, rows.shape[1]), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(rows).ravel()))
+
+
+def _block_sums(rows: DataFrame, blocks) -> dict[int, tuple[int, np.ndarray]]:
+    """Per action the number of rows and the sum of ``blocks(batch)`` over them.
+
+    ``blocks`` gives a matrix per action of a batch; a task adds its matrices
+    up, and one group per action adds those of the tasks, so the driver receives
+    one matrix per action.
+    """
+    schema = "action int, n long, total binary"
+
+    def packed(sums: dict[int, tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {
+                "action": pa.array(list(sums), pa.int32()),
+                "n": pa.array([n for n, _ in sums.values()], pa.int64()),
+                "total": pa.array([m.astype("<f8").tobytes() for _, m in sums.values()], pa.binary()),
+            }
+        )
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, tuple[int, np.ndarray]] = {}
+        for batch in batches:
+            for action, n, matrix in blocks(batch):
+                so_far, total = sums.get(action, (0, 0.0))
+                sums[action] = so_far + n, total + matrix
+        yield packed(sums)
+
+    def together(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(t, "<f8") for t in table["total"].to_pylist())
+        return pa.Table.from_batches([packed({table["action"][0].as_py(): (sum(table["n"].to_pylist()), total)})])
+
+    summed = rows.mapInArrow(task, schema).groupBy("action").applyInArrow(together, schema)
+    return {r["action"]: (r["n"], np.frombuffer(r["total"], "<f8")) for r in summed.collect()}
+
+
+def fitted_random_feature_q(
+    transitions: DataFrame,
+    width: int,
+    features: int = 64,
+    scale: float = 1.0,
+    iterations: int = EPISODES,
+    actions: int = ACTIONS,
+    gamma: float = GAMMA,
+    regularisation: float = 1e-6,
+    seed: int = 42,
+) -> RandomFeatureQ:
+    """Fitted Q-iteration with action values that need not be linear in the state.
+
+    ``scale`` is the distance of states over which values may change.  The
+    products of the features are summed once, those with the targets once per
+    round; an action never taken keeps zero values.
+    """
+    random = np.random.default_rng(seed)
+    directions = random.normal(0, 1 / scale, (features, width))
+    offsets = random.uniform(0, 2 * math.pi, features)
+
+    def model(weights: np.ndarray) -> RandomFeatureQ:
+        return RandomFeatureQ(tuple(map(tuple, directions.tolist())), tuple(offsets.tolist()), tuple(map(tuple, weights.tolist())))
+
+    weights = np.zeros((actions, features + 1))
+    q = model(weights)
+    known = F.col("action").between(0, actions - 1)
+    for state in ("state", "next_state"):
+        known &= F.col(state).isNotNull() & F.forall(state, lambda x: x.isNotNull() & ~F.isnan(x))
+    frozen = materialise(
+        transitions.where(known & F.col("reward").isNotNull()).select("state", F.col("action").cast("int").alias("action"), F.col("reward").cast("double").alias("reward"), "next_state", "done"),
+        "transitions",
+    )
+
+    def by_action(batch: pa.RecordBatch, made):
+        taken = batch.column("action").to_numpy(zero_copy_only=False)
+        for action in np.unique(taken):
+            part = batch.filter(pa.array(taken == action))
+            yield int(action), len(part), made(q.features(_states(part.column("state"), width)), part)
+
+    moments = _block_sums(frozen, lambda batch: by_action(batch, lambda phi, _: phi.T @ phi))
+    penalty = np.diag([regularisation] * features + [0.0])
+    inverses = {a: np.linalg.pinv(m.reshape(features + 1, -1) / n + penalty, hermitian=True) / n for a, (n, m) in moments.items()}
+    for _ in range(iterations):
+        current = model(weights)
+
+        def products(phi: np.ndarray, part: pa.RecordBatch, current: RandomFeatureQ = current) -> np.ndarray:
+            done = part.column("done").to_numpy(zero_copy_only=False).astype(bool)
+            onward = gamma * current.of(_states(part.column("next_state"), width)).max(1)
+            return phi.T @ (part.column("reward").to_numpy() + np.where(done, 0.0, onward))
+
+        for action, (_, total) in _block_sums(frozen, lambda batch, made=products: by_action(batch, made)).items():
+            weights[action] = inverses[action] @ total
+    return model(weights)

@@ -492,3 +492,29 @@ def h7_fitted_q(spark, sf_dir):
     valued = orders.withColumn("q", q)
     greedy = Q.epsilon_greedy(F.col("q"), 0.0, ["o_orderkey"])
     return valued.select("o_orderkey", greedy.alias("greedy_action"), *[F.round(F.col("q")[i], 4).alias(f"q{i}") for i in range(3)])
+
+
+# rewards of the three actions in waves of the price, which no linear model fits
+_WAVES = ("0.3", "sin(2 * x)", "cos(3 * x)")
+
+
+@query(
+    "h7_fitted_q_nonlinear",
+    f"""WITH s AS (SELECT o_orderkey, o_totalprice / 100000.0::DOUBLE AS x FROM orders),
+        q AS (SELECT o_orderkey, [{", ".join(f"({w})::DOUBLE" for w in _WAVES)}] AS q FROM s)
+        SELECT o_orderkey, CAST(list_position(q, list_max(q)) - 1 AS INTEGER) AS greedy_action FROM q
+        WHERE list_max(q) - list_sort(q)[2] > 0.1""",
+)
+def h7_fitted_q_nonlinear(spark, sf_dir):
+    """Action values in random features of the state, fitted to all orders; every order with a clear best action gets it."""
+    x = F.col("o_totalprice").cast("double") / 100_000.0
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", x.alias("x"))
+    rewards = F.array(*[F.expr(w).cast("double") for w in _WAVES])
+    valued = orders.withColumns({"state": F.array("x"), "rewards": rewards, "action": (F.col("o_custkey") % 3).cast("int")})
+    seen = valued.select(
+        "state", "action", F.col("rewards")[F.col("action")].alias("reward"), F.array(F.lit(0.0)).alias("next_state"), F.lit(True).alias("done")
+    )
+    q = Q.fitted_random_feature_q(seen, 1, iterations=1, scale=0.5)
+    best = F.array_sort("rewards")
+    clear = valued.where(best[2] - best[1] > 0.1).withColumn("q", q.values("state"))
+    return clear.select("o_orderkey", Q.epsilon_greedy(F.col("q"), 0.0, ["o_orderkey"]).alias("greedy_action"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.boosting import NODE_SCHEMA, BoostedModel, Trees
-from tidemark.operators.qlearning import LinearQ
+from tidemark.operators.qlearning import LinearQ, RandomFeatureQ
 from tidemark.operators.registry import INITIAL_STAGE, latest_in_stage
 from tidemark.operators.scoring import ForeignModel
 from tidemark.session import path_exists
@@ -24,7 +24,7 @@ EVENT_SCHEMA = "name string, version bigint, stage string, event_seq bigint, uri
 _ABOUT_SCHEMA = "kind string, about string"
 
 # anything the registry holds: boosted trees, any pipeline, action values, models from outside Spark
-Model = BoostedModel | PipelineModel | LinearQ | ForeignModel
+Model = BoostedModel | PipelineModel | LinearQ | RandomFeatureQ | ForeignModel
 
 
 class ModelNotFound(LookupError):
@@ -54,6 +54,8 @@ def save_artifact(model: Model, spark: SparkSession, uri: str) -> None:
         pipeline, kind, about = model, "pipeline", {}
     elif isinstance(model, LinearQ):
         kind, about = "linear_q", asdict(model)
+    elif isinstance(model, RandomFeatureQ):
+        kind, about = "random_feature_q", asdict(model)
     elif isinstance(model, ForeignModel):
         kind, about = "foreign", asdict(model)
     else:
@@ -69,6 +71,8 @@ def load_artifact(spark: SparkSession, uri: str) -> Model:
     about = json.loads(row["about"])
     if row["kind"] == "linear_q":
         return LinearQ(tuple(map(tuple, about["weights"])), tuple(about["intercepts"]))
+    if row["kind"] == "random_feature_q":
+        return RandomFeatureQ(tuple(map(tuple, about["directions"])), tuple(about["offsets"]), tuple(map(tuple, about["weights"])))
     if row["kind"] == "foreign":
         return ForeignModel(tuple(about["features"]), about["loader"], about["settings"])
     if row["kind"] == "pipeline":
