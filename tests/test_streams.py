@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.drift import ks_against_counts, ks_against_steps, locate, reference_counts, reference_steps
 from tidemark.operators.scoring import ForeignModel
+from tidemark.sources.metrics import read_gauges
 from tidemark.sources.models import register_model, transition_stage
 from tidemark.streaming.quality import quality_by_window, quality_counts, quality_stream, with_truth
 from tidemark.streaming.scoring import score_stream_by_stage
+from tidemark.streaming.traffic import gauge_stream
 
 
 @pytest.fixture(scope="module")
@@ -128,3 +130,25 @@ def test_a_promotion_changes_later_rows_only(spark, tmp_path):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
     score_stream_by_stage(stream, ["k"], root, "m", "Production", out, str(tmp_path / "older")).awaitTermination()
     assert spark.read.schema(schema_out).parquet(f"{out}/batch=*").count() == before
+
+
+def test_open_requests_end_expire_and_wait_for_their_start(spark, tmp_path):
+    schema = "id int, event string, kind string, at long"
+    batches = [
+        [(1, "start", "a", 0), (2, "start", "a", 10), (3, "start", "b", 20), (4, "start", "b", 30), (4, "end", "b", 45)],
+        [(1, "end", "a", 60), (5, "end", "a", 70), (6, "start", "a", 80)],
+        [(5, "start", "a", 65), (7, "start", "b", 500), (3, "end", "b", 501)],
+    ]
+    source, counts, path, state = (str(tmp_path / n) for n in ("in", "counts", "gauges", "state"))
+    seen = []
+    for rows in batches:
+        frame = spark.createDataFrame(rows, schema).withColumn("at", F.timestamp_seconds(F.col("at") + 1_700_000_000))
+        frame.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(frame.schema).parquet(source)
+        gauge_stream(stream, "id", "event", "kind", "at", [20, 100], "r", counts, path, state, timeout=300).awaitTermination()
+        seen.append({r["metric"]: r["value"] for r in read_gauges(spark, path).collect()})
+    assert (seen[0]["a_in_progress"], seen[0]["b_in_progress"], seen[0]["b_latency_le_20"]) == (2, 1, 1)
+    assert (seen[1]["a_in_progress"], seen[1]["a_latency_le_20"], seen[1]["a_latency_le_100"]) == (2, 0, 1)
+    # the late start of 5 meets its end; 2 and 6 have run out of time once the clock has passed 300 seconds more
+    assert (seen[2]["a_requests_total"], seen[2]["a_latency_le_20"], seen[2]["a_expired_total"], seen[2]["a_in_progress"]) == (4, 1, 2, 0)
+    assert seen[2]["b_requests_total"] == 3 and seen[2]["b_in_progress"] + seen[2]["b_expired_total"] + seen[2]["b_latency_le_inf"] == 3

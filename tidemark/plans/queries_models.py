@@ -25,9 +25,11 @@ from tidemark.plans.inputs import (
 )
 from tidemark.plans.jobs import prepare_series
 from tidemark.session import materialise, scratch_path
+from tidemark.sources.metrics import read_gauges
 from tidemark.sources.models import load_model, register_model, transition_stage
 from tidemark.streaming.drift import drift_stream
 from tidemark.streaming.quality import quality_by_window, quality_stream
+from tidemark.streaming.traffic import gauge_stream
 from tidemark.streaming.scoring import read_request_stream, score_stream, score_stream_by_stage
 
 # the training queries fit on an exact seeded sample of at most so many labelled rows, and score every row
@@ -438,6 +440,39 @@ def s3_in_progress(spark, sf_dir):
     return W.in_progress(log, "event_type", "start", "end")
 
 
+# every tenth request never ends; the others last as many minutes as their value
+_ENDS = "event_id % 10 <> 0"
+
+
+@query(
+    "s3_gauges_stream",
+    f"""WITH g AS (SELECT event_type AS kind, count(*) AS opened, count(*) FILTER ({_ENDS}) AS ended,
+                          {", ".join(f"count(*) FILTER ({_ENDS} AND floor(value * 60) <= {60 * b}) AS le_{i}" for i, b in enumerate(_BOUNDS))}
+                   FROM events GROUP BY 1)
+        SELECT concat(kind, '_in_progress') AS metric, (opened - ended)::DOUBLE AS value FROM g
+        UNION ALL SELECT concat(kind, '_requests_total'), opened FROM g UNION ALL SELECT concat(kind, '_expired_total'), 0 FROM g
+        UNION ALL SELECT concat(kind, '_latency_le_inf'), ended FROM g
+        {" ".join(f"UNION ALL SELECT concat(kind, '_latency_le_{60 * b}'), le_{i} FROM g" for i, b in enumerate(_BOUNDS))}""",
+)
+def s3_gauges_stream(spark, sf_dir):
+    """Starts and ends of requests as a stream of several files; the gauges after the last."""
+    events = table(spark, sf_dir, "events").withColumn("start", F.date_trunc("second", F.col("ts").cast("timestamp")))
+    last = F.timestamp_seconds(F.unix_seconds("start") + F.floor(F.col("value") * 60))
+    both = F.array(
+        F.struct(F.lit("start").alias("event"), F.col("start").alias("at")),
+        F.struct(F.lit("end").alias("event"), F.when(F.expr(_ENDS), last).alias("at")),
+    )
+    rows = events.select("event_id", "event_type", F.inline(both)).where("at IS NOT NULL")
+    source, gauges_path = scratch_path(spark, "request-events"), scratch_path(spark, "request-gauges")
+    _arrive(rows, "at", source, 3)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    gauge_stream(
+        stream, "event_id", "event", "event_type", "at", [60 * b for b in _BOUNDS], "requests",
+        scratch_path(spark, "request-counts"), gauges_path, scratch_path(spark, "request-state"), timeout=10**9,
+    ).awaitTermination()
+    return read_gauges(spark, gauges_path).select("metric", "value")
+
+
 @query(
     "s4_request_rate_5m",
     """WITH s AS (SELECT event_type, CAST(floor(epoch(ts)) AS BIGINT) AS epoch_s, count(*) AS n FROM events GROUP BY 1, 2),
