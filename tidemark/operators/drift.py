@@ -22,7 +22,7 @@ from tidemark.functions.columns import column
 from tidemark.functions.decisions import DRIFT_LEVEL, drift_flag
 from tidemark.functions.kolmogorov import ks_law, ks_p_value
 from tidemark.operators.ordering import PART, Running, lay_out
-from tidemark.session import materialise, scratch_path
+from tidemark.session import materialise, scratch_path, scratch_scope
 
 
 def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -194,14 +194,15 @@ def reference_steps(reference: DataFrame, value: str) -> ReferenceSteps:
     The table is one of the application's catalog, its files lie in the scratch folder.
     """
     spark = reference.sparkSession
-    steps = lay_out(reference_counts(reference, value), ["x"]).with_running(upto=Running("sum", F.col("at"))).frozen()
-    edges = steps.df.groupBy(PART).agg(F.min("x").alias("least"), F.max("upto").alias("upto")).orderBy(PART).collect()
-    # ranges without rows are left out, so that ranges and buckets agree
-    numbers = {r[PART]: i for i, r in enumerate(edges)}
-    numbered = steps.df.withColumn("range", F.element_at(F.create_map(*[F.lit(x) for kv in numbers.items() for x in kv]), F.col(PART))) if numbers else steps.df.withColumn("range", F.lit(0))
-    name = f"reference_steps_{uuid.uuid4().hex}"
-    writer = numbered.select("range", "x", "at", "upto").write.bucketBy(max(1, len(edges)), "range").sortBy("x")
-    writer.option("path", scratch_path(spark, "reference-steps")).format("parquet").saveAsTable(name)
+    name, path = f"reference_steps_{uuid.uuid4().hex}", scratch_path(reference.sparkSession, "reference-steps")
+    with scratch_scope(spark):
+        steps = lay_out(reference_counts(reference, value), ["x"]).with_running(upto=Running("sum", F.col("at"))).frozen()
+        edges = steps.df.groupBy(PART).agg(F.min("x").alias("least"), F.max("upto").alias("upto")).orderBy(PART).collect()
+        # ranges without rows are left out, so that ranges and buckets agree
+        ranges = F.array(*[F.lit(r[PART]) for r in edges]).cast("array<int>")
+        numbered = steps.df.select((F.array_position(ranges, F.col(PART)) - 1).cast("int").alias("range"), "x", "at", "upto")
+        writer = numbered.write.bucketBy(max(1, len(edges)), "range").sortBy("x")
+        writer.option("path", path).format("parquet").saveAsTable(name)
     return ReferenceSteps(name, tuple(r["least"] for r in edges), edges[-1]["upto"] if edges else 0)
 
 
