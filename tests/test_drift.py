@@ -114,3 +114,32 @@ def test_gauges_are_named_per_feature(spark):
     tests = K.drift_test(_frame(spark, [1, 2], "sepal-length"), _frame(spark, [1, 3], "sepal-length"), ["sepal-length"])
     got = {r.metric: r.value for r in K.drift_gauges(tests, "job").collect()}
     assert got == pytest.approx({"sepal_length_ks_statistic": 0.5, "sepal_length_p_value": 1.0})
+
+
+@pytest.mark.parametrize("accuracy", [0.3, 0.01, 0.001])
+def test_sketches_stay_within_their_bound_and_size(spark, accuracy):
+    rng = random.Random(9)
+    draw = {"near": lambda: rng.gauss(0, 1), "far": lambda: rng.gauss(1, 2), "huge": lambda: rng.choice([1e15, -1e15, float("inf"), 1e-12, 0.0, -0.0, 3.0])}
+    reference = [rng.gauss(0, 1) for _ in range(4000)] + [1e14, 0.0]
+    rows = [(hour * 3600 + i, draw[name]()) for hour, name in enumerate(draw) for i in range(1500)]
+    production = spark.createDataFrame(rows, "at long, `v.x` double").select(F.timestamp_seconds("at").alias("at"), "`v.x`")
+    gone = production.limit(3).withColumn("v.x", F.lit(None).cast("double"))
+    frame = _frame(spark, [*reference, None, float("nan")], "v.x")
+    got = K.ks_by_window_sketched(frame, production.unionByName(gone), "v.x", "at", "1 hour", accuracy).orderBy("window_start").collect()
+    assert len(got) == 3
+    for hour, row in enumerate(got):
+        exact = _statistic(reference, [v for at, v in rows if at // 3600 == hour])
+        assert row["statistic"] - 1e-9 <= exact <= row["statistic"] + row["error_bound"] + 1e-9
+        assert row["n2"] == 1500
+    if accuracy == 0.01:
+        assert got[0]["error_bound"] < 0.03
+    buckets = production.select(K.value_bucket(F.col("`v.x`"), accuracy).alias("b"), "`v.x`")
+    assert buckets.select("b").distinct().count() <= K.sketch_buckets(accuracy)
+    ordered = [r["b"] for r in buckets.where("`v.x` is not null").orderBy("`v.x`").collect()]
+    assert ordered == sorted(ordered)
+
+
+def test_every_value_has_one_of_a_bounded_number_of_buckets(spark):
+    values = [s * 10.0**e * m for s in (1, -1) for e in range(-14, 16) for m in (1.0, 1.7, 2.9, 4.1, 5.3, 9.9)]
+    buckets = {r[0] for r in _frame(spark, values).select(K.value_bucket(F.col("v"), 0.3)).collect()}
+    assert len(buckets) <= K.sketch_buckets(0.3) < 170

@@ -12,6 +12,7 @@ from tidemark.operators.drift import ks_against_counts, ks_against_steps, locate
 from tidemark.operators.scoring import ForeignModel
 from tidemark.sources.metrics import read_gauges
 from tidemark.sources.models import register_model, transition_stage
+from tidemark.streaming.drift import drift_stream
 from tidemark.streaming.quality import quality_by_window, quality_counts, quality_stream, with_truth
 from tidemark.streaming.scoring import score_stream_by_stage
 from tidemark.streaming.traffic import gauge_stream
@@ -152,3 +153,23 @@ def test_open_requests_end_expire_and_wait_for_their_start(spark, tmp_path):
     # the late start of 5 meets its end; 2 and 6 have run out of time once the clock has passed 300 seconds more
     assert (seen[2]["a_requests_total"], seen[2]["a_latency_le_20"], seen[2]["a_expired_total"], seen[2]["a_in_progress"]) == (4, 1, 2, 0)
     assert seen[2]["b_requests_total"] == 3 and seen[2]["b_in_progress"] + seen[2]["b_expired_total"] + seen[2]["b_latency_le_inf"] == 3
+
+
+def test_a_sketched_stream_bounds_its_error(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(1_704_067_200 + i * 10, rng.gauss(i // 90 % 2, 1)) for i in range(720)]
+    frame = spark.createDataFrame(rows, "at long, v double").select(F.timestamp_seconds("at").alias("ts"), "v")
+    source, reference = str(tmp_path / "in"), [rng.gauss(0, 1) for _ in range(500)]
+    for half in range(2):
+        frame.where((F.col("ts") >= F.timestamp_seconds(F.lit(rows[360][0]))) == F.lit(bool(half))).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    known, out = spark.createDataFrame([(v,) for v in reference], "v double"), str(tmp_path / "out")
+    drift_stream(stream, known, "v", "ts", out, str(tmp_path / "state"), accuracy=0.01).awaitTermination()
+    got = spark.read.parquet(f"{out}/batch=*").withColumn("at", F.unix_seconds("window_start")).collect()
+    assert len(got) >= 6
+    for row in got:
+        mine = sorted(v for at, v in rows if row["at"] <= at < row["at"] + 900)
+        points = sorted([*mine, *reference])
+        other = sorted(reference)
+        exact = max(abs(bisect.bisect_right(mine, x) / len(mine) - bisect.bisect_right(other, x) / len(other)) for x in points)
+        assert row["statistic"] - 1e-9 <= exact <= row["statistic"] + row["error_bound"] + 1e-9 and row["error_bound"] < 0.1

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import traffic as W
 from tidemark.operators.boosting import BINARY, train_binary, train_multiclass
-from tidemark.operators.drift import ks_by_window, window_value_counts
+from tidemark.operators.drift import ks_by_window, ks_by_window_sketched, window_value_counts
 from tidemark.operators.evaluation import early_stop_round
 from tidemark.operators.requests import parse_requests
 from tidemark.operators.scoring import ForeignModel, score_batch, score_foreign, score_requests
@@ -302,6 +302,21 @@ def s1_drift_by_window(spark, sf_dir):
     return _drift_shown(ks_by_window(reference, "value", window_value_counts(events, "value", "ts", "6 hours")))
 
 
+@query(
+    "s1_drift_sketch",
+    "SELECT strftime(time_bucket(INTERVAL '6 hours', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n2, true AS within FROM events GROUP BY 1",
+)
+def s1_drift_sketch(spark, sf_dir):
+    """Sketched windows beside exact ones: whether the exact statistic lies within the sketch's bound."""
+    events = table(spark, sf_dir, "events").select("ts", "event_type", "value")
+    reference = events.filter(F.col("event_type") == "view")
+    exact = ks_by_window(reference, "value", window_value_counts(events, "value", "ts", "6 hours"))
+    sketched = ks_by_window_sketched(reference, events, "value", "ts", "6 hours")
+    both = sketched.join(exact.select("window_start", F.col("statistic").alias("exact")), "window_start")
+    within = F.col("exact").between(F.col("statistic") - 1e-9, F.col("statistic") + F.col("error_bound") + 1e-9)
+    return both.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n2", within.alias("within"))
+
+
 @query(
     "s1_drift_stream",
     _drift_sql(
