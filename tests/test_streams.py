@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.drift import ks_against_counts, ks_against_steps, locate, reference_counts, reference_steps
+from tidemark.operators.evaluation import alert_lifecycle
 from tidemark.operators.scoring import ForeignModel
 from tidemark.sources.metrics import read_gauges
 from tidemark.sources.models import register_model, transition_stage
+from tidemark.streaming.alerts import alert_stream, latest_alerts
 from tidemark.streaming.drift import drift_stream
 from tidemark.streaming.quality import quality_by_window, quality_counts, quality_stream, with_truth
 from tidemark.streaming.scoring import score_stream_by_stage
@@ -173,3 +175,35 @@ def test_a_sketched_stream_bounds_its_error(spark, tmp_path):
         other = sorted(reference)
         exact = max(abs(bisect.bisect_right(mine, x) / len(mine) - bisect.bisect_right(other, x) / len(other)) for x in points)
         assert row["statistic"] - 1e-9 <= exact <= row["statistic"] + row["error_bound"] + 1e-9 and row["error_bound"] < 0.1
+
+
+@pytest.mark.parametrize("hold", [1, 3])
+def test_streamed_alerts_equal_the_batch(spark, tmp_path, hold):
+    """Equal times, missing values and keys, disorder within the watermark, a restart: the alerts of the batch form."""
+    rng, rows = random.Random(7), []
+    for job, metric, n in (("a", "x_p", 240), (None, "x_p", 60), ("b", "y_q", 60), ("other", "z", 9)):
+        for i in range(n):
+            value = rng.choice([0.1, 0.2, 0.9, 7.0, 8.0, 9.0, None, float("nan")])
+            rows.append((job, metric, 1_700_000_000 + 30 * (i // 2), value, i))
+    schema = "job string, metric string, at long, value double, note int"
+    frame = spark.createDataFrame(rows, schema).withColumn("at", F.timestamp_seconds("at"))
+    limits = {"_p": ("above", 5), "_q": ("below", 0.3)}
+    want = {tuple(r) for r in alert_lifecycle(frame, limits, hold).select("job", "metric", "rule", "opened_at", "resolved_at", "observations", "worst").collect()}
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    jitter = 60 * 3
+    parts = [[], [], []]
+    for row in rows:
+        parts[min(2, max(0, (row[2] + rng.randint(-jitter, jitter) - 1_700_000_000) // 1200))].append(row)
+    parts.append([("b", "z_q", 1_700_100_000, 9.0, 0)])
+    for number, part in enumerate(parts):
+        rng.shuffle(part)
+        arrived = spark.createDataFrame(part, schema).withColumn("at", F.timestamp_seconds("at"))
+        arrived.coalesce(1).write.mode("append").parquet(source)
+        if number in (1, 3):  # two files in one run, then a restart with the others
+            stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(source)
+            alert_stream(stream, limits, out, state, hold, watermark="10 minutes").awaitTermination()
+    changes = spark.read.parquet(f"{out}/batch=*")
+    latest = latest_alerts(changes).select("job", "metric", "rule", "opened_at", "resolved_at", "observations", "worst")
+    assert {tuple(r) for r in latest.collect()} == want and len(want) > 8
+    # an alert that outlives a micro-batch is told of more than once
+    assert changes.count() >= len(want)

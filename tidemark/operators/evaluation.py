@@ -171,6 +171,13 @@ def _rule(limits: dict[str, tuple[str, float]]) -> tuple[Column, Column]:
     return rule, past
 
 
+def observations(history: DataFrame, limits: dict[str, tuple[str, float]]) -> DataFrame:
+    """The gauge rows that a rule applies to and that have a value, with ``_rule`` and ``_past``; batch and stream."""
+    rule, past = _rule(limits)
+    seen = history.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumns({"_rule": rule, "_past": past})
+    return seen.where(F.col("_rule").isNotNull())
+
+
 def alert_lifecycle(
     history: DataFrame, limits: dict[str, tuple[str, float]], hold: int = 1, at: str = "at", by: Sequence[str] = ("job", "metric")
 ) -> DataFrame:
@@ -181,9 +188,7 @@ def alert_lifecycle(
     say nothing and are left out.  Streaks are found by running maxima in the
     ordered layout, so a gauge with very many observations is no single task's.
     """
-    rule, past = _rule(limits)
-    seen = history.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumns({"_rule": rule, "_past": past})
-    laid = lay_out(seen.where(F.col("_rule").isNotNull()), [at], by=by).with_position("_place")
+    laid = lay_out(observations(history, limits), [at], by=by).with_position("_place")
     # the last observation within the limit, before and up to each
     fine = F.when(~F.col("_past"), F.col("_place"))
     streaks = laid.with_running(_fine=Running("max", fine), _before=Running("max", fine, exclusive=True)).rows()

@@ -27,6 +27,7 @@ from tidemark.plans.jobs import prepare_series
 from tidemark.session import materialise, scratch_path
 from tidemark.sources.metrics import read_gauges
 from tidemark.sources.models import load_model, register_model, transition_stage
+from tidemark.streaming.alerts import alert_stream, latest_alerts
 from tidemark.streaming.drift import drift_stream
 from tidemark.streaming.quality import quality_by_window, quality_stream
 from tidemark.streaming.traffic import gauge_stream
@@ -488,6 +489,35 @@ def s3_gauges_stream(spark, sf_dir):
     return read_gauges(spark, gauges_path).select("metric", "value")
 
 
+@query(
+    "k2_alert_stream",
+    """WITH g AS (SELECT event_type AS job, epoch_us(ts) AS "at", value, value > 60 AS past,
+                         row_number() OVER w AS place FROM events WHERE value IS NOT NULL WINDOW w AS (PARTITION BY event_type ORDER BY ts)),
+       s AS (SELECT *, place - coalesce(max(CASE WHEN NOT past THEN place END) OVER (PARTITION BY job ORDER BY place), 0) AS streak,
+                    coalesce(max(CASE WHEN NOT past THEN place END) OVER (PARTITION BY job ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS island FROM g)
+       SELECT job, '_value above 60' AS rule, min("at") FILTER (past AND streak = 3) AS opened_us,
+              max("at") FILTER (NOT past) AS resolved_us, count(*) FILTER (past) AS observations, max(value) FILTER (past) AS worst
+       FROM s GROUP BY job, island HAVING min("at") FILTER (past AND streak = 3) IS NOT NULL""",
+)
+def k2_alert_stream(spark, sf_dir):
+    """Every event as an observation of its type's gauge, as a stream of several files; the alerts after the last."""
+    history = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("job"), F.concat("event_type", F.lit("_value")).alias("metric"), F.col("ts").cast("timestamp").alias("at"), "value"
+    )
+    source, out = scratch_path(spark, "gauge-files"), scratch_path(spark, "alert-changes")
+    _arrive(history, "at", source, 3)
+    # a last observation of another gauge, a day on, lets the watermark pass all others
+    end = history.agg(F.max("at") + F.expr("INTERVAL 1 DAY")).first()[0]
+    last = spark.range(1).select(F.lit("end").alias("job"), F.lit("end_value").alias("metric"), F.lit(end).alias("at"), F.lit(0.0).alias("value"))
+    last.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(history.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    alert_stream(stream, {"_value": ("above", 60)}, out, scratch_path(spark, "alert-state"), hold=3).awaitTermination()
+    schema = "job string, metric string, rule string, alert long, opened_at timestamp, resolved_at timestamp, observations long, worst double"
+    latest = latest_alerts(spark.read.schema(schema).parquet(f"{out}/batch=*"))
+    times = (F.unix_micros(c).alias(c.replace("_at", "_us")) for c in ("opened_at", "resolved_at"))
+    return latest.select("job", "rule", *times, "observations", "worst")
+
+
 @query(
     "s4_request_rate_5m",
     """WITH s AS (SELECT event_type, CAST(floor(epoch(ts)) AS BIGINT) AS epoch_s, count(*) AS n FROM events GROUP BY 1, 2),
