@@ -237,3 +237,23 @@ def test_field_paths(spark):
 def test_chat_of_an_empty_table(spark):
     table = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.formatted(chat.canonical_turns(chat.records_of_turns(table))).count() == 0
+
+
+def test_conversations_longer_than_a_block_and_clashing_names(spark):
+    """Lengths around the block's edges; columns of the operator's own names pass through or are replaced."""
+    rows = [(n, t, ("user", "assistant")[t % 3 == 0], NASTY[(n + t) % len(NASTY)]) for n in (1, 255, 256, 257, 700) for t in range(n)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    records = chat.records_of_turns(table).withColumns({c: F.lit("own") for c in ("_parts", "_paths", "_found", "_LOCAL", "turns", "formatted")})
+    out = chat.formatted(chat.canonical_turns(records))
+    got = out.select("*", chat.read_back().alias("back"), chat.read_loss().alias("loss")).collect()
+    assert len(got) == 5
+    for r in got:
+        turns = [(role, text or "") for c, _, role, text in rows if c == r["conv_id"]]
+        assert [(t["role"], t["text"]) for t in r["back"]] == turns
+        assert r["loss"] == "".join(text for role, text in turns if role == "assistant")
+        assert len(r["loss_spans"]) == sum(role == "assistant" for role, _ in turns)
+        assert all(s["start"] <= s["end"] <= len(r["formatted"]) for s in r["loss_spans"])
+        assert {r[c] for c in ("_parts", "_paths", "_found", "_LOCAL")} == {"own"}
+    unknown = spark.createDataFrame([(1, '{"x": 1}')], "id int, line string").select("id", F.try_parse_json("line").alias("record"))
+    bare = chat.formatted(chat.canonical_turns(unknown)).first()
+    assert (bare["formatted"], bare["loss_spans"]) == (None, None)

@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import fresh
+
 TURNS = "array<struct<role:string,text:string>>"
 ROOT_PATH = "$"
 _STEP = "struct<stack:array<string>,paths:array<string>>"
@@ -103,6 +105,8 @@ LAYOUTS = (
 CONTROL = r"/?s>|/?SYS>|/?INST\]|/?ROLE\]|\|(?:im_start|im_end|endoftext|user|assistant|system)\|>"
 _ESCAPE = rf"([<\[])(\\*)({CONTROL})"
 _UNESCAPE = rf"([<\[])\\(\\*)({CONTROL})"
+# turns of a conversation that are measured and cut at a time
+BLOCK = 256
 BEGIN, ROLE, END_ROLE, END = "<s>", "[ROLE]", "[/ROLE]\n", "</s>\n"
 
 
@@ -150,13 +154,17 @@ def _layout_name(paths: Column, layouts: tuple[Layout, ...]) -> Column:
 
 
 def canonical_turns(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """``records`` with ``fingerprint``, ``layout`` (null if unknown) and ``turns``."""
-    named = records.withColumn("_paths", field_paths(F.col(record)))
-    named = named.withColumn("fingerprint", fingerprint(F.col("_paths"))).withColumn("layout", _layout_name(F.col("_paths"), layouts))
+    """``records`` with ``fingerprint``, ``layout`` (null if unknown) and ``turns``.
+
+    Columns of these names are replaced; any others pass through.
+    """
+    paths = fresh(records, "_paths")
+    named = records.withColumn(paths, field_paths(F.col(record)))
+    named = named.withColumn("fingerprint", fingerprint(F.col(paths))).withColumn("layout", _layout_name(F.col(paths), layouts))
     turns = F.lit(None).cast(TURNS)
     for layout in layouts:
         turns = F.when(F.col("layout") == layout.name, layout.turns(F.col(record))).otherwise(turns)
-    return named.withColumn("turns", turns).drop("_paths")
+    return named.withColumn("turns", turns).drop(paths)
 
 
 def escape(text: Column) -> Column:
@@ -168,8 +176,47 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, F.lit(_UNESCAPE), F.lit("$1$2$3"))
 
 
+def _blocks(items: Column) -> Column:
+    """``items`` in blocks of ``BLOCK``; the last may be empty.
+
+    Work that grows with the square of a list's length, as appending and counting
+    characters from a text's start do, is done within blocks and across them.
+    """
+    numbers = F.sequence(F.lit(0), (F.size(items) / BLOCK).cast("int"))
+    return F.when(items.isNotNull(), F.transform(numbers, lambda i: F.slice(items, i * BLOCK + 1, F.lit(BLOCK))))
+
+
+def _with_spans(df: DataFrame, sizes: Column, name: str) -> DataFrame:
+    """Add the spans of the parts that carry loss, given each part's ``head``, ``body`` and ``loss``."""
+    local, starts, found = (fresh(df, n) for n in ("_local", "_starts", "_found"))
+    kind = "struct<at:bigint,spans:array<struct<start:bigint,end:bigint>>>"
+
+    def step(state: Column, part: Column) -> Column:
+        start = state["at"] + part["head"]
+        end = start + part["body"]
+        spans = F.when(part["loss"], F.array_append(state["spans"], F.struct(start.alias("start"), end.alias("end"))))
+        return F.struct((end + len(END)).alias("at"), F.coalesce(spans, state["spans"]).alias("spans")).cast(kind)
+
+    def following(known: Column, block: Column) -> Column:
+        return F.array_append(known, F.element_at(known, -1) + block["at"])
+
+    def shifted(block: Column, place: Column) -> Column:
+        start = F.get(F.col(starts), place)
+        return F.transform(block["spans"], lambda s: F.struct((start + s["start"]).alias("start"), (start + s["end"]).alias("end")))
+
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")).cast(kind)
+    first = F.array(F.lit(0).cast("long"))
+    sized = df.withColumn(found, sizes)
+    walked = sized.withColumn(local, F.transform(_blocks(F.col(found)), lambda block: F.aggregate(block, begin, step)))
+    placed = walked.withColumn(starts, F.aggregate(local, first, following))
+    return placed.withColumn(name, F.flatten(F.transform(local, shifted))).drop(local, starts, found)
+
+
 def formatted(canonical: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """Adds ``formatted`` and ``loss_spans`` (start and end in code points of the texts that carry loss)."""
+    """Adds ``formatted`` and ``loss_spans`` (start and end in code points of the texts that carry loss).
+
+    Columns of these names are replaced; any others pass through.
+    """
     parts = F.transform(
         "turns",
         lambda t: F.struct(
@@ -178,25 +225,12 @@ def formatted(canonical: DataFrame, loss_role: str = "assistant") -> DataFrame:
             (t["role"] == loss_role).alias("loss"),
         ),
     )
-    kind = "struct<at:bigint,spans:array<struct<start:bigint,end:bigint>>>"
-
-    def step(state: Column, part: Column) -> Column:
-        start = state["at"] + F.length(part["head"])
-        end = start + F.length(part["body"])
-        spans = F.when(
-            part["loss"], F.array_append(state["spans"], F.struct(start.alias("start"), end.alias("end")))
-        ).otherwise(state["spans"])
-        return F.struct((end + len(END)).alias("at"), spans.alias("spans")).cast(kind)
-
-    no_spans = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    begin = F.struct(F.lit(0).cast("long").alias("at"), no_spans.alias("spans")).cast(kind)
-    marked = F.array_join(F.transform("_parts", lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")
-    return (
-        canonical.withColumn("_parts", parts)
-        .withColumn("formatted", marked)
-        .withColumn("loss_spans", F.aggregate("_parts", begin, step)["spans"])
-        .drop("_parts")
+    name = fresh(canonical, "_parts")
+    marked = F.array_join(F.transform(name, lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")
+    sizes = F.transform(
+        name, lambda p: F.struct(F.length(p["head"]).alias("head"), F.length(p["body"]).alias("body"), p["loss"].alias("loss"))
     )
+    return _with_spans(canonical.withColumn(name, parts).withColumn("formatted", marked), sizes, "loss_spans").drop(name)
 
 
 def read_back(column: str = "formatted") -> Column:
@@ -215,13 +249,19 @@ def read_back(column: str = "formatted") -> Column:
 
 def read_loss(formatted_column: str = "formatted", spans: str = "loss_spans") -> Column:
     """The unescaped text under the loss mask."""
-    return F.array_join(
-        F.transform(
-            spans,
-            lambda s: unescape(F.substr(F.col(formatted_column), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))),
-        ),
-        "",
-    )
+
+    def cut(text: Column, start: Column, end: Column) -> Column:
+        return F.substr(text, (start + 1).cast("int"), (end - start).cast("int"))
+
+    def stretch(block: Column) -> Column:
+        first, last = F.get(block, F.lit(0))["start"], F.get(block, F.size(block) - 1)["end"]
+        return F.struct(block.alias("spans"), first.alias("first"), cut(F.col(formatted_column), first, last).alias("text"))
+
+    def told(block: Column) -> Column:
+        first = block["first"]
+        return F.array_join(F.transform(block["spans"], lambda s: unescape(cut(block["text"], s["start"] - first, s["end"] - first))), "")
+
+    return F.array_join(F.transform(F.transform(_blocks(F.col(spans)), stretch), told), "")
 
 
 def records_of_turns(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
