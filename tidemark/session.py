@@ -63,6 +63,30 @@ def _clear_at_end(spark: SparkSession) -> None:
         clear_scratch(spark)
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_starting = threading.Lock()
+
+
+@contextmanager
+def timed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside the block keep their state in RocksDB if the session has Spark's default store.
+
+    That store holds one state per key and refuses processors with several, timers
+    among them.  A stream copies the settings when it starts, so those of the session
+    are put back; a store that the session names itself stays.
+    """
+    with _starting:
+        given = spark.conf.get(_PROVIDER)
+        if not given.endswith(".HDFSBackedStateStoreProvider"):
+            yield
+            return
+        spark.conf.set(_PROVIDER, SESSION_DEFAULTS[_PROVIDER])
+        try:
+            yield
+        finally:
+            spark.conf.set(_PROVIDER, given)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from tidemark.functions.columns import column
 from tidemark.operators.evaluation import observations
+from tidemark.session import timed_state
 
 WATERMARK = "5 minutes"
 _CHANGE = T.StructType(
@@ -27,66 +28,68 @@ _CHANGE = T.StructType(
 )
 
 
-class _Streaks(StatefulProcessor):
-    """One gauge: its running streak past the limit, and the observations the watermark has not passed yet."""
-
-    def __init__(self, by: Sequence[str], hold: int):
-        self.by, self.hold = list(by), hold
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.streak = handle.getValueState("streak", "rule string, alerts long, length long, opened_us long, worst double")
-        self.waiting = handle.getListState("waiting", "at_us long, tie long, value double, past boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for frame in rows:
-            if not self.streak.exists():
-                self.streak.update((frame["rule"].iloc[0], 0, 0, 0, 0.0))
-            columns = (frame[c].tolist() for c in ("at_us", "tie", "value", "past"))
-            self.waiting.appendList(list(zip(*columns, strict=True)))
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
-
-    def _advance(self, key, watermark_ms: int) -> Iterator[pd.DataFrame]:
-        """Take the observations up to the watermark in order; nothing earlier can come after them."""
-        if not self.waiting.exists():
-            return
-        known = sorted(tuple(w) for w in self.waiting.get())
-        due = [w for w in known if w[0] <= 1000 * watermark_ms]
-        later = known[len(due) :]
-        if later:
-            self.handle.registerTimer(later[0][0] // 1000 + 1)
-        if not due:
-            return
-        if later:
-            self.waiting.put(later)
-        else:
-            self.waiting.clear()
-        rule, alerts, length, opened, worst = self.streak.get()
-        worse, changes = (max if " above " in rule else min), []
-        for at, _, value, past in due:
-            if past:
-                worst = worse(worst, value) if length else value
-                length += 1
-                if length == self.hold:
-                    alerts, opened = alerts + 1, at
+def _streaks(by: Sequence[str], hold: int) -> StatefulProcessor:
+    """The processor of one gauge; its class is made here, so that it travels whole to Spark's workers on the driver, which import no added files."""
+
+    class Streaks(StatefulProcessor):
+        """One gauge: its running streak past the limit, and the observations the watermark has not passed yet."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.streak = handle.getValueState("streak", "rule string, alerts long, length long, opened_us long, worst double")
+            self.waiting = handle.getListState("waiting", "at_us long, tie long, value double, past boolean")
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            for frame in rows:
+                if not self.streak.exists():
+                    self.streak.update((frame["rule"].iloc[0], 0, 0, 0, 0.0))
+                columns = (frame[c].tolist() for c in ("at_us", "tie", "value", "past"))
+                self.waiting.appendList(list(zip(*columns, strict=True)))
+            yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
+
+        def _advance(self, key, watermark_ms: int) -> Iterator[pd.DataFrame]:
+            """Take the observations up to the watermark in order; nothing earlier can come after them."""
+            if not self.waiting.exists():
+                return
+            known = sorted(tuple(w) for w in self.waiting.get())
+            due = [w for w in known if w[0] <= 1000 * watermark_ms]
+            later = known[len(due) :]
+            if later:
+                self.handle.registerTimer(later[0][0] // 1000 + 1)
+            if not due:
+                return
+            if later:
+                self.waiting.put(later)
             else:
-                if length >= self.hold:
-                    changes.append((rule, alerts, opened, at, True, length, worst))
-                length = 0
-        if length >= self.hold:
-            changes.append((rule, alerts, opened, 0, False, length, worst))
-        self.streak.update((rule, alerts, length, opened, worst))
-        if changes:
-            frame = pd.DataFrame(changes, columns=_CHANGE.names)
-            for place, name in enumerate(self.by):
-                frame.insert(place, name, [key[place]] * len(frame))
-            yield frame
-
-    def close(self) -> None:
-        pass
+                self.waiting.clear()
+            rule, alerts, length, opened, worst = self.streak.get()
+            worse, changes = (max if " above " in rule else min), []
+            for at, _, value, past in due:
+                if past:
+                    worst = worse(worst, value) if length else value
+                    length += 1
+                    if length == hold:
+                        alerts, opened = alerts + 1, at
+                else:
+                    if length >= hold:
+                        changes.append((rule, alerts, opened, at, True, length, worst))
+                    length = 0
+            if length >= hold:
+                changes.append((rule, alerts, opened, 0, False, length, worst))
+            self.streak.update((rule, alerts, length, opened, worst))
+            if changes:
+                frame = pd.DataFrame(changes, columns=_CHANGE.names)
+                for place, name in enumerate(by):
+                    frame.insert(place, name, [key[place]] * len(frame))
+                yield frame
+
+        def close(self) -> None:
+            pass
+
+    return Streaks()
 
 
 def alert_changes(
@@ -118,7 +121,7 @@ def alert_changes(
         "_at",
     )
     schema = T.StructType([*(placed.schema[b] for b in by), *_CHANGE.fields])
-    changes = placed.groupBy(*map(column, by)).transformWithStateInPandas(_Streaks(by, hold), schema, "Append", "EventTime")
+    changes = placed.groupBy(*map(column, by)).transformWithStateInPandas(_streaks(by, hold), schema, "Append", "EventTime")
     return changes.select(
         *map(column, by),
         "rule",
@@ -157,4 +160,5 @@ def alert_stream(
     writer = changes.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    with timed_state(history.sparkSession):
+        return writer.start()
