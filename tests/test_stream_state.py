@@ -8,7 +8,8 @@ import pytest
 from pyspark.cloudpickle import dumps
 from pyspark.sql import functions as F
 
-from tidemark.streaming import alerts
+from tidemark.sources.metrics import read_gauges
+from tidemark.streaming import alerts, traffic
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 DEFAULT = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
@@ -46,3 +47,40 @@ def test_alerts_run_on_the_default_state_store(default_store, tmp_path):
 
 def test_the_processor_of_alerts_needs_no_import():
     assert loads_alone(alerts._streaks(["job"], 2))
+
+
+def push(spark, tmp_path, rows, timeout=300):
+    """The gauges after one more file of requests."""
+    source, counts, path, state = (str(tmp_path / n) for n in ("in", "counts", "gauges", "state"))
+    frame = spark.createDataFrame(rows, "id int, event string, kind string, at long").withColumn("at", F.timestamp_seconds(F.col("at") + 1_700_000_000))
+    frame.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(frame.schema).parquet(source)
+    traffic.gauge_stream(stream, "id", "event", "kind", "at", [20], "r", counts, path, state, timeout=timeout).awaitTermination()
+    return {r["metric"]: r["value"] for r in read_gauges(spark, path).collect()}
+
+
+def test_request_gauges_run_on_the_default_state_store(default_store, tmp_path):
+    assert push(default_store, tmp_path, [(1, "start", "a", 0), (2, "start", "a", 5), (1, "end", "a", 15)]) == {
+        "a_in_progress": 1, "a_requests_total": 2, "a_expired_total": 0, "a_latency_le_20": 1, "a_latency_le_inf": 1
+    }
+
+
+def test_the_processor_of_requests_needs_no_import():
+    assert loads_alone(traffic._requests(300))
+
+
+def test_many_requests_of_a_slot(spark, tmp_path):
+    """Requests that share slots open, end, meet early ends and expire each for itself."""
+    n = 3 * traffic.SLOTS
+    first = [(i, "start", "a", i % 50) for i in range(n)] + [(n + i, "end", "b", 40) for i in range(n)]
+    got = push(spark, tmp_path, first)
+    assert (got["a_in_progress"], got["a_requests_total"]) == (n, n) and "b_in_progress" not in got
+    # every third ends; the early ends get every second start; the clock passes the end of those that started up to 21
+    second = [(i, "end", "a", i % 50 + 19 + i % 2) for i in range(0, n, 3)] + [(n + i, "start", "b", 30) for i in range(0, n, 2)] + [(-1, "start", "c", 381)]
+    got = push(spark, tmp_path, second)
+    over = sum(i % 3 > 0 and i % 50 <= 21 for i in range(n))
+    assert (got["a_latency_le_20"], got["a_expired_total"], got["a_in_progress"]) == (n / 3, over, n - n / 3 - over)
+    assert (got["b_requests_total"], got["b_latency_le_20"], got["b_in_progress"]) == (n / 2, n / 2, 0)
+    # the others expire as the clock goes on
+    got = push(spark, tmp_path, [(-2, "start", "c", 2_000)])
+    assert (got["a_expired_total"], got["a_in_progress"], got["c_in_progress"]) == (n - n / 3, 0, 1)
