@@ -8,6 +8,7 @@ import pytest
 from pyspark.cloudpickle import dumps
 from pyspark.sql import functions as F
 
+from tests import test_streams
 from tidemark.sources.metrics import read_gauges
 from tidemark.streaming import alerts, traffic
 
@@ -84,3 +85,16 @@ def test_many_requests_of_a_slot(spark, tmp_path):
     # the others expire as the clock goes on
     got = push(spark, tmp_path, [(-2, "start", "c", 2_000)])
     assert (got["a_expired_total"], got["a_in_progress"], got["c_in_progress"]) == (n - n / 3, 0, 1)
+
+
+@pytest.mark.parametrize("hold", [1, 3])
+def test_alerts_wait_in_several_entries(spark, tmp_path, monkeypatch, hold):
+    """Small batches and entries of the state: the alerts of the batch form all the same."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    given = spark.conf.get(key)
+    monkeypatch.setattr(alerts, "_ENTRY", 3)
+    spark.conf.set(key, 7)
+    try:
+        test_streams.test_streamed_alerts_equal_the_batch(spark, tmp_path, hold)
+    finally:
+        spark.conf.set(key, given)

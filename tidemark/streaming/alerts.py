@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from tidemark.operators.evaluation import observations
 from tidemark.session import timed_state
 
 WATERMARK = "5 minutes"
+# observations of an entry of the state
+_ENTRY = 10_000
 _CHANGE = T.StructType(
     [
         T.StructField("rule", T.StringType()),
@@ -30,62 +33,76 @@ _CHANGE = T.StructType(
 
 def _streaks(by: Sequence[str], hold: int) -> StatefulProcessor:
     """The processor of one gauge; its class is made here, so that it travels whole to Spark's workers on the driver, which import no added files."""
+    columns = ("at_us", "tie", "value", "past")
 
     class Streaks(StatefulProcessor):
         """One gauge: its running streak past the limit, and the observations the watermark has not passed yet."""
 
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.streak = handle.getValueState("streak", "rule string, alerts long, length long, opened_us long, worst double")
-            self.waiting = handle.getListState("waiting", "at_us long, tie long, value double, past boolean")
+            # next_us: the earliest observation that waits
+            self.streak = handle.getValueState("streak", "rule string, alerts long, length long, opened_us long, worst double, next_us long")
+            # one entry per batch of rows
+            self.waiting = handle.getListState("waiting", "at_us array<long>, tie array<long>, value array<double>, past array<boolean>")
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            streak = self.streak.get() if self.streak.exists() else None
+            known = earliest = streak[-1] if streak else None
             for frame in rows:
-                if not self.streak.exists():
-                    self.streak.update((frame["rule"].iloc[0], 0, 0, 0, 0.0))
-                columns = (frame[c].tolist() for c in ("at_us", "tie", "value", "past"))
-                self.waiting.appendList(list(zip(*columns, strict=True)))
-            yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
+                streak = streak or (frame["rule"].iloc[0], 0, 0, 0, 0.0, None)
+                self.waiting.appendValue(tuple(frame[c].tolist() for c in columns))
+                here = int(frame["at_us"].min())
+                earliest = here if earliest is None else min(earliest, here)
+            yield from self._advance(key, (*streak[:-1], earliest), known, timerValues.getCurrentWatermarkInMs())
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
-
-        def _advance(self, key, watermark_ms: int) -> Iterator[pd.DataFrame]:
-            """Take the observations up to the watermark in order; nothing earlier can come after them."""
-            if not self.waiting.exists():
-                return
-            known = sorted(tuple(w) for w in self.waiting.get())
-            due = [w for w in known if w[0] <= 1000 * watermark_ms]
-            later = known[len(due) :]
-            if later:
-                self.handle.registerTimer(later[0][0] // 1000 + 1)
-            if not due:
-                return
-            if later:
-                self.waiting.put(later)
-            else:
-                self.waiting.clear()
-            rule, alerts, length, opened, worst = self.streak.get()
+            yield from self._advance(key, self.streak.get(), None, timerValues.getCurrentWatermarkInMs())
+
+        def _advance(self, key, streak: tuple, timed_us: int | None, watermark_ms: int) -> Iterator[pd.DataFrame]:
+            """Take the observations up to the watermark in order; nothing earlier can come after them.
+
+            ``timed_us`` is the observation for which there is a timer.
+            """
+            rule, alerts, length, opened, worst, next_us = streak
             worse, changes = (max if " above " in rule else min), []
-            for at, _, value, past in due:
-                if past:
-                    worst = worse(worst, value) if length else value
-                    length += 1
-                    if length == hold:
-                        alerts, opened = alerts + 1, at
-                else:
-                    if length >= hold:
-                        changes.append((rule, alerts, opened, at, True, length, worst))
-                    length = 0
-            if length >= hold:
-                changes.append((rule, alerts, opened, 0, False, length, worst))
-            self.streak.update((rule, alerts, length, opened, worst))
+            if next_us is not None and next_us <= 1000 * watermark_ms:
+                *due, next_us = self._due(1000 * watermark_ms)
+                for at, value, past in zip(*due, strict=True):
+                    if past:
+                        worst = worse(worst, value) if length else value
+                        length += 1
+                        if length == hold:
+                            alerts, opened = alerts + 1, at
+                    else:
+                        if length >= hold:
+                            changes.append((rule, alerts, opened, at, True, length, worst))
+                        length = 0
+                if length >= hold:
+                    changes.append((rule, alerts, opened, 0, False, length, worst))
+            if next_us != timed_us:
+                if timed_us is not None:
+                    self.handle.deleteTimer(timed_us // 1000 + 1)
+                if next_us is not None:
+                    self.handle.registerTimer(next_us // 1000 + 1)
+            self.streak.update((rule, alerts, length, opened, worst, next_us))
             if changes:
                 frame = pd.DataFrame(changes, columns=_CHANGE.names)
                 for place, name in enumerate(by):
                     frame.insert(place, name, [key[place]] * len(frame))
                 yield frame
 
+        def _due(self, upto_us: int) -> tuple[list, list, list, int | None]:
+            """Times, values and marks of the waiting observations up to a time, in order; the later ones go on waiting, from the time at the end."""
+            at, tie, value, past = map(np.concatenate, zip(*self.waiting.get(), strict=True))
+            order = np.lexsort((past, value, tie, at))
+            due, later = np.split(order, [np.searchsorted(at[order], upto_us, side="right")])
+            parts = [later[i : i + _ENTRY] for i in range(0, len(later), _ENTRY)]
+            if parts:
+                self.waiting.put([tuple(c[part].tolist() for c in (at, tie, value, past)) for part in parts])
+            else:
+                self.waiting.clear()
+            return at[due].tolist(), value[due].tolist(), past[due].tolist(), int(at[later[0]]) if parts else None
+
         def close(self) -> None:
             pass
 
