@@ -112,6 +112,18 @@ class Trees:
             out[begin : begin + size] = self.arrays["value"].ravel().take(at)
         return out.reshape(-1, ensembles, trees)
 
+    def cells(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that no split tells apart share a cell: the place of one row of each cell, and each row's cell."""
+        feature, threshold = self.arrays["feature"].ravel(), self.arrays["threshold"].ravel()
+        code = np.zeros(len(rows), np.int64)
+        for f in np.unique(feature[feature >= 0]):
+            cuts, values = np.unique(threshold[feature == f]), rows[:, f]
+            # how many cuts lie below a value decides all its comparisons; a missing one has a place of its own
+            place = np.where(np.isnan(values), len(cuts) + 1, np.searchsorted(cuts, values, side="left"))
+            code = np.unique(code * (len(cuts) + 2) + place, return_inverse=True)[1]
+        _, first, cell = np.unique(code, return_index=True, return_inverse=True)
+        return first, cell
+
     @staticmethod
     def _depth(onward: np.ndarray, roots: np.ndarray) -> int:
         """Steps after which every walk from a root stands in a leaf."""
@@ -156,11 +168,13 @@ class BoostedModel:
 
         @F.arrow_udf("array<double>")
         def probability(batch: pa.Array) -> pa.Array:
-            positive = _sigmoid(shared.value.contributions(_rows_of(batch, width)).sum(2))
+            rows = _rows_of(batch, width)
+            first, cell = shared.value.cells(rows)
+            positive = _sigmoid(shared.value.contributions(rows[first]).sum(2))
             if classes == 2:
                 positive = np.concatenate([1 - positive, positive], axis=1)
             # logistic outputs: their sum is above zero
-            shares = positive / positive.sum(1, keepdims=True)
+            shares = (positive / positive.sum(1, keepdims=True))[cell]
             ends = pa.array(np.arange(0, shares.size + 1, classes), pa.int32())
             return pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(shares).ravel()))
 
@@ -173,7 +187,9 @@ class BoostedModel:
 
         @F.arrow_udf("array<array<double>>")
         def margins(batch: pa.Array) -> pa.Array:
-            added = shared.value.contributions(_rows_of(batch, width)).cumsum(2)
+            values = _rows_of(batch, width)
+            first, cell = shared.value.cells(values)
+            added = shared.value.contributions(values[first]).cumsum(2)[cell]
             rows, ensembles, rounds = added.shape
             inner = pa.array(np.arange(0, added.size + 1, max(rounds, 1)), pa.int32())
             lists = pa.ListArray.from_arrays(inner, pa.array(added.ravel()))

@@ -44,8 +44,8 @@ _SPLIT_SQL = """(SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42',
 
 
 def _fit_rows(rows, keys, ties=()):
-    """All of ``rows``, or the seeded sample if there are more than ``FIT_ROWS``."""
-    return rows if rows.count() <= FIT_ROWS else sample_exact(rows, FIT_ROWS, keys, ties=ties)
+    """All of ``rows``, or the seeded sample if there are more than ``FIT_ROWS``, drawn once for all that read it."""
+    return materialise(rows if rows.count() <= FIT_ROWS else sample_exact(rows, FIT_ROWS, keys, ties=ties), "fit-rows")
 
 
 def _split_lines(spark, sf_dir, rule):
@@ -238,7 +238,7 @@ def _request_model(spark, sf_dir):
     """Two-class model on the request field, learned from a sample of events labelled by a threshold."""
     events = table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("double").alias("k"))
     labelled = events.withColumn("target", (F.col("k") > 40).cast("int"))
-    return train_binary(materialise(_fit_rows(labelled, ["event_id"]), "requests"), ["k"], max_bins=128)
+    return train_binary(_fit_rows(labelled, ["event_id"]), ["k"], max_bins=128)
 
 
 _SCORED_SQL = f"""WITH b AS (SELECT event_id, {body_sql("VARCHAR")} AS body FROM events),
