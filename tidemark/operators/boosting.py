@@ -1,6 +1,9 @@
 """Boosted-tree training with patience-based early stopping, on MLlib.
 
-MLlib grows the trees; what is kept of them is a plain table of nodes.  Rows are
+MLlib grows the trees; what is kept of them is a plain table of nodes.  Beyond
+10,000 rows, where MLlib takes its bins from a sample, they come from all rows here;
+rows alike in bins and label are one cell, and the trees of a class are grown as
+MLlib grows them in one task, or by MLlib if the cells are very many.  Rows are
 scored from that table in Arrow batches, after any number of rounds, so all
 classes can be cut at the round of their least joint loss without fitting again.
 A feature with missing values is given to the trees twice, missing at either end,
@@ -9,6 +12,7 @@ so each split learns to which side missing values go.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -23,8 +27,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import column
 from tidemark.functions.decisions import argmax
+from tidemark.operators.cells import COUNT, Inputs, bin_edges, cells, cut_below, gathered, grow
+from tidemark.operators.cells import missing as _missing
+from tidemark.operators.cells import rows_of as _rows_of
 from tidemark.operators.evaluation import staged_log_loss
-from tidemark.session import scratch_path
+from tidemark.session import materialise, scratch_path
 
 # fixed values of the training jobs
 MULTICLASS = {"max_depth": 4, "step_size": 0.1, "max_rounds": 100, "patience": 10, "max_bins": 64}
@@ -36,6 +43,12 @@ _FIRST_TRY = 3
 _MOST_FITS = 8
 # rows that a task of a training job takes at least
 _TASK_ROWS = 20_000
+# rows whose losses after every round a task takes at least
+_STAGED_ROWS = 5_000
+# MLlib takes its bins from all of so many rows, and of the bins' square, else from a sample
+_BINNED_WHOLE = 10_000
+# inputs of cells that one task grows a class's trees from; MLlib grows them from more
+_GATHERED = 8_000_000
 # stands for a missing value below or above all others; halves of it can be added
 _END = 1e300
 _FEATURES = "_features"
@@ -136,11 +149,6 @@ class Trees:
             depth, level = depth + 1, np.unique(onward[level])
 
 
-def _rows_of(batch: pa.Array, width: int) -> np.ndarray:
-    """A list column of ``width`` numbers each as a matrix; nulls are NaN."""
-    return batch.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
-
-
 def _sigmoid(margins: np.ndarray) -> np.ndarray:
     """The class probability that MLlib's logistic loss gives a margin."""
     return 1 / (1 + np.exp(-2 * np.clip(margins, -350, 350)))
@@ -198,11 +206,6 @@ class BoostedModel:
         return df.withColumn("margins", margins(self._features()))
 
 
-def _missing(feature: str) -> Column:
-    value = column(feature).cast("double")
-    return value.isNull() | F.isnan(value)
-
-
 def _sources(train: DataFrame, features: Sequence[str]) -> tuple[list[tuple[str, float | None]], int]:
     """The trees' inputs: a feature, or one with missing values at the lower and one at the upper end; and the rows."""
     *missing, n_rows = train.agg(*[F.max(_missing(f)).alias(f"_{i}") for i, f in enumerate(features)], F.count("*").alias("_n")).first()
@@ -212,19 +215,24 @@ def _sources(train: DataFrame, features: Sequence[str]) -> tuple[list[tuple[str,
     return out, n_rows
 
 
-def _assembled(df: DataFrame, sources: Sequence[tuple[str, float | None]], label: str) -> DataFrame:
+def _assembled(df: DataFrame, sources: Sequence[tuple[str, float | None]], label: str, count: str | None = None) -> DataFrame:
     def given(feature: str, end: float | None) -> Column:
         value = column(feature).cast("double")
         return value if end is None else F.when(_missing(feature), end).otherwise(value)
 
     inputs = [given(*s).alias(f"_input_{i}") for i, s in enumerate(sources)]
     assembler = VectorAssembler(inputCols=[f"_input_{i}" for i in range(len(sources))], outputCol=_FEATURES, handleInvalid="error")
-    named = df.select(*inputs, column(label).cast("double").alias(_LABEL))
-    return assembler.transform(named).select(_FEATURES, _LABEL)
+    named = df.select(*inputs, column(label).cast("double").alias(_LABEL), (F.lit(1) if count is None else F.col(count)).alias(COUNT))
+    return assembler.transform(named).select(_FEATURES, _LABEL, COUNT)
+
 
+def _nodes(
+    model: GBTClassificationModel, index: int, sources: Sequence[tuple[str, float | None]], features: Sequence[str], spark, edges=None
+) -> pa.Table:
+    """A fitted ensemble's nodes, from the table that MLlib saves; leaf values carry their tree's weight.
 
-def _nodes(model: GBTClassificationModel, index: int, sources: Sequence[tuple[str, float | None]], features: Sequence[str], spark) -> pa.Table:
-    """A fitted ensemble's nodes, from the table that MLlib saves; leaf values carry their tree's weight."""
+    With the ``edges`` of bins, thresholds between two bins are the lower one's end.
+    """
     path = scratch_path(spark, "trees")
     model.write().save(path)
     split = F.col("nodeData.split")
@@ -238,11 +246,36 @@ def _nodes(model: GBTClassificationModel, index: int, sources: Sequence[tuple[st
         # a missing value stands where its input puts it; without one in training it goes right
         to_left = not leaf and end is not None and end <= threshold
         place = -1 if leaf else places[feature]
+        if edges is not None and not leaf:
+            threshold = cut_below(threshold, edges[place])
         rows.append((index, tree, node, place, threshold or 0.0, to_left, max(left, 0), max(right, 0), prediction * weights[tree] if leaf else 0.0))
     columns = zip(*rows, strict=True)
     return pa.table({n: pa.array(c, t) for n, c, t in zip(_NODE_NAMES, columns, _NODE_TYPES, strict=True)})
 
 
+def _grown(
+    rows: DataFrame, features: Sequence[str], sources: Sequence[tuple[str, float | None]], edges, targets: Sequence[int], rounds: int, settings: dict
+) -> pa.Table:
+    """The nodes of all ensembles, grown from cells; one task a class."""
+    width, depth, step = len(features), settings["max_depth"], settings["step_size"]
+    places = {f: i for i, f in enumerate(features)}
+    inputs = [(places[f], end) for f, end in sources]
+
+    def grow_target(batches):
+        batches = [b for b in batches if b.num_rows]
+        if batches:
+            index = batches[0].column("_index")[0].as_py()
+            values, labels, counts = gathered(batches, width)
+            nodes = grow(Inputs(values, inputs, edges), inputs, counts, labels == targets[index], rounds, depth, step)
+            columns = [[index] * len(nodes), *zip(*nodes, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _NODE_TYPES, strict=True)], _NODE_NAMES)
+
+    # a Python function's input has no dots in its names
+    plain = rows.toDF(*[f"_{i}" for i in range(len(rows.columns))])
+    copies = plain.withColumn("_index", F.explode(F.array(*[F.lit(i) for i in range(len(targets))])))
+    return copies.repartitionById(len(targets), F.col("_index")).mapInArrow(grow_target, NODE_SCHEMA).toArrow()
+
+
 def _train(
     train: DataFrame,
     features: Sequence[str],
@@ -254,11 +287,31 @@ def _train(
 ) -> BoostedModel:
     spark = train.sparkSession
     sources, n_rows = _sources(train, features)
+    edges, bins, counted = None, settings["max_bins"], {}
+    if n_rows > max(bins**2, _BINNED_WHOLE):
+        edges = bin_edges(train, features, bins)
+        train = materialise(cells(train, features, edges, label, _LABEL), "cells")
+        n_rows, unlabelled = train.agg(F.count("*"), F.max(F.col(_LABEL).isNull() | F.isnan(_LABEL))).first()
+        if unlabelled:
+            raise ValueError(f"a row to train on has no {label}")
+        if validation is not None:
+            validation = materialise(cells(validation, features, edges, label, _LABEL), "cells")
+            # each cell has a margin for every round: more work than its bytes tell
+            validation = validation.repartition(1 + validation.count() // _STAGED_ROWS)
+        label, counted = _LABEL, {"count": COUNT}
+        # so many bins, of which the cells fill few, make MLlib look at all cells for its splits
+        bins = max(bins, math.isqrt(n_rows) + 1)
+    gather = edges is not None and n_rows * len(sources) <= _GATHERED
     # every level of every tree is a job over these rows: few rows are few tasks
-    rows = _assembled(train, sources, label).coalesce(1 + n_rows // _TASK_ROWS).persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = 1 + n_rows // _TASK_ROWS
+    given = _assembled(train, sources, label, **counted)
+    rows = (given.coalesce(tasks) if edges is None else given.repartition(tasks)).persist(StorageLevel.MEMORY_AND_DISK)
     targets = [1] if classes == 2 else list(range(classes))
 
     def fitted(rounds: int) -> BoostedModel:
+        if gather:
+            return BoostedModel(Trees(_grown(train, features, sources, edges, targets, rounds, settings)), tuple(features), classes)
+
         @inheritable_thread_target(spark)
         def fit_target(numbered: tuple[int, int]) -> pa.Table:
             index, target = numbered
@@ -268,12 +321,13 @@ def _train(
                 maxDepth=settings["max_depth"],
                 stepSize=settings["step_size"],
                 maxIter=rounds,
-                maxBins=settings["max_bins"],
+                maxBins=bins,
                 checkpointInterval=10,
                 seed=seed,
+                **({"weightCol": COUNT} if counted else {}),
             )
             model = booster.fit(rows.withColumn(_LABEL, (F.col(_LABEL) == float(target)).cast("double")))
-            return _nodes(model, index, sources, features, spark)
+            return _nodes(model, index, sources, features, spark, edges)
 
         # the ensembles are independent; their jobs share the cluster
         with ThreadPool(min(len(targets), _MOST_FITS)) as pool:
@@ -286,7 +340,7 @@ def _train(
         # a short run that already stalls spares the full one
         for rounds in sorted({min(_FIRST_TRY * patience, most), most}):
             full = fitted(rounds)
-            logged = staged_log_loss(full.staged(validation), label).orderBy("step").collect()
+            logged = staged_log_loss(full.staged(validation), label, **counted).orderBy("step").collect()
             losses = tuple(r["log_loss"] for r in logged)
             if not losses or losses[0] is None:
                 continue

@@ -46,12 +46,14 @@ def binary_log_loss(df: DataFrame, label: str = "target", probability: str = "pr
     return df.agg((-F.avg(loss)).alias("log_loss"))
 
 
-def staged_log_loss(staged: DataFrame, label: str = "target", margins: str = "margins", by: Sequence[str] = ()) -> DataFrame:
+def staged_log_loss(
+    staged: DataFrame, label: str = "target", margins: str = "margins", by: Sequence[str] = (), count: str | None = None
+) -> DataFrame:
     """Joint log loss after each round: ``step`` from 0 and ``log_loss``, in one aggregation.
 
     ``margins`` holds per class (one entry for two classes) the margin after each
     round; class scores are logistic and normalised to sum to 1.  Rows without a
-    label among the classes are left out.
+    label among the classes are left out.  ``count`` tells how many rows a row stands for.
     """
     ensembles, answer = F.size(margins), column(label).cast("int")
 
@@ -66,10 +68,12 @@ def staged_log_loss(staged: DataFrame, label: str = "target", margins: str = "ma
         return -F.log(_clipped(F.when(ensembles == 1, binary).otherwise(share)))
 
     steps = F.sequence(F.lit(0), F.size(F.get(F.col(margins), F.lit(0))) - 1)
+    alike = F.lit(1) if count is None else column(count)
+    mean = F.avg("_loss") if count is None else F.sum(F.col("_loss") * F.col("_alike")) / F.sum(F.when(F.col("_loss").isNotNull(), F.col("_alike")))
     return (
-        staged.select(*by, F.posexplode(F.transform(steps, loss)).alias("step", "_loss"))
+        staged.select(*by, alike.alias("_alike"), F.posexplode(F.transform(steps, loss)).alias("step", "_loss"))
         .groupBy(*by, "step")
-        .agg(F.avg("_loss").alias("log_loss"))
+        .agg(mean.alias("log_loss"))
     )
 
 
